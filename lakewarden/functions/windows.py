@@ -83,19 +83,15 @@ def with_previous(
 
 
 def running_sum(
-    df: DataFrame, keys: Sequence[str], ts: str, value: str, into: str, chunk_seconds: int = DAY_SECONDS
+    df: DataFrame, keys: Sequence[str], ts: str, values: Sequence[str], chunk_seconds: int = DAY_SECONDS
 ) -> DataFrame:
-    """Running total per key over ts, in two levels: inside a stretch, plus all stretches before."""
+    """Running totals per key over ts, in two levels: inside a stretch, plus all stretches before."""
     here = df.withColumn("__chunk", time_chunk(F.col(ts), chunk_seconds))
     inside = Window.partitionBy(*keys, "__chunk").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        here.groupBy(*keys, "__chunk").agg(F.sum(value).alias("__sum"))
-        .select(*keys, "__chunk", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__offset"))
-    )
-    return (
-        here.withColumn("__inside", F.sum(value).over(inside))
-        .join(offsets, [*keys, "__chunk"])
-        .withColumn(into, F.col("__inside") + F.col("__offset"))
-        .drop("__inside", "__offset", "__chunk")
-    )
+    sums = here.groupBy(*keys, "__chunk").agg(*[F.sum(v).alias(f"__s_{v}") for v in values])
+    offsets = sums.select(*keys, "__chunk", *[
+        F.coalesce(F.sum(f"__s_{v}").over(before), F.lit(0)).alias(f"__o_{v}") for v in values])
+    totals = here.withColumns({v: F.sum(v).over(inside) for v in values}).join(offsets, [*keys, "__chunk"])
+    return totals.withColumns({v: F.col(v) + F.col(f"__o_{v}") for v in values}).drop(
+        "__chunk", *[f"__o_{v}" for v in values])

@@ -22,6 +22,10 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 
+    def stream_path(self, name: str) -> str:
+        """The same table for a file stream, which takes a lone file only by a pattern."""
+        return f"{self.sf_dir}/{name}.parque[t]"
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in NAMES:
             return self.spark.read.parquet(self.path(name))

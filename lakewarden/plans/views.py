@@ -101,18 +101,19 @@ select o_custkey as version
   , case when o_orderkey % 61 = 0 then '' else concat('part-', cast(o_orderkey as string)) end as path
   , cast(floor(o_totalprice) as bigint) * case when o_orderkey % 67 = 0 then -1 else 1 end as size
 from {orders}""",
-    # Backup manifests, one backup per customer and one file per order.
+    # Backup manifests, one backup per customer and about one file per order.
     "manifest": """
-select concat('backup_', cast(o_custkey as string)) as backup_id
-  , case when o_orderkey % 3 = 0
-      then concat('_delta_log/', lpad(cast(o_orderkey % 5 as string), 20, '0'), '.json')
-      else concat('data/part-', cast(o_orderkey as string), '.parquet') end as path
-  , case when o_orderkey % 3 = 0 then 'log' when o_orderkey % 17 = 1 then 'checkpoint' else 'data' end as type
-  , cast(floor(o_totalprice) as bigint) * 1024 as size
-  , concat('c', cast(o_orderkey as string)) as checksum
-  , case when o_custkey % 19 = 0 then 2 else 1 end as format_version
-  , o_orderkey as file_no
-from {orders}""",
+select backup_id, path, type, min(o_orderkey) as file_no, cast(floor(min(o_totalprice)) as bigint) * 1024 as size
+  , concat('c', cast(min(o_orderkey) as string)) as checksum, min(format_version) as format_version
+from (
+  select concat('backup_', cast(o_custkey as string)) as backup_id, o_orderkey, o_totalprice
+    , case when o_orderkey % 3 = 0
+        then concat('_delta_log/', lpad(cast(o_orderkey % 5 as string), 20, '0'), '.json')
+        else concat('data/part-', cast(o_orderkey as string), '.parquet') end as path
+    , case when o_orderkey % 3 = 0 then 'log' when o_orderkey % 17 = 1 then 'checkpoint' else 'data' end as type
+    , case when o_custkey % 19 = 0 then 2 else 1 end as format_version
+  from {orders}) f
+group by 1, 2, 3""",
     "stored_files": """
 select backup_id, path, file_no
   , case when file_no % 59 = 0 then size + 1 else size end as size
@@ -122,11 +123,11 @@ from {manifest} where file_no % 47 <> 0""",
 select event_id, user_id as object, ts as last_attempt, 1 + event_id % 4 as attempts
 from {events} where event_type = 'error'""",
     "findings": """
-select event_id as seq, event_type as package, round(value - floor(value / 10) * 10, 1) as cvss
+select event_id as seq, concat(event_type, '_', cast(user_id as string)) as package, cast(cast(floor(value * 10) as bigint) % 100 as double) / 10 as cvss
   , case when event_id % 4 = 0 then null else concat('1.', cast(event_id % 9 as string)) end as fixed_in
 from {events}""",
     "security_events": """
-select event_id, ts
+select event_id, ts, user_id as source
   , case event_type when 'error' then 'auth_failure' when 'click' then 'file_access' when 'view' then 'network_anomaly'
       when 'purchase' then 'data_integrity' else 'memory_anomaly' end as type
   , case event_id % 4 when 0 then 'low' when 1 then 'medium' when 2 then 'high' else 'critical' end as severity
