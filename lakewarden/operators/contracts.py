@@ -176,7 +176,8 @@ def schema_check(schema: Mapping, v: Column, path: Column | None = None, strict:
 
 
 def body_check(endpoints: Sequence[Endpoint], strict: bool = False) -> Column:
-    body = F.try_parse_json(F.col("body"))
+    """Violations of the response schema for the status; ``json`` is the parsed body of ``matched``."""
+    body = F.col("json")
 
     def check(e: Endpoint) -> Column:
         out = None
@@ -190,7 +191,9 @@ def body_check(endpoints: Sequence[Endpoint], strict: bool = False) -> Column:
 
 
 def matched(recordings: DataFrame, endpoints: Sequence[Endpoint]) -> DataFrame:
-    return recordings.withColumn("endpoint", match_endpoint(endpoints))
+    """Recordings with the endpoint they match and the body parsed once."""
+    out = recordings.withColumn("endpoint", match_endpoint(endpoints))
+    return out.withColumn("json", F.try_parse_json("body")) if "body" in recordings.columns else out
 
 
 def conformance(
@@ -206,7 +209,7 @@ def conformance(
     rows = matched(recordings, endpoints).withColumn("violations", F.concat(lost, *checks))
     worst = F.array_max(F.transform("violations", lambda x: severity_rank(x["severity"])))
     return rows.withColumn("success", F.coalesce(worst < 3, F.lit(True))).withColumn(
-        "response_size", F.octet_length("body"))
+        "response_size", F.octet_length("body")).drop("json")
 
 
 def violations_of(rows: DataFrame, keys: Sequence[str], checks: Column) -> DataFrame:

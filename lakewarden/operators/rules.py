@@ -32,6 +32,7 @@ RANGES = {
 }
 # Text that stands for a missing value.
 PLACEHOLDERS = ("n/a", "na", "null", "none", "unknown", "test", "example", "dummy")
+WHITESPACE = " \t\n\v\f\r\u0085\u00a0"
 # Accepted date layouts.
 DATE_LAYOUTS = (
     "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]XXX",
@@ -83,29 +84,28 @@ class Check:
         )
 
 
+def static_type(dtype: T.DataType) -> str:
+    """Type name of every value of a typed column."""
+    for kinds, name in (((T.StringType,), "string"), (INTEGRAL, "integer"), (FRACTIONAL, "float"),
+                        ((T.BooleanType,), "boolean"), (MOMENTS, "datetime")):
+        if isinstance(dtype, kinds):
+            return name
+    return "unknown"
+
+
 def value_type(col: Column, dtype: T.DataType) -> Column:
     """Run-time type name of a value: string, integer, float, boolean, datetime or unknown."""
-    if isinstance(dtype, T.VariantType):
-        name = F.schema_of_variant(col)
-        return (
-            F.when(name == "STRING", "string")
-            .when(name.isin("TINYINT", "SMALLINT", "INT", "BIGINT"), "integer")
-            .when(name.isin("FLOAT", "DOUBLE") | name.startswith("DECIMAL"), "float")
-            .when(name == "BOOLEAN", "boolean")
-            .when(name.isin("DATE", "TIMESTAMP", "TIMESTAMP_NTZ"), "datetime")
-            .otherwise("unknown")
-        )
-    if isinstance(dtype, T.StringType):
-        return F.lit("string")
-    if isinstance(dtype, INTEGRAL):
-        return F.lit("integer")
-    if isinstance(dtype, FRACTIONAL):
-        return F.lit("float")
-    if isinstance(dtype, T.BooleanType):
-        return F.lit("boolean")
-    if isinstance(dtype, MOMENTS):
-        return F.lit("datetime")
-    return F.lit("unknown")
+    if not isinstance(dtype, T.VariantType):
+        return F.lit(static_type(dtype))
+    name = F.schema_of_variant(col)
+    return (
+        F.when(name == "STRING", "string")
+        .when(name.isin("TINYINT", "SMALLINT", "INT", "BIGINT"), "integer")
+        .when(name.isin("FLOAT", "DOUBLE") | name.startswith("DECIMAL"), "float")
+        .when(name == "BOOLEAN", "boolean")
+        .when(name.isin("DATE", "TIMESTAMP", "TIMESTAMP_NTZ"), "datetime")
+        .otherwise("unknown")
+    )
 
 
 def date_text(col: Column) -> Column:
@@ -121,10 +121,10 @@ def _integral_text(text: Column) -> Column:
     return text.try_cast("long").isNotNull() | F.coalesce(number == F.floor(number), F.lit(False))
 
 
-def _text_fits(text: Column, declared: str) -> Column:
+def _text_fits(text: Column, declared: str) -> Column | bool:
     """Untyped text is judged by what it can be read as."""
     if declared in ("string", "binary"):
-        return F.lit(True)
+        return True
     if declared in ("integer", "long"):
         return _integral_text(text)
     if declared == "double":
@@ -133,42 +133,52 @@ def _text_fits(text: Column, declared: str) -> Column:
         return F.lower(text).isin("true", "false")
     if declared in ("date", "datetime"):
         return date_text(text)
-    return F.lit(False)
+    return False
+
+
+def _whole(number: Column) -> Column:
+    return F.coalesce(number == F.floor(number), F.lit(False))
+
+
+# Value types that a declared type takes as they are.
+TAKES = {
+    "string": ("string",), "binary": ("string",), "integer": ("integer",), "long": ("integer",),
+    "double": ("float", "integer"), "boolean": ("boolean",), "date": ("datetime",), "datetime": ("datetime",),
+}
+
 
+def _typed_fits(col: Column, dtype: T.DataType, declared: str) -> Column | bool:
+    """A typed column is settled when the plan is built, but for fractions that may be whole."""
+    actual = static_type(dtype)
+    if actual in TAKES.get(declared, ()):
+        return True
+    return _whole(col) if declared in ("integer", "long") and actual == "float" else False
 
-def _typed_fits(col: Column, dtype: T.DataType, declared: str) -> Column:
-    """Typed values, or variant values, are judged by the type they carry."""
+
+def _variant_fits(col: Column, dtype: T.DataType, declared: str) -> Column | bool:
+    """Dynamic values are judged by the type each one carries."""
     actual = value_type(col, dtype)
-    number = (
-        F.try_variant_get(col, "$", "double") if isinstance(dtype, T.VariantType)
-        else col.cast("double") if isinstance(dtype, INTEGRAL + FRACTIONAL)
-        else F.lit(None).cast("double")
-    )
-    whole = F.coalesce(number == F.floor(number), F.lit(False))
-    text = (
-        F.try_variant_get(col, "$", "string") if isinstance(dtype, T.VariantType)
-        else F.lit(None).cast("string")
-    )
-    if declared in ("string", "binary"):
-        return actual == "string"
+    fits = actual.isin(*TAKES.get(declared, ("",)))
     if declared in ("integer", "long"):
-        return (actual == "integer") | ((actual == "float") & whole)
-    if declared == "double":
-        return actual.isin("float", "integer")
-    if declared == "boolean":
-        return actual == "boolean"
+        return fits | ((actual == "float") & _whole(F.try_variant_get(col, "$", "double")))
     if declared in ("date", "datetime"):
-        return (actual == "datetime") | ((actual == "string") & date_text(text))
-    return F.lit(False)
+        return fits | ((actual == "string") & date_text(F.try_variant_get(col, "$", "string")))
+    return fits
 
 
 def type_checks(f: Field, dtype: T.DataType) -> list[Check]:
     col = F.col(f.name)
-    fits = (
-        _text_fits(col, f.type) if isinstance(dtype, T.StringType) else _typed_fits(col, dtype, f.type)
-    )
+    if isinstance(dtype, T.StringType):
+        fits = _text_fits(col, f.type)
+    elif isinstance(dtype, T.VariantType):
+        fits = _variant_fits(col, dtype, f.type)
+    else:
+        fits = _typed_fits(col, dtype, f.type)
+    if fits is True:
+        return []
+    fails = col.isNotNull() if fits is False else col.isNotNull() & ~fits
     message = F.concat(F.lit(f"Expected {f.type} but got "), value_type(col, dtype))
-    return [Check(f.name, "type_mismatch", "error", col.isNotNull() & ~fits, message)]
+    return [Check(f.name, "type_mismatch", "error", fails, message)]
 
 
 def null_checks(f: Field, dtype: T.DataType) -> list[Check]:
@@ -220,7 +230,7 @@ def quality_checks(f: Field, dtype: T.DataType) -> list[Check]:
     if not isinstance(dtype, T.StringType):
         return []
     col = F.col(f.name)
-    bare = F.regexp_replace(col, r"^\s+|\s+$", "")
+    bare = F.btrim(col, F.lit(WHITESPACE))
     present = col.isNotNull()
 
     def warn(fails: Column, message: Column) -> Check:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -48,28 +49,37 @@ def _starts(line: Column, pattern: str) -> Column:
         (length_of(between, i + 1) + length_of(found, i) + 1).alias("column"), m.alias("match")))
 
 
+# What makes a match depend on where the text begins or ends, or on what surrounds it.
+POSITIONAL = re.compile(r"[\^$]|\\[AZzGB]|\(\?[=!<]")
+
+
 def scan_rules(df: DataFrame, keys: Sequence[str], text: str, rules: Sequence[ScanRule]) -> DataFrame:
     """Every match of every rule, line by line: rule, severity, line, column and the trimmed line.
 
-    Documents are cut into lines where they lie; nothing is shuffled. The
-    cheap test runs first, positions are worked out for matching lines only.
+    Documents are tested whole first: a rule that matches nowhere in a text
+    matches in none of its lines, unless its pattern looks at line ends. Only
+    texts with a hit are cut into lines, where they lie; nothing is shuffled.
     """
-    lines = df.select(*keys, F.posexplode(F.split(text, "\n")).alias("__no", "__line"))
     line = F.col("__line")
-
-    def hits_of(r: ScanRule) -> Column:
-        return F.when(line.rlike(r.pattern), F.transform(_starts(line, r.pattern), lambda at: F.struct(
+    flags = {
+        f"__hit{i}": F.lit(True) if POSITIONAL.search(r.pattern) else F.col(text).rlike(r.pattern)
+        for i, r in enumerate(rules)
+    }
+    any_flag = F.lit(False)
+    for name in flags:
+        any_flag = any_flag | F.col(name)
+    lines = df.select(*keys, text, *[c.alias(n) for n, c in flags.items()]).where(any_flag).select(
+        *keys, *flags, F.posexplode(F.split(text, "\n")).alias("__no", "__line"))
+
+    def hits_of(r: ScanRule, flag: str) -> Column:
+        return F.when(F.col(flag) & line.rlike(r.pattern), F.transform(_starts(line, r.pattern), lambda at: F.struct(
             F.lit(r.id).alias("rule_id"), F.lit(r.severity.lower()).alias("severity"),
             at["column"].alias("column"), at["match"].alias("match"))))
 
-    hits = [hits_of(r) for r in rules]
-    any_hit = F.lit(False)
-    for r in rules:
-        any_hit = any_hit | line.rlike(r.pattern)
-    found = lines.where(any_hit).select(
-        *keys, (F.col("__no") + 1).alias("line"), F.trim(line).alias("evidence"),
-        F.inline(F.flatten(F.array_compact(F.array(*hits)))))
-    return found.select(*keys, "rule_id", "severity", "line", "column", "match", "evidence")
+    hits = F.array(*[hits_of(r, flag) for r, flag in zip(rules, flags)])
+    found = lines.select(
+        *keys, (F.col("__no") + 1).alias("line"), line, F.inline(F.flatten(F.array_compact(hits))))
+    return found.select(*keys, "rule_id", "severity", "line", "column", "match", F.trim(line).alias("evidence"))
 
 
 def drop_rules(findings: DataFrame, excluded: Sequence[str]) -> DataFrame:

@@ -8,44 +8,60 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakewarden.sources.extracts import LOGICAL_TYPES
 
 
+def _hash(fields: Column) -> Column:
+    return F.substring(F.sha2(F.to_json(F.array_sort(fields)), 256), 1, 16)
+
+
 def fingerprint(fields: DataFrame, by: Sequence[str] = ("object",)) -> DataFrame:
     """Order-independent hash of names and types per object; nullability is left out."""
-    listed = F.array_sort(F.collect_set(F.struct("name", "type")))
+    listed = F.collect_set(F.struct("name", "type"))
     return fields.groupBy(*by).agg(
-        F.substring(F.sha2(F.to_json(listed), 256), 1, 16).alias("schema_hash"),
-        F.count_distinct("name").alias("n_fields"))
+        _hash(listed).alias("schema_hash"),
+        F.size(F.array_distinct(F.transform(listed, lambda f: f["name"]))).cast("long").alias("n_fields"))
 
 
-def diff(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Fields added, removed or of another type, per object."""
+def _side_by_side(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Every field of either side with its change; one full outer join."""
     old = before.select("object", "name", F.col("type").alias("old_type"))
     new = after.select("object", "name", F.col("type").alias("new_type"))
     change = (
         F.when(F.col("old_type").isNull(), "added").when(F.col("new_type").isNull(), "removed")
         .when(F.col("old_type") != F.col("new_type"), "type_changed")
     )
-    return old.join(new, ["object", "name"], "full_outer").withColumn("change", change).where("change is not null")
+    return old.join(new, ["object", "name"], "full_outer").withColumn("change", change)
 
 
-def classify(before: DataFrame, after: DataFrame) -> DataFrame:
-    """breaking, additive or none for every object known on either side."""
-    changes = diff(before, after).groupBy("object").agg(
-        F.count_if(F.col("change") == "added").alias("added"),
-        F.count_if(F.col("change") == "removed").alias("removed"),
-        F.count_if(F.col("change") == "type_changed").alias("type_changed"))
-    known = before.select("object").union(after.select("object")).distinct()
-    n = ["added", "removed", "type_changed"]
-    return known.join(changes, "object", "left").fillna(0, n).withColumn(
+def diff(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Fields added, removed or of another type, per object."""
+    return _side_by_side(before, after).where("change is not null")
+
+
+def compare(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Per object of either side: changes, class, whether it was known before, and its new fingerprint."""
+
+    def of(kind: str):
+        return F.count_if(F.col("change") == kind).alias(kind)
+
+    fields = F.collect_set(F.when(F.col("new_type").isNotNull(), F.struct("name", F.col("new_type").alias("type"))))
+    return _side_by_side(before, after).groupBy("object").agg(
+        of("added"), of("removed"), of("type_changed"), F.count_if(F.col("old_type").isNotNull()).alias("old_fields"),
+        F.when(F.count("new_type") > 0, _hash(fields)).alias("new_hash"),
+    ).withColumn(
         "classification",
         F.when(F.col("removed") + F.col("type_changed") > 0, "breaking")
         .when(F.col("added") > 0, "additive").otherwise("none"))
 
 
+def classify(before: DataFrame, after: DataFrame) -> DataFrame:
+    """breaking, additive or none for every object known on either side."""
+    return compare(before, after).select("object", "added", "removed", "type_changed", "classification")
+
+
 def history(snapshots: DataFrame, taken: str) -> DataFrame:
     """Versions of each object's schema: a new one only where the fingerprint changed.
 

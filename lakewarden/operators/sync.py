@@ -29,16 +29,12 @@ def plan(
     ``fields`` and ``previous`` are (object, name, type); ``state`` is (object,
     schema_hash, schema_version). All joins are on the object.
     """
-    now = schemas.fingerprint(fields).select("object", F.col("schema_hash").alias("new_hash"))
-    before = previous.select("object").distinct().withColumn("has_previous", F.lit(True))
-    breaking = schemas.classify(previous, fields).select(
-        "object", (F.col("classification") == "breaking").alias("breaking"))
+    compared = schemas.compare(previous, fields).select(
+        "object", "new_hash", (F.col("old_fields") > 0).alias("has_previous"),
+        (F.col("classification") == "breaking").alias("breaking"))
     known = state.select("object", F.coalesce("schema_hash", F.lit("")).alias("schema_hash"),
                          F.col("schema_version"), F.lit(True).alias("has_state"))
-    rows = (
-        catalog.join(known, "object", "left").join(now, "object", "left")
-        .join(before, "object", "left").join(breaking, "object", "left")
-    )
+    rows = catalog.join(known, "object", "left").join(compared, "object", "left")
     if allowed is None:
         rows = rows.withColumn("is_allowed", F.lit(True))
     else:
@@ -48,8 +44,8 @@ def plan(
     first = F.col("has_state").isNull()
     changed = ~first & F.col("new_hash").isNotNull() & (F.col("schema_hash") != "") & (
         F.col("new_hash") != F.col("schema_hash"))
-    blind = changed & F.col("has_previous").isNull()
-    broken = changed & F.col("has_previous").isNotNull() & F.coalesce("breaking", F.lit(False))
+    blind = changed & ~F.col("has_previous")
+    broken = changed & F.col("has_previous") & F.col("breaking")
     return rows.select(
         *catalog.columns,
         F.when(skip, "skip").when(first | blind | broken, "full").otherwise("incremental").alias("mode"),

@@ -23,9 +23,9 @@ select count(*) as n, cast(sum(o_orderkey) as bigint) as keys, count(distinct o_
   , true as within_batch from orders""")
 def sink_roundtrip(t):
     path = fresh_dir(t.spark, "sink")
-    sinks.write_batches(t.orders, path, rows_per_file=1000)
+    sinks.write_batches(t.orders, path, rows_per_file=10_000)
     files = sinks.written_files(t.spark, path).agg(
-        F.sum("num_records").alias("n_files_rows"), (F.max("num_records") <= 1000).alias("within_batch"))
+        F.sum("num_records").alias("n_files_rows"), (F.max("num_records") <= 10_000).alias("within_batch"))
     rows = t.spark.read.parquet(path).agg(
         F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"),
         F.count_distinct("o_orderpriority").alias("priorities"))
