@@ -34,20 +34,37 @@ class Endpoint:
         return f"{self.method.upper()} {self.path}"
 
 
-def violation(kind: str, name: Column | str, severity: str, text: Column | str) -> Column:
-    def col(x):
-        return F.lit(x) if isinstance(x, str) else x
+@dataclass(frozen=True)
+class Leaf:
+    """One possible violation: when it holds and what to report."""
+
+    holds: Column
+    type: str
+    field: Column | str
+    severity: str
+    description: Column | str
 
-    return F.struct(F.lit(kind).alias("type"), col(name).alias("field"), F.lit(severity).alias("severity"),
-                    col(text).alias("description"))
+    def item(self) -> Column:
+        return F.struct(*[
+            (F.lit(x) if isinstance(x, str) else x).alias(n)
+            for n, x in (("type", self.type), ("field", self.field), ("severity", self.severity), ("description", self.description))])
 
 
-def none_found() -> Column:
-    return F.array().cast(VIOLATION)
+@dataclass(frozen=True)
+class Found:
+    """Possible violations of a row: single ones, and arrays of any number (items, unknown keys)."""
 
+    leaves: list[Leaf]
+    arrays: list[Column] = field(default_factory=list)
 
-def one_if(cond: Column, item: Column) -> Column:
-    return F.when(F.coalesce(cond, F.lit(False)), F.array(item)).otherwise(none_found())
+    def __add__(self, other: Found) -> Found:
+        return Found(self.leaves + other.leaves, self.arrays + other.arrays)
+
+    def as_array(self) -> Column:
+        """All violations as one array; concat stays in generated code where a filter would not."""
+        none = F.array().cast(VIOLATION)
+        parts = [F.when(x.holds, F.array(x.item())).otherwise(none) for x in self.leaves]
+        return F.concat(none, *parts, *[F.coalesce(x, none) for x in self.arrays])
 
 
 def match_endpoint(endpoints: Sequence[Endpoint]) -> Column:
@@ -61,133 +78,136 @@ def match_endpoint(endpoints: Sequence[Endpoint]) -> Column:
     return F.coalesce(*tries, F.lit(None).cast("string"))
 
 
-def _per_endpoint(endpoints: Sequence[Endpoint], check) -> Column:
-    """The check of the endpoint a row matched; nothing for a row without a match."""
-    out = None
-    for e in endpoints:
-        cond = F.col("endpoint") == e.name
-        out = F.when(cond, check(e)) if out is None else out.when(cond, check(e))
-    return out.otherwise(none_found())
+def _is(e: Endpoint) -> Column:
+    return F.col("endpoint") == e.name
 
 
-def status_check(endpoints: Sequence[Endpoint]) -> Column:
-    return _per_endpoint(endpoints, lambda e: one_if(
-        ~F.col("status").isin(*e.responses) if e.responses else F.lit(True),
-        violation("status_code", "", "high", "unexpected status code")))
+def status_check(endpoints: Sequence[Endpoint]) -> Found:
+    return Found([
+        Leaf(_is(e) & ~F.col("status").isin(*e.responses) if e.responses else _is(e),
+             "status_code", "", "high", "unexpected status code")
+        for e in endpoints])
 
 
-def header_check(endpoints: Sequence[Endpoint]) -> Column:
-    def check(e: Endpoint) -> Column:
-        parts = [none_found()]
+def header_check(endpoints: Sequence[Endpoint]) -> Found:
+    out = []
+    for e in endpoints:
         for name, want in e.headers.items():
             got = F.try_element_at(F.col("headers"), F.lit(name))
-            parts.append(one_if(got.isNull(), violation("headers", name, "medium", f"expected header {name} is missing")))
+            out.append(Leaf(_is(e) & got.isNull(), "headers", name, "medium", f"expected header {name} is missing"))
             if want:
-                parts.append(one_if(got != want, violation("headers", name, "medium", f"header {name} value mismatch")))
-        return F.concat(*parts)
-
-    return _per_endpoint(endpoints, check)
+                out.append(Leaf(_is(e) & (got != want), "headers", name, "medium", f"header {name} value mismatch"))
+    return Found(out)
 
 
-def timeout_check(endpoints: Sequence[Endpoint], tolerance_ms: int = TIMEOUT_TOLERANCE_MS) -> Column:
-    return _per_endpoint(endpoints, lambda e: one_if(
-        (F.col("duration_ms") > e.timeout_ms + tolerance_ms) if e.timeout_ms > 0 else F.lit(False),
-        violation("timeout", "", "medium", "response time exceeded timeout threshold")))
+def timeout_check(endpoints: Sequence[Endpoint], tolerance_ms: int = TIMEOUT_TOLERANCE_MS) -> Found:
+    return Found([
+        Leaf(_is(e) & (F.col("duration_ms") > e.timeout_ms + tolerance_ms),
+             "timeout", "", "medium", "response time exceeded timeout threshold")
+        for e in endpoints if e.timeout_ms > 0])
 
 
-def json_type(v: Column) -> Column:
-    """JSON type of a variant: object, array, string, number, boolean or null."""
+def json_is(v: Column, want: str) -> Column:
+    """Whether a variant is of a JSON type; integer takes any number without a fraction."""
     name = F.schema_of_variant(v)
-    return (
-        F.when(name.startswith("OBJECT"), "object").when(name.startswith("ARRAY"), "array")
-        .when(name == "STRING", "string").when(name == "BOOLEAN", "boolean").when(name == "VOID", "null")
-        .when(name.isin("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE") | name.startswith("DECIMAL"), "number")
-        .otherwise("unknown")
-    )
-
-
-def _equals(v: Column, kind: Column, value) -> Column:
-    if value is None:
-        return kind == "null"
-    if isinstance(value, bool):
-        return (kind == "boolean") & (F.try_variant_get(v, "$", "boolean") == value)
-    if isinstance(value, (int, float)):
-        return (kind == "number") & (F.try_variant_get(v, "$", "double") == float(value))
-    return (kind == "string") & (F.try_variant_get(v, "$", "string") == value)
-
-
-def _joined(path: Column, name: str | Column) -> Column:
-    name = F.lit(name) if isinstance(name, str) else name
+    if want == "object":
+        return name.startswith("OBJECT")
+    if want == "array":
+        return name.startswith("ARRAY")
+    if want in ("number", "integer"):
+        number = name.isin("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE") | name.startswith("DECIMAL")
+        value = F.try_variant_get(v, "$", "double")
+        return number & (value == F.floor(value)) if want == "integer" else number
+    return name == {"string": "STRING", "boolean": "BOOLEAN", "null": "VOID"}.get(want, "?")
+
+
+def _equals(v: Column, value) -> Column:
+    kind, as_type = (
+        ("null", None) if value is None else ("boolean", "boolean") if isinstance(value, bool)
+        else ("number", "double") if isinstance(value, (int, float)) else ("string", "string"))
+    fits = json_is(v, kind)
+    return fits & (F.try_variant_get(v, "$", as_type) == F.lit(value)) if as_type else fits
+
+
+def _joined(path: Column | str, name: Column | str) -> Column | str:
+    if isinstance(path, str) and isinstance(name, str):
+        return f"{path}.{name}" if path else name
+    path, name = (F.lit(x) if isinstance(x, str) else x for x in (path, name))
     return F.when(path == "", name).otherwise(F.concat(path, F.lit("."), name))
 
 
-def schema_check(schema: Mapping, v: Column, path: Column | None = None, strict: bool = False) -> Column:
-    """Violations of a nested JSON schema; the schema is walked once, while the plan is built."""
-    path = F.lit("") if path is None else path
-    kind, want = json_type(v), schema.get("type")
+def schema_check(
+    schema: Mapping, root: Column, guard: Column, at: str = "$", path: Column | str = "", strict: bool = False
+) -> Found:
+    """Possible violations of a nested JSON schema, walked once while the plan is built.
+
+    ``root`` is the variant, ``at`` the JSON path inside it, ``guard`` when
+    this part of the schema applies: all parents have their type and the
+    property is there. A wrong type ends the walk on this branch.
+    """
+    v = root if at == "$" else F.try_variant_get(root, at, "variant")
+    want, out, arrays = schema.get("type"), [], []
+    inside = guard
+    if want:
+        fits = json_is(v, want)
+        out.append(Leaf(guard & ~fits, "schema", path, "medium", "type mismatch"))
+        inside = guard & fits
 
-    def bad(cond: Column, text: str, severity: str = "medium", where: Column = path) -> Column:
-        return one_if(cond, violation("schema", where, severity, text))
+    def bad(cond: Column, text: str, severity: str = "medium", where: Column | str = path) -> None:
+        out.append(Leaf(inside & cond, "schema", where, severity, text))
 
-    parts = [none_found()]
     if schema.get("enum"):
         hit = F.lit(False)
         for value in schema["enum"]:
-            hit = hit | F.coalesce(_equals(v, kind, value), F.lit(False))
-        parts.append(bad(~hit, "value not in enum"))
-    number, text = F.try_variant_get(v, "$", "double"), F.try_variant_get(v, "$", "string")
+            hit = hit | F.coalesce(_equals(v, value), F.lit(False))
+        bad(~hit, "value not in enum")
     if want == "string":
+        text = F.try_variant_get(v, "$", "string")
         if schema.get("pattern"):
-            parts.append(bad(~text.rlike(schema["pattern"]), "string does not match pattern"))
+            bad(~text.rlike(schema["pattern"]), "string does not match pattern")
         if "minLength" in schema:
-            parts.append(bad(F.octet_length(text) < schema["minLength"], "string too short"))
+            bad(F.octet_length(text) < schema["minLength"], "string too short")
         if "maxLength" in schema:
-            parts.append(bad(F.octet_length(text) > schema["maxLength"], "string too long"))
+            bad(F.octet_length(text) > schema["maxLength"], "string too long")
     elif want in ("number", "integer"):
+        number = F.try_variant_get(v, "$", "double")
         if "minimum" in schema:
-            parts.append(bad(number < float(schema["minimum"]), "number below minimum"))
+            bad(number < float(schema["minimum"]), "number below minimum")
         if "maximum" in schema:
-            parts.append(bad(number > float(schema["maximum"]), "number above maximum"))
+            bad(number > float(schema["maximum"]), "number above maximum")
     elif want == "object":
         properties = schema.get("properties", {})
 
-        def child(name: str) -> Column:
-            return F.try_variant_get(v, f"$['{name}']", "variant")
+        def there(name: str) -> Column:
+            return F.try_variant_get(root, f"{at}['{name}']", "variant").isNotNull()
 
         for name in schema.get("required", ()):
-            parts.append(bad(child(name).isNull(), "required property is missing", "high", _joined(path, name)))
+            bad(~there(name), "required property is missing", "high", _joined(path, name))
         for name, inner in properties.items():
-            parts.append(F.when(child(name).isNotNull(), schema_check(inner, child(name), _joined(path, name), strict))
-                         .otherwise(none_found()))
+            found = schema_check(inner, root, inside & there(name), f"{at}['{name}']", _joined(path, name), strict)
+            out, arrays = out + found.leaves, arrays + found.arrays
         if strict:
             keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
             extra = F.array_except(keys, F.array(*[F.lit(n) for n in properties]).cast("array<string>"))
-            parts.append(F.coalesce(F.transform(extra, lambda k: violation(
-                "schema", _joined(path, k), "low", "unexpected property")), none_found()))
+            arrays.append(F.when(inside, F.transform(extra, lambda k: Leaf(
+                F.lit(True), "schema", _joined(path, k), "low", "unexpected property").item())))
     elif want == "array" and schema.get("items"):
         items = F.try_variant_get(v, "$", "array<variant>")
-        parts.append(F.coalesce(F.flatten(F.transform(items, lambda x, i: schema_check(
-            schema["items"], x, F.concat(path, F.lit("["), i.cast("string"), F.lit("]")), strict))), none_found()))
-    found = F.concat(*parts)
-    if not want:
-        return found
-    fits = (kind == "number") & (number == F.floor(number)) if want == "integer" else kind == want
-    return F.when(fits, found).otherwise(F.array(violation("schema", path, "medium", "type mismatch")))
+        base = F.lit(path) if isinstance(path, str) else path
+        arrays.append(F.when(inside, F.flatten(F.transform(items, lambda x, i: schema_check(
+            schema["items"], x, F.lit(True), "$", F.concat(base, F.lit("["), i.cast("string"), F.lit("]")), strict
+        ).as_array()))))
+    return Found(out, arrays)
 
 
-def body_check(endpoints: Sequence[Endpoint], strict: bool = False) -> Column:
+def body_check(endpoints: Sequence[Endpoint], strict: bool = False) -> Found:
     """Violations of the response schema for the status; ``json`` is the parsed body of ``matched``."""
-    body = F.col("json")
-
-    def check(e: Endpoint) -> Column:
-        out = None
+    out = Found([])
+    for e in endpoints:
         for status, schema in e.responses.items():
             if schema:
-                cond, found = F.col("status") == status, schema_check(schema, body, strict=strict)
-                out = F.when(cond, found) if out is None else out.when(cond, found)
-        return none_found() if out is None else out.otherwise(none_found())
-
-    return _per_endpoint(endpoints, check)
+                out = out + schema_check(schema, F.col("json"), _is(e) & (F.col("status") == status), strict=strict)
+    return out
 
 
 def matched(recordings: DataFrame, endpoints: Sequence[Endpoint]) -> DataFrame:
@@ -201,19 +221,24 @@ def conformance(
     tolerance_ms: int = TIMEOUT_TOLERANCE_MS,
 ) -> DataFrame:
     """Each recording with its endpoint, violations, sizes and success; narrow all the way."""
-    checks = [status_check(endpoints), body_check(endpoints, strict), timeout_check(endpoints, tolerance_ms)]
+    found = status_check(endpoints) + body_check(endpoints, strict) + timeout_check(endpoints, tolerance_ms)
     if "headers" in recordings.columns:
-        checks.insert(1, header_check(endpoints))
-    lost = one_if(F.col("endpoint").isNull(), violation(
-        "connectivity", "", "critical", "no matching endpoint found in contract"))
-    rows = matched(recordings, endpoints).withColumn("violations", F.concat(lost, *checks))
+        found = found + header_check(endpoints)
+    lost = Found([Leaf(F.col("endpoint").isNull(), "connectivity", "", "critical", "no matching endpoint found in contract")])
     worst = F.array_max(F.transform("violations", lambda x: severity_rank(x["severity"])))
-    return rows.withColumn("success", F.coalesce(worst < 3, F.lit(True))).withColumn(
-        "response_size", F.octet_length("body")).drop("json")
-
-
-def violations_of(rows: DataFrame, keys: Sequence[str], checks: Column) -> DataFrame:
-    return rows.select(*keys, F.inline(checks))
+    return (
+        matched(recordings, endpoints).withColumn("violations", (lost + found).as_array())
+        .withColumn("success", F.coalesce(worst < 3, F.lit(True)))
+        .withColumn("response_size", F.octet_length("body")).drop("json"))
+
+
+def violations_of(rows: DataFrame, keys: Sequence[str], found: Found) -> DataFrame:
+    """One row per violation."""
+    single = F.array(*[F.when(x.holds, x.item()) for x in found.leaves])
+    if not found.arrays:
+        return rows.select(*keys, F.inline(single)).where(F.col("type").isNotNull())
+    return rows.select(*keys, F.inline(F.concat(single, *[F.coalesce(x, F.array().cast(VIOLATION)) for x in found.arrays]))
+                       ).where(F.col("type").isNotNull())
 
 
 def keep_recordings(recordings: DataFrame, filters: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:

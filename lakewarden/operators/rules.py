@@ -73,14 +73,11 @@ class Check:
     message: Column
 
     def issue(self) -> Column:
-        """The report row where the check fails, NULL where it holds."""
-        return F.when(
-            self.fails,
-            F.struct(
-                F.lit(self.field).alias("field"), F.lit(self.kind).alias("type"),
-                self.message.alias("message"), F.col(self.field).cast("string").alias("value"),
-                F.lit(self.severity).alias("severity"),
-            ),
+        """The report row of the check."""
+        return F.struct(
+            F.lit(self.field).alias("field"), F.lit(self.kind).alias("type"),
+            self.message.alias("message"), F.col(self.field).cast("string").alias("value"),
+            F.lit(self.severity).alias("severity"),
         )
 
 

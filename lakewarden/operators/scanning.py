@@ -23,6 +23,8 @@ class ScanRule:
     pattern: str
     severity: str
     name: str = ""
+    # Text that every match contains, if there is one: a plain search spares the regex on texts without it.
+    literal: str | None = None
 
 
 def usable_rules(spark: SparkSession, rules: Sequence[ScanRule]) -> list[ScanRule]:
@@ -61,10 +63,12 @@ def scan_rules(df: DataFrame, keys: Sequence[str], text: str, rules: Sequence[Sc
     texts with a hit are cut into lines, where they lie; nothing is shuffled.
     """
     line = F.col("__line")
-    flags = {
-        f"__hit{i}": F.lit(True) if POSITIONAL.search(r.pattern) else F.col(text).rlike(r.pattern)
-        for i, r in enumerate(rules)
-    }
+
+    def may_hit(r: ScanRule) -> Column:
+        whole = F.lit(True) if POSITIONAL.search(r.pattern) else F.col(text).rlike(r.pattern)
+        return F.col(text).contains(r.literal) & whole if r.literal else whole
+
+    flags = {f"__hit{i}": may_hit(r) for i, r in enumerate(rules)}
     any_flag = F.lit(False)
     for name in flags:
         any_flag = any_flag | F.col(name)

@@ -12,11 +12,14 @@ from lakewarden.functions.windows import newest_per_key
 from lakewarden.operators.rules import Check, FRACTIONAL, Field, INTEGRAL, value_type
 
 
-def _issues(checks: Sequence[Check], severity: str | None = None) -> Column:
-    chosen = [c.issue() for c in checks if severity in (None, c.severity)]
-    if not chosen:
-        return F.array().cast("array<struct<field:string,type:string,message:string,value:string,severity:string>>")
-    return F.array_compact(F.array(*chosen))
+ISSUES = "array<struct<field:string,type:string,message:string,value:string,severity:string>>"
+
+
+def _issues(checks: Sequence[Check], severity: str) -> Column:
+    """Failing checks as an array; concat stays in generated code where a filter over an array would not."""
+    none = F.array().cast(ISSUES)
+    parts = [F.when(c.fails, F.array(c.issue())).otherwise(none) for c in checks if c.severity == severity]
+    return F.concat(none, *parts)
 
 
 def _count(checks: Sequence[Check], severity: str) -> Column:
@@ -37,7 +40,10 @@ def _nulls(fields: Sequence[Field]) -> Column:
 
 def record_issues(df: DataFrame, keys: Sequence[str], checks: Sequence[Check]) -> DataFrame:
     """One row per failing check: keys, field, type, message, value, severity."""
-    return df.select(*keys, F.inline(_issues(checks)))
+    if not checks:
+        return df.select(*keys, F.inline(F.array().cast(ISSUES)))
+    each = F.array(*[F.when(c.fails, c.issue()) for c in checks])
+    return df.select(*keys, F.inline(each)).where(F.col("severity").isNotNull())
 
 
 def record_verdict(df: DataFrame, fields: Sequence[Field], checks: Sequence[Check]) -> DataFrame:
@@ -46,9 +52,9 @@ def record_verdict(df: DataFrame, fields: Sequence[Field], checks: Sequence[Chec
     return (
         df.withColumn("errors", _issues(checks, "error"))
         .withColumn("warnings", _issues(checks, "warning"))
-        .withColumn("valid", F.size("errors") == 0)
-        .withColumn("error_rate", F.size("errors") / F.lit(float(n)))
-        .withColumn("warning_rate", F.size("warnings") / F.lit(float(n)))
+        .withColumn("valid", _count(checks, "error") == 0)
+        .withColumn("error_rate", _count(checks, "error") / F.lit(float(n)))
+        .withColumn("warning_rate", _count(checks, "warning") / F.lit(float(n)))
         .withColumn("null_rate", _nulls(fields) / F.lit(float(n)))
     )
 

@@ -9,7 +9,7 @@ from lakewarden.operators.scanning import ScanRule
 from lakewarden.plans.registry import query
 
 RULES = (
-    ScanRule("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "MEDIUM"),
+    ScanRule("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "MEDIUM", literal="@"),
     ScanRule("key", r"(AKIA|ASIA)[A-Z0-9]{16}", "critical"),
     ScanRule("ipv4", r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}", "low"),
     ScanRule("phone", r"\+?[0-9]{3}[- ][0-9]{3}[- ][0-9]{4}", "low"),
