@@ -49,6 +49,16 @@ def time_chunk(ts: Column, seconds: int) -> Column:
     return F.floor(micros(ts) / F.lit(seconds * 1_000_000)).cast("long")
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys, NULL equal to NULL; the right side's keys are dropped."""
+    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    cond = None
+    for k in keys:
+        same = F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+        cond = same if cond is None else cond & same
+    return left.join(renamed, cond, how).drop(*[f"__r_{k}" for k in keys])
+
+
 def with_previous(
     df: DataFrame,
     keys: Sequence[str],
@@ -56,29 +66,35 @@ def with_previous(
     tie: str,
     cols: Sequence[str],
     into: str,
-    chunk_seconds: int = DAY_SECONDS,
+    rows_per_task: int = 4_000_000,
 ) -> DataFrame:
     """Struct of ``cols`` from the row before, per key in (ts, tie) order; NULL on the first.
 
-    Rows are sorted inside (key, stretch of time); the last row of each stretch
-    is found with a combining aggregate and handed to the next one.
+    Keys with more than ``rows_per_task`` rows are cut into stretches of time,
+    sorted on their own; the last row of each stretch is found with a combining
+    aggregate and handed to the next one. Both tables that are broadcast have
+    at most a few rows per ``rows_per_task`` rows of input, whatever the data.
     """
-    here = df.withColumn("__chunk", time_chunk(F.col(ts), chunk_seconds))
-    inside = Window.partitionBy(*keys, "__chunk").orderBy(ts, tie)
-    tails = here.groupBy(*keys, "__chunk").agg(
-        F.max(F.struct(F.col(ts).alias("__t"), F.col(tie).alias("__i"), *cols)).alias("__tail")
+    us = micros(F.col(ts))
+    pieces = F.ceil(F.col("__n") / F.lit(rows_per_task)) * 4
+    large = (
+        df.groupBy(*keys).agg(F.count("*").alias("__n"), F.min(us).alias("__lo"), F.max(us).alias("__hi"))
+        .where(F.col("__n") > rows_per_task)
+        .select(*keys, "__lo", F.ceil((F.col("__hi") - F.col("__lo") + 1) / pieces).alias("__width"))
     )
+    chunk = F.coalesce(F.floor((us - F.col("__lo")) / F.col("__width")), F.lit(0)).cast("long")
+    cut = null_safe_join(df, F.broadcast(large), keys, "left").withColumn("__chunk", chunk)
+    tails = cut.where(F.col("__lo").isNotNull()).groupBy(*keys, "__chunk").agg(
+        F.max(F.struct(F.col(ts).alias("__t"), F.col(tie).alias("__i"), *cols)).alias("__tail"))
     between = Window.partitionBy(*keys).orderBy("__chunk")
-    carried = tails.select(
-        *keys, "__chunk", F.lag("__tail").over(between).alias("__carry")
-    ).select(*keys, "__chunk", F.when(
-        F.col("__carry").isNotNull(), F.struct(*[F.col(f"__carry.{c}").alias(c) for c in cols])
-    ).alias("__carry"))
+    carried = tails.withColumn("__last", F.lag("__tail").over(between)).where(F.col("__last").isNotNull()).select(
+        *keys, "__chunk", F.struct(*[F.col(f"__last.{c}").alias(c) for c in cols]).alias("__carry"))
+    inside = Window.partitionBy(*keys, "__chunk").orderBy(ts, tie)
+    lagged = cut.withColumn("__before", F.lag(F.struct(*cols)).over(inside))
     return (
-        here.withColumn("__before", F.lag(F.struct(*cols)).over(inside))
-        .join(carried, [*keys, "__chunk"])
+        null_safe_join(lagged, F.broadcast(carried), [*keys, "__chunk"], "left")
         .withColumn(into, F.coalesce("__before", "__carry"))
-        .drop("__before", "__carry", "__chunk")
+        .drop("__before", "__carry", "__chunk", "__lo", "__width")
     )
 
 

@@ -136,8 +136,12 @@ def cooldown(
     alerts: DataFrame, rule: str, ts: str, tie: str,
     cooldown_s: int = COOLDOWN_SECONDS, stretch_s: int | None = None,
 ) -> DataFrame:
-    """Alerts that are sent. ``stretch_s`` is the length of the stretches a rule is cut into."""
-    wait, width = cooldown_s * 1_000_000, max(stretch_s or 48 * cooldown_s, cooldown_s) * 1_000_000
+    """Alerts that are sent.
+
+    ``stretch_s`` is the length of the stretches a rule is cut into, at least
+    one cooldown: the shorter, the less of a hot rule meets in one task.
+    """
+    wait, width = cooldown_s * 1_000_000, max(stretch_s or 4 * cooldown_s, cooldown_s) * 1_000_000
     us = micros(F.col(ts))
     keyed = alerts.select(
         "*", F.col(rule).cast("string").alias("__rule"), F.floor(us / width).cast("long").alias("__chunk"), us.alias("us"))

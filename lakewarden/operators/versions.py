@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakewarden.functions.windows import newest_per_key
+from lakewarden.functions.windows import newest_per_key, null_safe_join
 
 MIB = 1024 * 1024
 
@@ -114,13 +114,13 @@ def newest_valid_state(states: DataFrame, at_most: int) -> DataFrame:
     return latest_version(good)
 
 
-def beyond_newest(
-    files: DataFrame, keys: Sequence[str], order: Sequence[Column], keep: int, spread_by: Sequence[str]
-) -> DataFrame:
-    """Rows that fall outside the newest ``keep`` per key.
+def beyond_newest(files: DataFrame, keys: Sequence[str], order: Sequence[str], keep: int) -> DataFrame:
+    """Rows that fall outside the newest ``keep`` per key; ``order`` tells rows of a key apart.
 
-    Only the cut-off row of a key is needed, so a hot key is never ranked as a
-    whole: the newest ``keep`` are found by salted top-n and taken away.
+    Only the oldest row to be kept matters: it is found by salted top-n, one
+    row per key, and everything before it is returned. No key is ranked whole.
     """
-    newest = newest_per_key(files, keys, order, keep, spread_by)
-    return files.join(newest.select(*spread_by), list(spread_by), "left_anti")
+    newest = newest_per_key(files, keys, [F.col(c).desc() for c in order], keep, spread_by=order)
+    cut = newest.groupBy(*keys).agg(F.count("*").alias("__n"), F.min(F.struct(*order)).alias("__cut"))
+    full = cut.where(F.col("__n") == keep).drop("__n")
+    return null_safe_join(files, full, keys, "inner").where(F.struct(*order) < F.col("__cut")).drop("__cut")

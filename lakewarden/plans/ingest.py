@@ -75,7 +75,7 @@ def extract_full(t):
 select event_id, ts, event_type, value from events where ts > timestamp '2024-01-20 12:30:15.123'""")
 def extract_incremental(t):
     return extracts.incremental(
-        t.events.select("event_id", "ts", "event_type", "value"), "ts", "2024-01-20 12:30:15.123999")
+        t.events.select("event_id", "ts", "event_type", "value"), "ts", "2024-01-20 12:30:15.123999", tie=["event_id"])
 
 
 @query("catalog_discover", views=("catalog",), sql="""

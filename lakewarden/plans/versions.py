@@ -125,5 +125,4 @@ select o_orderkey, o_custkey, o_orderdate from orders
 qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) > 5""")
 def retention_newest_n(t):
     files = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    return vs.beyond_newest(files, ["o_custkey"], [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()], 5,
-                            spread_by=["o_orderkey"])
+    return vs.beyond_newest(files, ["o_custkey"], ["o_orderdate", "o_orderkey"], 5)

@@ -49,18 +49,21 @@ def full_snapshot(df: DataFrame) -> DataFrame:
     return df.select(*sorted(df.columns))
 
 
-def incremental(df: DataFrame, watermark: str, since: datetime | str, ordered: bool = True) -> DataFrame:
+def incremental(
+    df: DataFrame, watermark: str, since: datetime | str, ordered: bool = True, tie: Sequence[str] = ()
+) -> DataFrame:
     """Rows whose watermark is strictly after ``since`` (cut to milliseconds), ascending.
 
     The comparison is against a literal of the column's own type, so it reaches
-    the Parquet reader. The order is a range-partitioned sort; leave it out
-    when the rows only go into a write.
+    the Parquet reader. The order is a range-partitioned sort, by ``tie`` too so
+    that a watermark many rows share can be split; leave it out when the rows
+    only go into a write.
     """
     moment = datetime.fromisoformat(str(since))
     moment = moment.replace(microsecond=moment.microsecond // 1000 * 1000)
     bound = F.lit(moment.isoformat(sep=" ")).cast(df.schema[watermark].dataType)
     rows = df.where(F.col(watermark) > bound)
-    return rows.orderBy(F.col(watermark).asc()) if ordered else rows
+    return rows.orderBy(F.col(watermark).asc(), *tie) if ordered else rows
 
 
 def scan_delimited(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:

@@ -16,6 +16,9 @@ from lakewarden.sources.action_log import file_actions, scan_log
 from lakewarden.sources.sinks import BATCH_ROWS, write_batches, written_files
 
 RELATIVE = r"(data/version=.*)$"
+VERSION = r"version=(\d+)/"
+# A file list up to this size is handed to every executor.
+BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 class VersionedTable:
@@ -68,10 +71,10 @@ class VersionedTable:
             gone = snapshot_files(self.actions(), latest).select(F.to_json(F.struct(F.struct(
                 F.col("path"), F.lit(True).alias("dataChange")).alias("remove"))).alias("value"))
             lines = lines.unionByName(gone)
-        info = self.spark.range(1).select(F.to_json(F.struct(F.struct(
+        info = self.spark.range(0, 1, 1, 1).select(F.to_json(F.struct(F.struct(
             F.lit(0).cast("long").alias("timestamp"), F.lit(operation).alias("operation"),
         ).alias("commitInfo"))).alias("value"))
-        lines.unionByName(info).coalesce(1).write.mode("overwrite").text(f"{self.log_path}/{new:020d}.json")
+        lines.unionByName(info).write.mode("overwrite").text(f"{self.log_path}/{new:020d}.json")
         return new
 
     def _header(self, df: DataFrame) -> DataFrame:
@@ -80,18 +83,24 @@ class VersionedTable:
         meta = F.to_json(F.struct(F.struct(
             F.lit(self.root.rsplit("/", 1)[-1]).alias("id"), F.lit(df.schema.json()).alias("schemaString"),
             F.array().cast("array<string>").alias("partitionColumns")).alias("metaData")))
-        return self.spark.range(1).select(F.explode(F.array(protocol, meta)).alias("value"))
+        return self.spark.range(0, 1, 1, 1).select(F.explode(F.array(protocol, meta)).alias("value"))
 
     def read(self, version: int | None = None) -> DataFrame:
         """Rows of the files active at a version.
 
-        The data is semi-joined to the active file list on (version, file);
-        Spark prunes the version folders by it and broadcasts it only while small.
+        Folders of versions that cannot hold an active file are pruned by a
+        range on the partition column. The file list is broadcast once its
+        measured size is under a limit, so the data is not shuffled; a longer
+        list is left to an ordinary join.
         """
         at = self.latest() if version is None else version
         active = snapshot_files(self.actions(), at).select(
-            F.col("path").alias("__path"),
-            F.regexp_extract("path", r"version=(\d+)/", 1).cast("int").alias("version"))
+            F.col("path").alias("__path"), F.regexp_extract("path", VERSION, 1).cast("int").alias("version"))
+        size = active.agg(F.min("version").alias("first"), F.coalesce(
+            F.sum(F.octet_length("__path") + F.lit(64)), F.lit(0)).alias("bytes")).first()
         data = self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/data")
-        tagged = data.withColumn("__path", F.regexp_extract(F.col("_metadata.file_path"), RELATIVE, 1))
-        return tagged.join(active, ["version", "__path"], "left_semi").drop("__path", "version")
+        first = at + 1 if size["first"] is None else size["first"]
+        rows = data.where(F.col("version").between(first, at)).withColumn(
+            "__path", F.regexp_extract(F.col("_metadata.file_path"), RELATIVE, 1))
+        files = F.broadcast(active) if size["bytes"] <= BROADCAST_BYTES else active
+        return rows.join(files, ["version", "__path"], "left_semi").drop("__path", "version")

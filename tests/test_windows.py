@@ -27,10 +27,12 @@ def test_newest_per_key(skewed):
     assert as_set(mine.select("k", "id", "r")) == as_set(plain.select("k", "id", "r"))
 
 
-def test_with_previous(skewed):
+@pytest.mark.parametrize("rows_per_task", [50, 1000, 10_000_000])
+def test_with_previous(skewed, rows_per_task):
+    holes = skewed.withColumn("k", F.when(F.col("k") != "k3", F.col("k")))
     w = Window.partitionBy("k").orderBy("ts", "id")
-    plain = skewed.withColumn("p", F.lag("s").over(w))
-    mine = with_previous(skewed, ["k"], "ts", "id", ["s"], into="prev").withColumn("p", F.col("prev.s"))
+    plain = holes.withColumn("p", F.lag("s").over(w))
+    mine = with_previous(holes, ["k"], "ts", "id", ["s"], "prev", rows_per_task).withColumn("p", F.col("prev.s"))
     assert as_set(mine.select("id", "p")) == as_set(plain.select("id", "p"))
 
 
