@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Severity order, lowest first.
 SEVERITIES = ("low", "medium", "high", "critical")
@@ -67,3 +67,11 @@ def advice_list(*items: tuple[Column, Column | str]) -> Column:
     return F.array_compact(
         F.array(*[F.when(cond, F.lit(text) if isinstance(text, str) else text) for cond, text in items])
     )
+
+
+def one_row(*parts: DataFrame) -> DataFrame:
+    """Results of one row each as one row, without a join."""
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out.agg(*[F.max(c).alias(c) for c in out.columns])

@@ -50,24 +50,31 @@ def _pairs(state: DataFrame, edges: DataFrame) -> DataFrame:
     return edges.join(p, "parent").join(d, "dependent")
 
 
+def _pair_checks(state: DataFrame, edges: DataFrame) -> DataFrame:
+    """Both checks that compare a parent with a dependent, from one join."""
+    drift = seconds_between(F.col("d_wm"), F.col("p_wm"))
+    gap = F.abs(seconds_between(F.col("d_sync"), F.col("p_sync")))
+    pair = (F.col("parent"), F.col("dependent"))
+    found = F.array(
+        F.when(drift > DRIFT_ALLOWED, F.struct(*_row("watermark_drift", *pair, ladder(drift, DRIFT_SECONDS, "low"), drift))),
+        F.when(gap > GAP_ALLOWED, F.struct(*_row("transaction_boundary", *pair, F.lit("medium"), gap))))
+    return _pairs(state, edges).select(F.inline(found)).where(F.col("type").isNotNull())
+
+
 def watermark_drift(state: DataFrame, edges: DataFrame) -> DataFrame:
     """Dependents whose watermark is behind their parent's by more than an hour."""
-    drift = seconds_between(F.col("d_wm"), F.col("p_wm"))
-    return _pairs(state, edges).where(drift > DRIFT_ALLOWED).select(*_row(
-        "watermark_drift", F.col("parent"), F.col("dependent"), ladder(drift, DRIFT_SECONDS, "low"), drift))
+    return _pair_checks(state, edges).where(F.col("type") == "watermark_drift")
 
 
 def sync_gap(state: DataFrame, edges: DataFrame) -> DataFrame:
     """Related objects synced more than six hours apart."""
-    gap = F.abs(seconds_between(F.col("d_sync"), F.col("p_sync")))
-    return _pairs(state, edges).where(gap > GAP_ALLOWED).select(*_row(
-        "transaction_boundary", F.col("parent"), F.col("dependent"), F.lit("medium"), gap))
+    return _pair_checks(state, edges).where(F.col("type") == "transaction_boundary")
 
 
 def violations(state: DataFrame, edges: DataFrame, as_of, windows: DataFrame | None = None) -> DataFrame:
     return (
         staleness(state, as_of, windows).unionByName(missing_dependents(state, edges))
-        .unionByName(watermark_drift(state, edges)).unionByName(sync_gap(state, edges))
+        .unionByName(_pair_checks(state, edges))
     )
 
 

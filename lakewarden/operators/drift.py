@@ -48,46 +48,52 @@ def merge(stored: DataFrame, new: DataFrame, window_size: int = WINDOW_SIZE) ->
     return trim(chosen.select(*KEY, "s.*"), window_size)
 
 
-def _with_past(history: DataFrame, value: str) -> DataFrame:
+# What is compared with its past, and the name of the drift.
+POPULATION, MEAN = ("population_rate", "population"), ("mean", "statistical")
+
+
+def _change(value: str, kind: str) -> Column:
+    """Relative change against the past; NULL where there is nothing to compare."""
+    past, moved = F.col(f"__past_{value}"), F.abs(F.col(value) - F.col(f"__past_{value}"))
+    if kind == "population":
+        from_zero = F.when(moved > 0, F.lit(float("inf")))
+        return F.when(past == 0, from_zero).otherwise(moved / F.nullif(past, F.lit(0.0)))
+    return F.when(F.abs(past) > SMALL_MEAN, moved / F.nullif(F.abs(past), F.lit(0.0)))
+
+
+def _past_drifts(
+    history: DataFrame, checks: Sequence[tuple[str, str]], threshold: float, latest: bool, min_samples: int
+) -> DataFrame:
+    """The given checks from one window pass over the history."""
     past = Window.partitionBy(*KEY).orderBy("snapshot_ts").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*KEY)
-    return history.withColumns({
-        "current_value": F.col(value),
-        "historical_average": F.avg(value).over(past),
-        "__before": F.count("*").over(past),
+    rows = history.select(*KEY, "snapshot_ts", *[v for v, _ in checks]).withColumns({
         "__samples": F.count("*").over(whole),
         "__latest": F.max("snapshot_ts").over(whole) == F.col("snapshot_ts"),
-    })
+        **{f"__past_{v}": F.avg(v).over(past) for v, _ in checks},
+    }).where(F.col("__samples") >= min_samples)
+    if latest:
+        rows = rows.where("__latest")
 
+    def drift(value: str, kind: str) -> Column:
+        change = _change(value, kind)
+        return F.when(change > threshold, F.struct(
+            F.lit(kind).alias("drift_type"), ladder(change, CUTS, "low").alias("severity"),
+            F.col(value).cast("double").alias("current_value"),
+            F.col(f"__past_{value}").cast("double").alias("historical_average"), (change * 100).alias("change_percent")))
 
-def _drifts(rows: DataFrame, kind: str, change: Column, threshold: float, latest: bool, min_samples: int) -> DataFrame:
-    out = rows.withColumn("__change", change).where(
-        (F.col("__before") > 0) & (F.col("__samples") >= min_samples) & (F.col("__change") > threshold))
-    if latest:
-        out = out.where("__latest")
-    return out.select(
-        *KEY, "snapshot_ts", F.lit(kind).alias("drift_type"), ladder(F.col("__change"), CUTS, "low").alias("severity"),
-        F.col("current_value").cast("double").alias("current_value"),
-        F.col("historical_average").cast("double").alias("historical_average"),
-        (F.col("__change") * 100).alias("change_percent"))
+    return rows.select(*KEY, "snapshot_ts", F.inline(F.array(*[drift(*c) for c in checks]))).where(
+        F.col("drift_type").isNotNull())
 
 
 def population_drift(history: DataFrame, threshold: float, latest: bool = True, min_samples: int = 2) -> DataFrame:
     """Population rate against the mean of all snapshots before; from zero to anything is infinite."""
-    rows = _with_past(history, "population_rate")
-    moved = F.abs(F.col("current_value") - F.col("historical_average"))
-    change = F.when(F.col("historical_average") == 0, F.when(moved > 0, F.lit(float("inf")))).otherwise(
-        moved / F.nullif(F.col("historical_average"), F.lit(0.0)))
-    return _drifts(rows, "population", change, threshold, latest, min_samples)
+    return _past_drifts(history, [POPULATION], threshold, latest, min_samples)
 
 
 def mean_drift(history: DataFrame, threshold: float, latest: bool = True, min_samples: int = 2) -> DataFrame:
     """Mean of a numeric field against the mean of its means; near-zero means are left alone."""
-    rows = _with_past(history.where(F.col("mean").isNotNull()), "mean")
-    base = F.abs(F.col("historical_average"))
-    change = F.when(base > SMALL_MEAN, F.abs(F.col("current_value") - F.col("historical_average"))
-                    / F.nullif(base, F.lit(0.0)))
-    return _drifts(rows, "statistical", change, threshold, latest, min_samples)
+    return _past_drifts(history, [MEAN], threshold, latest, min_samples)
 
 
 def type_drift(shares: DataFrame, threshold: float, min_samples: int = 2) -> DataFrame:
@@ -113,8 +119,7 @@ def field_drifts(
     history: DataFrame, threshold: float, shares: DataFrame | None = None, min_samples: int = MIN_SAMPLES
 ) -> DataFrame:
     """All drifts of the newest snapshots of fields with enough history."""
-    out = population_drift(history, threshold, min_samples=min_samples).unionByName(
-        mean_drift(history, threshold, min_samples=min_samples))
+    out = _past_drifts(history, [POPULATION, MEAN], threshold, True, min_samples)
     if shares is not None:
         out = out.unionByName(type_drift(shares, threshold, min_samples))
     return out

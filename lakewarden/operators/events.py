@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakewarden.functions.columns import advice_list, clamp, lookup, micros, ntz
+from lakewarden.functions.columns import advice_list, clamp, lookup, micros, ntz, one_row
 from lakewarden.functions.windows import running_sum
 
 # Category, weight and cap of each event type.
@@ -78,15 +78,15 @@ def event_report(events: DataFrame) -> DataFrame:
         return F.count_if(F.col("severity") == s).alias(s)
 
     newest = events.select("ts", "event_id", "severity").orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(REPORT_EVENTS)
-    counts = newest.agg(F.count("*").alias("total_issues"), of("low"), of("medium"), of("high"), of("critical"), F.lit(1).alias("__one"))
-    kinds = events.agg(*[F.count_if(F.col("type") == k).alias(f"__{k}") for k in EVENT_TYPES], F.lit(1).alias("__one"))
+    counts = newest.agg(F.count("*").alias("total_issues"), of("low"), of("medium"), of("high"), of("critical"))
+    kinds = events.agg(*[F.count_if(F.col("type") == k).alias(f"__{k}") for k in EVENT_TYPES])
     score = clamp(100.0 - _penalty(lambda k: F.col(f"__{k}")))
     advice = advice_list(
         (F.col("__auth_failure") > 10, "Investigate authentication failures"),
         (F.col("__memory_anomaly") > 5, "Address memory anomalies"),
         (F.col("__credential_exposure") > 0, "Immediate credential exposure response"),
         (F.col("total_issues") > 50, "Review security monitoring configuration"))
-    return counts.join(kinds, "__one").select(
+    return one_row(counts, kinds).select(
         "total_issues", "low", "medium", "high", "critical", (F.col("high") + F.col("critical")).alias("high_severity"),
         score.alias("score"), (100.0 - score).alias("risk"), F.array_join(advice, "; ").alias("advice"))
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakewarden.functions.columns import advice_list, clamp, micros, ntz, ratio, seconds_between
+from lakewarden.functions.columns import advice_list, clamp, micros, ntz, one_row, ratio, seconds_between
 from lakewarden.functions.windows import newest_per_key, with_previous
 
 HOUR = 3600.0
@@ -101,10 +101,9 @@ def _retry_inputs(retries: DataFrame, breakers: DataFrame) -> DataFrame:
         F.count("operation").alias("operations"),
         F.count_if(F.col("operation").isNotNull() & (F.col("attempts") > 5) & (F.col("success_rate") < 0.8)).alias("weak"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("operation").isNotNull() & busy, F.col("operation")))), ", ").alias("failing"),
-        F.max("last_attempt").alias("last_update"), F.lit(1).alias("__one"))
-    states = breakers.agg(
-        F.count("*").alias("breakers"), F.count_if(F.col("state") == "OPEN").alias("open_breakers"), F.lit(1).alias("__one"))
-    return ops.join(states, "__one").drop("__one")
+        F.max("last_attempt").alias("last_update"))
+    states = breakers.agg(F.count("*").alias("breakers"), F.count_if(F.col("state") == "OPEN").alias("open_breakers"))
+    return one_row(ops, states)
 
 
 def retry_health_score(retries: DataFrame, breakers: DataFrame, as_of) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakewarden.functions.columns import ladder, micros, ntz, ratio, severity_rank
+from lakewarden.functions.columns import advice_list, ladder, micros, ntz, one_row, ratio, severity_rank
 from lakewarden.functions.windows import newest_per_key
 
 # Sample size, limits and advice.
@@ -54,47 +54,66 @@ def percentiles(
     return ranked.groupBy(*by).agg(at(50), at(95), at(99))
 
 
-def resource_summary(samples: DataFrame, by: Sequence[str], as_of, period_s: int) -> DataFrame:
-    """Mean and peak memory and goroutines in the period, and the last collector values.
-
-    Samples are (ts, memory, goroutines, gc_count, gc_pause_s). A series with no
-    sample in the period is summed up over its whole history.
-    """
+def _summary(as_of, period_s: int) -> tuple[list[Column], list[Column]]:
+    """Aggregates and result columns of the resource summary."""
     inside = micros(F.col("ts")) > micros(ntz(as_of)) - period_s * 1_000_000
 
     def both(agg, col: str, name: str) -> list[Column]:
         return [agg(F.when(inside, F.col(col))).alias(f"__p_{name}"), agg(F.col(col)).alias(f"__a_{name}")]
 
-    out = samples.groupBy(*by).agg(
+    def pick(name: str) -> Column:
+        return F.when(F.col("__n") > 0, F.col(f"__p_{name}")).otherwise(F.col(f"__a_{name}"))
+
+    aggs = [
         F.count_if(inside).alias("__n"),
         *both(F.avg, "memory", "avg_memory"), *both(F.max, "memory", "peak_memory"),
         *both(F.avg, "goroutines", "avg_goroutines"), *both(F.max, "goroutines", "peak_goroutines"),
-        F.max_by("gc_count", "ts").alias("gc_count"), F.max_by("gc_pause_s", "ts").alias("gc_pause_s"))
+        F.max_by("gc_count", micros(F.col("ts"))).alias("gc_count"),
+        F.max_by("gc_pause_s", micros(F.col("ts"))).alias("gc_pause_s")]
+    return aggs, [
+        F.floor(pick("avg_memory")).alias("avg_memory"), pick("peak_memory").alias("peak_memory"),
+        F.floor(pick("avg_goroutines")).alias("avg_goroutines"), pick("peak_goroutines").alias("peak_goroutines"),
+        F.col("gc_count"), F.col("gc_pause_s")]
 
-    def pick(name: str) -> Column:
-        return F.when(F.col("__n") > 0, F.col(f"__p_{name}")).otherwise(F.col(f"__a_{name}"))
 
-    return out.select(
-        *by, F.floor(pick("avg_memory")).alias("avg_memory"), pick("peak_memory").alias("peak_memory"),
-        F.floor(pick("avg_goroutines")).alias("avg_goroutines"), pick("peak_goroutines").alias("peak_goroutines"),
-        "gc_count", "gc_pause_s")
+def _trend(as_of, window_s: int) -> tuple[list[Column], list[Column]]:
+    """Aggregates and result columns of the first-to-last trend."""
+    inside = micros(F.col("ts")) >= micros(ntz(as_of)) - window_s * 1_000_000
+    t, us, v = (F.when(inside, x) for x in (F.col("ts"), micros(F.col("ts")), F.col("memory")))
+    aggs = [
+        F.count(us).alias("__samples"), F.min(us).alias("__t0"), F.max(us).alias("__t1"), F.max(t).alias("__last"),
+        F.min_by("memory", us).alias("__v0"), F.max_by("memory", us).alias("__v1"),
+        F.max(v).alias("__peak"), F.floor(F.avg(v)).alias("__average")]
+    span = (F.col("__t1") - F.col("__t0")) / 1_000_000.0
+    rate = F.coalesce(F.try_divide((F.col("__v1") - F.col("__v0")).cast("double"), span), F.lit(0.0))
+    direction = (
+        F.when(F.col("__samples") == 0, "unknown").when(rate > TREND_BYTES_PER_SECOND, "increasing")
+        .when(rate < -TREND_BYTES_PER_SECOND, "decreasing").otherwise("stable"))
+    return aggs, [
+        F.col("__samples").alias("samples"), F.col("__last").alias("last_updated"), F.col("__v1").alias("current"),
+        F.col("__peak").alias("peak"), F.col("__average").alias("average"), rate.alias("rate"), direction.alias("direction")]
+
+
+def resource_summary(samples: DataFrame, by: Sequence[str], as_of, period_s: int) -> DataFrame:
+    """Mean and peak memory and goroutines in the period, and the last collector values.
+
+    Samples are (ts, memory, goroutines, gc_count, gc_pause_s). A series with no
+    sample in the period is summed up over its whole history.
+    """
+    aggs, out = _summary(as_of, period_s)
+    return samples.groupBy(*by).agg(*aggs).select(*by, *out)
 
 
 def resource_trend(samples: DataFrame, by: Sequence[str], as_of, window_s: int) -> DataFrame:
     """First-to-last rate per second in the window, with direction, peak, mean and current value."""
-    inside = micros(F.col("ts")) >= micros(ntz(as_of)) - window_s * 1_000_000
-    t, v = F.when(inside, F.col("ts")), F.when(inside, F.col("memory"))
-    out = samples.groupBy(*by).agg(
-        F.count(t).alias("samples"), F.min(t).alias("__t0"), F.max(t).alias("last_updated"),
-        F.min_by("memory", t).alias("__v0"), F.max_by("memory", t).alias("current"),
-        F.max(v).alias("peak"), F.floor(F.avg(v)).alias("average"))
-    span = (micros(F.col("last_updated")) - micros(F.col("__t0"))) / 1_000_000.0
-    rate = F.coalesce(F.try_divide((F.col("current") - F.col("__v0")).cast("double"), span), F.lit(0.0))
-    return out.withColumn("rate", rate).withColumn(
-        "direction", F.when(F.col("samples") == 0, "unknown")
-        .when(F.col("rate") > TREND_BYTES_PER_SECOND, "increasing")
-        .when(F.col("rate") < -TREND_BYTES_PER_SECOND, "decreasing").otherwise("stable")
-    ).drop("__t0", "__v0")
+    aggs, out = _trend(as_of, window_s)
+    return samples.groupBy(*by).agg(*aggs).select(*by, *out)
+
+
+def resource_report(samples: DataFrame, by: Sequence[str], as_of, period_s: int) -> DataFrame:
+    """Summary and trend in one pass."""
+    (a, x), (b, y) = _summary(as_of, period_s), _trend(as_of, period_s)
+    return samples.groupBy(*by).agg(*a, *b).select(*by, *x, *y)
 
 
 def resource_leaks(trend: DataFrame, threshold: float) -> DataFrame:
@@ -107,47 +126,50 @@ def _bottleneck(kind: str, operation: Column, severity: Column, impact: Column)
 
 
 def bottlenecks(
-    metrics: DataFrame, ranks: DataFrame, trend: DataFrame | None = None, summary: DataFrame | None = None,
-    series: str = "metric",
+    metrics: DataFrame, ranks: DataFrame, resources: DataFrame | None = None, series: str = "metric"
 ) -> DataFrame:
-    """Slow or failing operations, growing memory and many goroutines, each with severity and impact."""
+    """Slow or failing operations, growing memory and many goroutines, each with severity and impact.
+
+    ``resources`` has the columns of both resource_trend and resource_summary.
+    """
     op, p95 = F.col("op"), F.col("p95")
     error_rate = ratio(F.col("errors"), F.col("n"))
     slow = ranks.select(*_bottleneck("latency", op, ladder(p95, LATENCY_SECONDS, None), p95 / 30.0))
     failing = metrics.select(*_bottleneck("errors", op, ladder(error_rate, ERROR_RATES, None), error_rate))
     out = slow.unionByName(failing)
-    if trend is not None:
+    if resources is not None:
         growth = F.when(F.col("direction") == "increasing", F.col("rate") / MIB)
-        out = out.unionByName(trend.select(
-            *_bottleneck("memory", F.col(series), ladder(growth, GROWTH_MIB, None), growth / 100.0)))
-    if summary is not None:
         peak = F.col("peak_goroutines").cast("double")
-        out = out.unionByName(summary.select(
-            *_bottleneck("goroutines", F.col(series), ladder(peak, GOROUTINES, None), peak / 10_000.0)))
+        both = F.array(
+            F.struct(*_bottleneck("memory", F.col(series), ladder(growth, GROWTH_MIB, None), growth / 100.0)),
+            F.struct(*_bottleneck("goroutines", F.col(series), ladder(peak, GOROUTINES, None), peak / 10_000.0)))
+        out = out.unionByName(resources.select(F.inline(both)))
     return out.where(F.col("severity").isNotNull())
 
 
-def ranked_advice(found: DataFrame, trend: DataFrame | None = None, summary: DataFrame | None = None) -> DataFrame:
+def ranked_advice(found: DataFrame, resources: DataFrame | None = None) -> DataFrame:
     """Advice for high and critical bottlenecks, the worst first, then general advice.
 
     (rank, impact, operation, advice); ordered by rank and impact. One "all
     well" line when there is nothing else.
     """
     rank = severity_rank(F.col("severity"))
-    out = found.where(rank >= 3).select(
+    urgent = found.where(rank >= 3).select(
         rank.alias("rank"), "impact", "operation", F.col("suggestion").alias("advice"))
-
-    def general(df: DataFrame, cond: Column, text: str) -> DataFrame:
-        return df.agg(F.count_if(cond).alias("n")).where("n > 0").select(
-            F.lit(0).alias("rank"), F.lit(0.0).alias("impact"), F.lit("system").alias("operation"), F.lit(text).alias("advice"))
-
-    if trend is not None:
-        out = out.unionByName(general(trend, F.col("direction") == "increasing", GROWING_ADVICE))
-    if summary is not None:
-        out = out.unionByName(general(summary, F.col("gc_pause_s") > GC_PAUSE_SECONDS, GC_ADVICE))
-    well = out.agg(F.count("*").alias("n")).where("n = 0").select(
-        F.lit(0).alias("rank"), F.lit(0.0).alias("impact"), F.lit("system").alias("operation"), F.lit(HEALTHY_ADVICE).alias("advice"))
-    return out.unionByName(well).orderBy(F.col("rank").desc(), F.col("impact").desc())
+    facts = urgent.agg(F.count("*").alias("urgent"))
+    if resources is not None:
+        facts = one_row(facts, resources.agg(
+            F.count_if(F.col("direction") == "increasing").alias("growing"),
+            F.count_if(F.col("gc_pause_s") > GC_PAUSE_SECONDS).alias("pausing")))
+    else:
+        facts = facts.withColumns({"growing": F.lit(0), "pausing": F.lit(0)})
+    growing, pausing = F.col("growing") > 0, F.col("pausing") > 0
+    general = facts.select(F.explode(advice_list(
+        (growing, GROWING_ADVICE), (pausing, GC_ADVICE),
+        ((F.col("urgent") == 0) & ~growing & ~pausing, HEALTHY_ADVICE))).alias("advice"))
+    return urgent.unionByName(general.select(
+        F.lit(0).alias("rank"), F.lit(0.0).alias("impact"), F.lit("system").alias("operation"), "advice"
+    )).orderBy(F.col("rank").desc(), F.col("impact").desc())
 
 
 def live_operations(log: DataFrame, as_of, idle_s: int = IDLE_SECONDS, by: Sequence[str] = ("op",)) -> DataFrame:

@@ -19,13 +19,14 @@ def latest_version(actions: DataFrame) -> DataFrame:
 def snapshot_files(actions: DataFrame, version: int) -> DataFrame:
     """Files active at a version: the last action of a path decides.
 
-    One combining aggregate, no sort: per path only the newest action is kept
-    before the shuffle. In one version a remove comes before an add.
+    One hash aggregate over a number made of version and kind, so per path only
+    the newest action is kept before the shuffle and nothing is sorted. In one
+    version a remove comes before an add.
     """
-    last = actions.where(F.col("version") <= version).groupBy("path").agg(F.max(F.struct(
-        "version", F.when(F.col("action") == "add", 1).otherwise(0).alias("rank"), "size")).alias("last"))
-    return last.where("last.rank = 1").select(
-        "path", F.col("last.version").alias("added_in"), F.col("last.size").alias("size"))
+    order = F.col("version").cast("long") * 2 + F.when(F.col("action") == "add", 1).otherwise(0)
+    last = actions.where(F.col("version") <= version).groupBy("path").agg(
+        F.max(order).alias("__o"), F.max_by(F.col("size").cast("long"), order).alias("size"))
+    return last.where(F.col("__o") % 2 == 1).select("path", F.floor(F.col("__o") / 2).cast("int").alias("added_in"), "size")
 
 
 def data_volume(actions: DataFrame, after: int, to: int) -> DataFrame:

@@ -129,11 +129,8 @@ bott as (
 
 
 def found_bottlenecks(t):
-    log, s = op_log(t), samples(t)
-    return (
-        p.bottlenecks(p.operation_metrics(log), p.percentiles(log, "event_id"),
-                      p.resource_trend(s, ["metric"], AS_OF, WEEK), p.resource_summary(s, ["metric"], AS_OF, WEEK)),
-        p.resource_trend(s, ["metric"], AS_OF, WEEK), p.resource_summary(s, ["metric"], AS_OF, WEEK))
+    log, resources = op_log(t), p.resource_report(samples(t), ["metric"], AS_OF, WEEK)
+    return p.bottlenecks(p.operation_metrics(log), p.percentiles(log, "event_id"), resources), resources
 
 
 @query("bottlenecks", sql="with " + BOTTLENECKS + """

@@ -36,7 +36,7 @@ def log_latest(t):
     return vs.latest_version(t.actions)
 
 
-@query("snapshot_files", views=("actions",), sql="with " + SNAPSHOT_5 + " select path, added_in, size from snap")
+@query("snapshot_files", views=("actions",), sql="with " + SNAPSHOT_5 + " select path, cast(added_in as int) as added_in, size from snap")
 def snapshot_files(t):
     return vs.snapshot_files(t.actions, 5)
 
