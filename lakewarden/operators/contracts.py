@@ -121,6 +121,20 @@ def json_is(v: Column, want: str) -> Column:
     return name == {"string": "STRING", "boolean": "BOOLEAN", "null": "VOID"}.get(want, "?")
 
 
+# First character of JSON text by type.
+FIRST = {"object": "{", "array": "[", "string": '"', "boolean": "tf", "null": "n", "number": "-0123456789", "integer": "-0123456789"}
+
+
+def text_is(text: Column, v: Column, want: str) -> Column:
+    """Type of a whole JSON text by its first character: the schema of a large variant is never spelled out."""
+    first = F.substring(F.btrim(text, F.lit(" \t\n\r")), 1, 1)
+    fits = v.isNotNull() & first.isin(*FIRST.get(want, "?"))
+    if want != "integer":
+        return fits
+    value = F.try_variant_get(v, "$", "double")
+    return fits & (value == F.floor(value))
+
+
 def _equals(v: Column, value) -> Column:
     kind, as_type = (
         ("null", None) if value is None else ("boolean", "boolean") if isinstance(value, bool)
@@ -137,20 +151,22 @@ def _joined(path: Column | str, name: Column | str) -> Column | str:
 
 
 def schema_check(
-    schema: Mapping, root: Column, guard: Column, at: str = "$", path: Column | str = "", strict: bool = False
+    schema: Mapping, root: Column, guard: Column, at: str = "$", path: Column | str = "", strict: bool = False,
+    text: Column | None = None,
 ) -> Found:
     """Possible violations of a nested JSON schema, walked once while the plan is built.
 
     ``root`` is the variant, ``at`` the JSON path inside it, ``guard`` when
     this part of the schema applies: all parents have their type and the
-    property is there. A wrong type ends the walk on this branch.
+    property is there. A wrong type ends the walk on this branch. ``text`` is
+    what the root was parsed from, if it is at hand.
     """
     v = root if at == "$" else F.try_variant_get(root, at, "variant")
     want, out, arrays = schema.get("type"), [], []
     inside = guard
     if want:
-        fits = json_is(v, want)
-        out.append(Leaf(guard & ~fits, "schema", path, "medium", "type mismatch"))
+        fits = json_is(v, want) if text is None else text_is(text, v, want)
+        out.append(Leaf(guard & F.coalesce(~fits, F.lit(True)), "schema", path, "medium", "type mismatch"))
         inside = guard & fits
 
     def bad(cond: Column, text: str, severity: str = "medium", where: Column | str = path) -> None:
@@ -162,13 +178,13 @@ def schema_check(
             hit = hit | F.coalesce(_equals(v, value), F.lit(False))
         bad(~hit, "value not in enum")
     if want == "string":
-        text = F.try_variant_get(v, "$", "string")
+        value = F.try_variant_get(v, "$", "string")
         if schema.get("pattern"):
-            bad(~text.rlike(schema["pattern"]), "string does not match pattern")
+            bad(~value.rlike(schema["pattern"]), "string does not match pattern")
         if "minLength" in schema:
-            bad(F.octet_length(text) < schema["minLength"], "string too short")
+            bad(F.octet_length(value) < schema["minLength"], "string too short")
         if "maxLength" in schema:
-            bad(F.octet_length(text) > schema["maxLength"], "string too long")
+            bad(F.octet_length(value) > schema["maxLength"], "string too long")
     elif want in ("number", "integer"):
         number = F.try_variant_get(v, "$", "double")
         if "minimum" in schema:
@@ -206,7 +222,8 @@ def body_check(endpoints: Sequence[Endpoint], strict: bool = False) -> Found:
     for e in endpoints:
         for status, schema in e.responses.items():
             if schema:
-                out = out + schema_check(schema, F.col("json"), _is(e) & (F.col("status") == status), strict=strict)
+                out = out + schema_check(schema, F.col("json"), _is(e) & (F.col("status") == status), strict=strict,
+                                         text=F.col("body"))
     return out
 
 

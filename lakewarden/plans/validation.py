@@ -32,7 +32,7 @@ checked as (
 
 BATCHES = CHECKED + """,
 batches as (
-  select year(o_orderdate) as y, month(o_orderdate) as m
+  select cast(year(o_orderdate) as int) as y, cast(month(o_orderdate) as int) as m
     , count(*) as total_records, count(*) filter (n_err = 0) as valid_records
     , count(*) filter (n_err > 0) as error_records, count(*) filter (n_warn > 0) as warning_records
     , cast(sum(n_err) as bigint) as error_count, cast(sum(n_warn) as bigint) as warning_count

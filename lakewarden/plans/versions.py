@@ -31,7 +31,7 @@ def log_scan(t):
     return log.groupBy("version", "action").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
 
 
-@query("log_latest", views=("actions",), sql="select coalesce(max(version), -1) as version from actions")
+@query("log_latest", views=("actions",), sql="select cast(coalesce(max(version), -1) as int) as version from actions")
 def log_latest(t):
     return vs.latest_version(t.actions)
 

@@ -116,3 +116,16 @@ def test_longest_path_wins_and_lost_calls_are_critical(rows):
     calls = rows([(1, "GET", "http://h/a/b"), (2, "get", "http://h/b"), (3, "PUT", "http://h/b")], "request_id int, method string, url string")
     ends = [c.Endpoint("GET", "/b"), c.Endpoint("get", "/a/b")]
     assert as_set(c.matched(calls, ends).select("request_id", "endpoint")) == {(1, "GET /a/b"), (2, "GET /b"), (3, None)}
+
+
+@pytest.mark.parametrize("body, fits", [
+    ('{"a": 1}', "object"), (" [1]", "array"), ('"x"', "string"), ("-1.5", "number"), ("3.0", "integer"), ("true", "boolean"),
+    ("null", "null"), ("not json", None), (None, None),
+])
+def test_root_type_of_body(rows, body, fits):
+    df = rows([(1, "GET", "http://h/x", 200, body, 1)],
+              "request_id int, method string, url string, status int, body string, duration_ms long")
+    for want in ("object", "array", "string", "number", "integer", "boolean", "null"):
+        found = c.conformance(df, [c.Endpoint("GET", "/x", {200: {"type": want}})]).first().violations
+        ok = want == fits or (want == "number" and fits == "integer")
+        assert (not found) == ok, (body, want)
