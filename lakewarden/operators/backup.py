@@ -65,7 +65,7 @@ def integrity_issues(manifest: DataFrame, stored: DataFrame, mode: str = "checks
         issues += [_issue("error", "checksum_mismatch", ~gone & (F.col("checksum") != F.col("__checksum"))),
                    _issue("error", "size_mismatch", ~gone & (F.col("size") != F.col("__size")))]
     return manifest.join(there, ["backup_id", "path"], "left").select(
-        "backup_id", F.col("path").alias("file"), F.inline(F.array_compact(F.array(*issues))))
+        "backup_id", F.col("path").alias("file"), F.inline(F.array(*issues))).where(F.col("severity").isNotNull())
 
 
 def completeness_issues(manifest: DataFrame) -> DataFrame:
@@ -75,11 +75,11 @@ def completeness_issues(manifest: DataFrame) -> DataFrame:
     facts = manifest.withColumn("__version", version).groupBy("backup_id").agg(
         F.count_if(is_log).alias("logs"), F.count_if(F.col("type") == "data").alias("data"),
         F.count_if(is_log & F.col("path").contains(FIRST_VERSION_FILE)).alias("first"), F.max("__version").alias("last"))
-    required = facts.select("backup_id", F.lit("").alias("file"), F.inline(F.array_compact(F.array(
+    required = facts.select("backup_id", F.lit("").alias("file"), F.inline(F.array(
         _issue("error", "missing_log_files", F.col("logs") == 0),
         _issue("error", "missing_protocol", F.col("first") == 0),
         _issue("error", "missing_metadata", F.col("first") == 0),
-        _issue("warning", "no_data_files", F.col("data") == 0)))))
+        _issue("warning", "no_data_files", F.col("data") == 0)))).where(F.col("severity").isNotNull())
     expected = facts.where(F.col("last").isNotNull()).select(
         "backup_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))).alias("__version"))
     have = manifest.select("backup_id", version.alias("__version")).where(F.col("__version").isNotNull()).distinct()
@@ -93,9 +93,9 @@ def restorability_issues(manifest: DataFrame, stored: DataFrame, mode: str = "ch
     """All that speaks against a restore: integrity, completeness, format and a missing log folder."""
     facts = manifest.groupBy("backup_id").agg(
         F.max("format_version").alias("v"), F.count_if(F.col("path").contains(LOG_FOLDER)).alias("logs"))
-    more = facts.select("backup_id", F.lit("").alias("file"), F.inline(F.array_compact(F.array(
+    more = facts.select("backup_id", F.lit("").alias("file"), F.inline(F.array(
         _issue("error", "unsupported_format", ~F.col("v").isin(*FORMAT_VERSIONS)),
-        _issue("error", "missing_delta_log", F.col("logs") == 0)))))
+        _issue("error", "missing_delta_log", F.col("logs") == 0)))).where(F.col("severity").isNotNull())
     return integrity_issues(manifest, stored, mode).unionByName(completeness_issues(manifest)).unionByName(more)
 
 

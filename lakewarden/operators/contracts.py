@@ -8,6 +8,7 @@ body as JSON text, duration_ms).
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -52,21 +53,36 @@ class Leaf:
 
 @dataclass(frozen=True)
 class Found:
-    """Possible violations of a row: single ones, and arrays of any number (items, unknown keys)."""
+    """Possible violations of a row: single ones, and arrays of any number (items, unknown keys).
+
+    ``values`` are the parts of a body that checks look at; each is taken out,
+    and its type named, once per row however many checks and endpoints use it.
+    """
 
     leaves: list[Leaf]
     arrays: list[Column] = field(default_factory=list)
+    values: dict[str, Column] = field(default_factory=dict)
 
     def __add__(self, other: Found) -> Found:
-        return Found(self.leaves + other.leaves, self.arrays + other.arrays)
+        return Found(self.leaves + other.leaves, self.arrays + other.arrays, {**self.values, **other.values})
+
+    def prepare(self, rows: DataFrame) -> DataFrame:
+        if not self.values:
+            return rows
+        return rows.withColumns(self.values).withColumns(
+            {type_of(name): F.schema_of_variant(F.col(name)) for name in self.values})
 
     def as_array(self) -> Column:
-        """All violations as one array; concat stays in generated code where a filter would not."""
+        """All violations as one array."""
         none = F.array().cast(VIOLATION)
         parts = [F.when(x.holds, F.array(x.item())).otherwise(none) for x in self.leaves]
         return F.concat(none, *parts, *[F.coalesce(x, none) for x in self.arrays])
 
 
+def type_of(value: str) -> str:
+    return f"{value}_type"
+
+
 def match_endpoint(endpoints: Sequence[Endpoint]) -> Column:
     """Name of the endpoint with the same method whose path ends the URL; the longest path wins."""
     lengths = sorted({len(e.path) for e in endpoints}, reverse=True)
@@ -107,9 +123,9 @@ def timeout_check(endpoints: Sequence[Endpoint], tolerance_ms: int = TIMEOUT_TOL
         for e in endpoints if e.timeout_ms > 0])
 
 
-def json_is(v: Column, want: str) -> Column:
+def json_is(v: Column, want: str, name: Column | None = None) -> Column:
     """Whether a variant is of a JSON type; integer takes any number without a fraction."""
-    name = F.schema_of_variant(v)
+    name = F.schema_of_variant(v) if name is None else name
     if want == "object":
         return name.startswith("OBJECT")
     if want == "array":
@@ -135,11 +151,11 @@ def text_is(text: Column, v: Column, want: str) -> Column:
     return fits & (value == F.floor(value))
 
 
-def _equals(v: Column, value) -> Column:
+def _equals(v: Column, value, name: Column | None) -> Column:
     kind, as_type = (
         ("null", None) if value is None else ("boolean", "boolean") if isinstance(value, bool)
         else ("number", "double") if isinstance(value, (int, float)) else ("string", "string"))
-    fits = json_is(v, kind)
+    fits = json_is(v, kind, name)
     return fits & (F.try_variant_get(v, "$", as_type) == F.lit(value)) if as_type else fits
 
 
@@ -161,11 +177,18 @@ def schema_check(
     property is there. A wrong type ends the walk on this branch. ``text`` is
     what the root was parsed from, if it is at hand.
     """
-    v = root if at == "$" else F.try_variant_get(root, at, "variant")
-    want, out, arrays = schema.get("type"), [], []
+    want, out, arrays, values = schema.get("type"), [], [], {}
+    if at == "$":
+        v, name = root, None
+    elif text is None:
+        v, name = F.try_variant_get(root, at, "variant"), None
+    else:
+        key = "__at_" + hashlib.md5(at.encode()).hexdigest()[:12]
+        values[key] = F.try_variant_get(root, at, "variant")
+        v, name = F.col(key), F.col(type_of(key))
     inside = guard
     if want:
-        fits = json_is(v, want) if text is None else text_is(text, v, want)
+        fits = text_is(text, v, want) if text is not None and at == "$" else json_is(v, want, name)
         out.append(Leaf(guard & F.coalesce(~fits, F.lit(True)), "schema", path, "medium", "type mismatch"))
         inside = guard & fits
 
@@ -175,7 +198,7 @@ def schema_check(
     if schema.get("enum"):
         hit = F.lit(False)
         for value in schema["enum"]:
-            hit = hit | F.coalesce(_equals(v, value), F.lit(False))
+            hit = hit | F.coalesce(_equals(v, value, name), F.lit(False))
         bad(~hit, "value not in enum")
     if want == "string":
         value = F.try_variant_get(v, "$", "string")
@@ -194,14 +217,14 @@ def schema_check(
     elif want == "object":
         properties = schema.get("properties", {})
 
-        def there(name: str) -> Column:
-            return F.try_variant_get(root, f"{at}['{name}']", "variant").isNotNull()
+        def there(prop: str) -> Column:
+            return F.try_variant_get(root, f"{at}['{prop}']", "variant").isNotNull()
 
-        for name in schema.get("required", ()):
-            bad(~there(name), "required property is missing", "high", _joined(path, name))
-        for name, inner in properties.items():
-            found = schema_check(inner, root, inside & there(name), f"{at}['{name}']", _joined(path, name), strict)
-            out, arrays = out + found.leaves, arrays + found.arrays
+        for prop in schema.get("required", ()):
+            bad(~there(prop), "required property is missing", "high", _joined(path, prop))
+        for prop, inner in properties.items():
+            found = schema_check(inner, root, inside & there(prop), f"{at}['{prop}']", _joined(path, prop), strict, text)
+            out, arrays, values = out + found.leaves, arrays + found.arrays, {**values, **found.values}
         if strict:
             keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
             extra = F.array_except(keys, F.array(*[F.lit(n) for n in properties]).cast("array<string>"))
@@ -213,7 +236,7 @@ def schema_check(
         arrays.append(F.when(inside, F.flatten(F.transform(items, lambda x, i: schema_check(
             schema["items"], x, F.lit(True), "$", F.concat(base, F.lit("["), i.cast("string"), F.lit("]")), strict
         ).as_array()))))
-    return Found(out, arrays)
+    return Found(out, arrays, values)
 
 
 def body_check(endpoints: Sequence[Endpoint], strict: bool = False) -> Found:
@@ -244,18 +267,20 @@ def conformance(
     lost = Found([Leaf(F.col("endpoint").isNull(), "connectivity", "", "critical", "no matching endpoint found in contract")])
     worst = F.array_max(F.transform("violations", lambda x: severity_rank(x["severity"])))
     return (
-        matched(recordings, endpoints).withColumn("violations", (lost + found).as_array())
+        found.prepare(matched(recordings, endpoints)).withColumn("violations", (lost + found).as_array())
+        .select(*recordings.columns, "endpoint", "violations")
         .withColumn("success", F.coalesce(worst < 3, F.lit(True)))
-        .withColumn("response_size", F.octet_length("body")).drop("json"))
+        .withColumn("response_size", F.octet_length("body")))
 
 
 def violations_of(rows: DataFrame, keys: Sequence[str], found: Found) -> DataFrame:
-    """One row per violation."""
-    single = F.array(*[F.when(x.holds, x.item()) for x in found.leaves])
-    if not found.arrays:
-        return rows.select(*keys, F.inline(single)).where(F.col("type").isNotNull())
-    return rows.select(*keys, F.inline(F.concat(single, *[F.coalesce(x, F.array().cast(VIOLATION)) for x in found.arrays]))
-                       ).where(F.col("type").isNotNull())
+    """One row per violation.
+
+    The array is made by a projection, which shares common parts; the outer
+    form of inline keeps the optimizer from making it a second time in a filter.
+    """
+    made = found.prepare(rows).select(*keys, found.as_array().alias("__found"))
+    return made.select(*keys, F.inline_outer("__found")).where(F.col("type").isNotNull())
 
 
 def keep_recordings(recordings: DataFrame, filters: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:

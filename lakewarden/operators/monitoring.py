@@ -103,8 +103,8 @@ def check_rules(metrics: DataFrame, rules: Sequence[HealthRule]) -> DataFrame:
             F.lit(rule.name).alias("rule"), F.lit(rule.severity).alias("rule_severity"), status.alias("status"),
             F.when(status != "ok", bound).alias("threshold"), message.alias("message")))
 
-    results = F.array_compact(F.array(*[result(r) for r in rules if r.enabled]))
-    return metrics.select("ts", "metric", "value", F.inline(results))
+    results = F.array(*[result(r) for r in rules if r.enabled])
+    return metrics.select("ts", "metric", "value", F.inline(results)).where(F.col("rule").isNotNull())
 
 
 def overall_health(results: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -86,8 +86,8 @@ def state_issues(rows: DataFrame, keys: list[str]) -> DataFrame:
         (F.coalesce(F.col("schema_version") < 0, F.lit(False)), "invalid schema version"),
         (~allowed, "invalid sync type"),
     ]
-    found = F.array_compact(F.array(*[F.when(cond, F.lit(text)) for cond, text in rules]))
-    return rows.select(*keys, F.explode(found).alias("issue"))
+    found = F.array(*[F.when(cond, F.lit(text)) for cond, text in rules])
+    return rows.select(*keys, F.explode(found).alias("issue")).where(F.col("issue").isNotNull())
 
 
 def retry_queue(

@@ -63,7 +63,7 @@ def structure_issues(states: DataFrame, by: str = "version") -> DataFrame:
     )
     grouped = counts.select(by, F.inline(faults))
     # Faults of single actions stay row level, so a state of millions of files is no large array.
-    row = F.array_compact(F.array(
+    row = F.array(
         F.when((F.col("action") == "add") & (F.coalesce("path", F.lit("")) == ""), F.struct(
             F.lit("structure").alias("type"), F.lit("Add action missing path").alias("description"),
             F.lit("error").alias("severity"))),
@@ -73,8 +73,8 @@ def structure_issues(states: DataFrame, by: str = "version") -> DataFrame:
         F.when(F.col("action") == "remove", F.struct(
             F.lit("structure").alias("type"), F.lit("Remove action found in checkpoint").alias("description"),
             F.lit("warning").alias("severity"))),
-    ))
-    return grouped.unionByName(states.select(by, F.inline(row)))
+    )
+    return grouped.unionByName(states.select(by, F.inline(row)).where(F.col("severity").isNotNull()))
 
 
 def state_against_snapshot(state: DataFrame, snapshot: DataFrame) -> DataFrame:
@@ -98,7 +98,8 @@ def state_against_snapshot(state: DataFrame, snapshot: DataFrame) -> DataFrame:
     if both_modified:
         issues.append(issue(here & ~F.col("got_modified").eqNullSafe(F.col("want_modified")),
                             "consistency", "File modification time mismatch", "warning"))
-    return s.join(x, "path", "full_outer").select("path", F.inline(F.array_compact(F.array(*issues))))
+    return s.join(x, "path", "full_outer").select("path", F.inline(F.array(*issues))).where(
+        F.col("severity").isNotNull())
 
 
 def dangling_files(active: DataFrame, stored: DataFrame) -> DataFrame:
