@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from lakewarden.functions.columns import ladder, ladder_at_least, ratio
-from lakewarden.functions.windows import newest_per_key
+from lakewarden.functions.windows import newest_per_key, null_safe_join
 from lakewarden.operators.rules import Check, FRACTIONAL, Field, INTEGRAL, value_type
 
 
@@ -93,18 +93,16 @@ def profile(
 ) -> DataFrame:
     """One row per column (and group): population, distinct count, min, max, mean, spread.
 
-    ``distinct`` is "exact", "approx" or None. The exact count expands each row
-    once per column before the combine, so pick "approx" on wide, unique data.
+    ``distinct`` is "exact", "approx" or None. Exact counts are taken column by
+    column: each reads one column only, and all together read the table once,
+    where one aggregate would copy every row once per column.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     aggs: list[Column] = [F.count("*").alias("__rows")]
     for i, name in enumerate(columns):
         col, numeric = F.col(name), isinstance(types[name], INTEGRAL + FRACTIONAL)
         number = col.cast("double") if numeric else F.lit(None).cast("double")
-        unique = {
-            "exact": F.count_distinct(col), "approx": F.approx_count_distinct(col),
-            None: F.max(F.lit(None).cast("long")),
-        }[distinct]
+        unique = F.approx_count_distinct(col) if distinct == "approx" else F.max(F.lit(None).cast("long"))
         length = F.length(col).cast("double") if isinstance(types[name], T.StringType) else F.lit(None).cast("double")
         aggs += [
             F.count(col).alias(f"__n{i}"), unique.alias(f"__u{i}"),
@@ -125,7 +123,17 @@ def profile(
         )
         for i, name in enumerate(columns)
     ]
-    return df.groupBy(*by).agg(*aggs).select(*by, F.inline(F.array(*rows)))
+    out = df.groupBy(*by).agg(*aggs).select(*by, F.inline(F.array(*rows)))
+    if distinct != "exact":
+        return out
+    counts = [
+        df.groupBy(*by).agg(F.count_distinct(name).alias("__unique")).select(*by, F.lit(name).alias("field"), "__unique")
+        for name in columns
+    ]
+    unique = counts[0]
+    for more in counts[1:]:
+        unique = unique.unionByName(more)
+    return null_safe_join(out, unique, [*by, "field"], "inner").withColumn("unique_values", F.col("__unique")).drop("__unique")
 
 
 def type_distribution(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

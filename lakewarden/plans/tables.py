@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakewarden.plans.views import VIEWS, tables_in
-from lakewarden.session import use_utc
+from lakewarden.session import prepare
 
 NAMES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -15,7 +15,7 @@ NAMES = (
 
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        use_utc(spark)
+        prepare(spark)
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 

@@ -18,6 +18,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.codegen.hugeMethodLimit", HUGE_METHOD)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
@@ -25,10 +26,20 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
     )
 
 
-def use_utc(spark: SparkSession) -> None:
-    """Pin the zone: timestamps without zone are read as UTC when their epoch is taken."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+# The JVM does not compile methods over this many bytes of code; Spark then takes its split form instead.
+HUGE_METHOD = "8000"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Settings the queries rely on.
+
+    The zone is pinned, as timestamps without zone are read as UTC when their
+    epoch is taken; and wide rule sets are kept out of methods that would run
+    uncompiled.
+    """
+    for key, value in (("spark.sql.session.timeZone", "UTC"), ("spark.sql.codegen.hugeMethodLimit", HUGE_METHOD)):
+        if spark.conf.get(key) != value:
+            spark.conf.set(key, value)
 
 
 def shared_dir(spark: SparkSession) -> str:
