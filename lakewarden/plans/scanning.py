@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from lakewarden.operators import scanning as s
 from lakewarden.operators.scanning import ScanRule
 from lakewarden.plans.registry import query

@@ -8,6 +8,7 @@ version number.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -30,10 +31,23 @@ class VersionedTable:
     def log_path(self) -> str:
         return f"{self.root}/log"
 
-    def _log_names(self) -> list[str]:
+    def _committed(self) -> Iterator[int]:
+        """Committed versions, newest first, from the names in the log folder alone.
+
+        A version whose write was cut short has no success mark: it does not
+        count, and the next commit takes its number.
+        """
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.log_path)
         fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        found = []
+        for status in fs.listStatus(path) if fs.exists(path) else []:
+            match = re.fullmatch(r"(\d{20})\.json", status.getPath().getName())
+            if match:
+                found.append((int(match[1]), status))
+        for version, status in sorted(found, key=lambda x: -x[0]):
+            mark = self.spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+            if status.isFile() or fs.exists(mark):
+                yield version
 
     def log(self) -> DataFrame:
         return scan_log(self.spark, self.log_path)
@@ -42,9 +56,8 @@ class VersionedTable:
         return file_actions(self.log())
 
     def latest(self) -> int:
-        """Highest committed version, from the names in the log folder alone; -1 when there is none."""
-        found = [re.fullmatch(r"(\d{20})\.json", name) for name in self._log_names()]
-        return max((int(m[1]) for m in found if m), default=-1)
+        """Highest committed version, -1 when there is none."""
+        return next(self._committed(), -1)
 
     def commit(self, df: DataFrame, replace: bool = False, rows_per_file: int = BATCH_ROWS,
                version: int | None = None, operation: str = "WRITE") -> int:
@@ -74,7 +87,8 @@ class VersionedTable:
         info = self.spark.range(0, 1, 1, 1).select(F.to_json(F.struct(F.struct(
             F.lit(0).cast("long").alias("timestamp"), F.lit(operation).alias("operation"),
         ).alias("commitInfo"))).alias("value"))
-        lines.unionByName(info).write.mode("overwrite").text(f"{self.log_path}/{new:020d}.json")
+        lines.unionByName(info).write.mode("overwrite").option(
+            "mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").text(f"{self.log_path}/{new:020d}.json")
         return new
 
     def _header(self, df: DataFrame) -> DataFrame:

@@ -33,12 +33,16 @@ def ingest(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = prepare(batch) if prepare else batch
-        summary = batch_summary(rows, [], fields, compile_checks(rows, fields))
-        if strict and summary.where("error_records > 0").count():
-            raise BatchRejected(f"batch {batch_id} has errors")
+        if strict or report_path:
+            # One row of counts, taken in one pass before anything is written.
+            summary = batch_summary(rows, [], fields, compile_checks(rows, fields))
+            counts = summary.collect()
+            if strict and any(row["error_records"] for row in counts):
+                raise BatchRejected(f"batch {batch_id} has errors")
+            if report_path:
+                made = batch.sparkSession.createDataFrame(counts, summary.schema)
+                made.coalesce(1).write.mode("overwrite").parquet(f"{report_path}/batch={batch_id}")
         table.commit(rows, version=batch_id, operation="STREAM")
-        if report_path:
-            summary.write.mode("overwrite").parquet(f"{report_path}/batch={batch_id}")
 
     query = (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

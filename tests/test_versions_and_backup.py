@@ -1,12 +1,16 @@
 """Versioned tables, action logs, saved states, backups."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import as_set
 from lakewarden.operators import backup as b, versions as vs
 from lakewarden.session import fresh_dir
+from lakewarden.operators.rules import Field
 from lakewarden.sources.versioned import VersionedTable
+from lakewarden.streaming import ingest
 
 ACTIONS = "version int, path string, action string, size long"
 
@@ -94,3 +98,26 @@ def test_list_checksum_ignores_order(rows):
 def test_preview_takes_at_least_a_second(rows):
     m = rows([("b", "p", 5), ("c", "p", 50 * 1024 * 1024)], "backup_id string, path string, size long")
     assert as_set(b.restore_preview(m).select("backup_id", "estimated_seconds")) == {("b", 1), ("c", 5)}
+
+
+def test_cut_short_commit_does_not_count(spark):
+    table = VersionedTable(spark, fresh_dir(spark, "test-cut"))
+    table.commit(spark.range(5))
+    Path(table.log_path, f"{1:020d}.json").mkdir()
+    spark.range(7).write.parquet(f"{table.root}/data/version=1")
+    assert table.latest() == 0 and table.read().count() == 5
+    assert table.commit(spark.range(2)) == 1 and table.read().count() == 7
+
+
+def test_stream_rejects_a_bad_batch_and_takes_it_up_again(spark):
+    root = fresh_dir(spark, "test-strict")
+    table = VersionedTable(spark, f"{root}/table")
+    data = spark.createDataFrame([(1,), (None,)], "n int")
+    data.coalesce(1).write.parquet(f"{root}/in")
+    stream = ingest.read_stream(spark, f"{root}/in", data)
+    fields = [Field("n", "integer", False)]
+    with pytest.raises(Exception, match="has errors"):
+        ingest.ingest(stream, table, fields, f"{root}/cp", strict=True)
+    assert table.latest() == -1
+    ingest.ingest(stream, table, fields, f"{root}/cp", strict=True, prepare=lambda df: df.where("n is not null"))
+    assert table.latest() == 0 and table.read().count() == 1
