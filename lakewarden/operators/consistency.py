@@ -35,13 +35,15 @@ def staleness(state: DataFrame, as_of, windows: DataFrame | None = None, default
 
 
 def missing_dependents(state: DataFrame, edges: DataFrame) -> DataFrame:
-    """Parents that were synced while dependents were not; the dependents are listed."""
+    """Dependents that were not synced while their parent was; one row per pair, nothing is collected.
+
+    All missing dependents of a parent are one violation, see ``report``.
+    """
     known = state.select("object").distinct()
     there = edges.join(known.withColumnRenamed("object", "parent"), "parent", "left_semi")
     gone = there.join(known.withColumnRenamed("object", "dependent"), "dependent", "left_anti")
-    listed = F.array_join(F.array_sort(F.collect_set("dependent")), ", ")
-    return gone.groupBy("parent").agg(listed.alias("__list")).select(*_row(
-        "missing_object", F.col("parent"), F.col("__list"), F.lit("high"), F.lit(None)))
+    return gone.select(*_row(
+        "missing_object", F.col("parent"), F.col("dependent"), F.lit("high"), F.lit(None)))
 
 
 def _pairs(state: DataFrame, edges: DataFrame) -> DataFrame:
@@ -79,12 +81,15 @@ def violations(state: DataFrame, edges: DataFrame, as_of, windows: DataFrame | N
 
 
 def report(found: DataFrame) -> DataFrame:
-    """One row: violations by severity and the overall status."""
+    """One row: violations by severity and the overall status; a parent's missing dependents count once."""
+    missing = F.col("type") == "missing_object"
+    parents = F.count_distinct(F.when(missing, F.col("parent")))
 
     def of(level: str) -> Column:
-        return F.count_if(F.col("severity") == level).alias(level)
+        n = F.count_if(~missing & (F.col("severity") == level))
+        return (n + parents if level == "high" else n).alias(level)
 
     worst = F.coalesce(F.max(severity_rank(F.col("severity"))), F.lit(0))
     return found.agg(
-        F.count("*").alias("violations"), of("low"), of("medium"), of("high"), of("critical"),
+        (F.count_if(~missing) + parents).alias("violations"), of("low"), of("medium"), of("high"), of("critical"),
         F.when(worst == 4, "unhealthy").when(worst > 0, "degraded").otherwise("healthy").alias("status"))

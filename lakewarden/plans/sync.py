@@ -81,10 +81,8 @@ stale_rows as (
   from stale where age > lim)"""
 MISSING = """
 missing_rows as (
-  select 'missing_object' as type, parent, string_agg(dependent, ', ' order by dependent) as dependent, 'high' as severity
-    , cast(null as double) as amount_s
-  from object_edges where parent in (select object from object_state) and dependent not in (select object from object_state)
-  group by parent)"""
+  select 'missing_object' as type, parent, dependent, 'high' as severity, cast(null as double) as amount_s
+  from object_edges where parent in (select object from object_state) and dependent not in (select object from object_state))"""
 PAIRS = """
 pairs as (
   select parent, dependent, (epoch_us(p.watermark) - epoch_us(d.watermark)) / 1e6 as drift
@@ -126,7 +124,7 @@ def consistency_gap(t):
 
 
 @query("consistency_report", views=STATE_VIEWS, sql="with " + STALE + "," + MISSING + "," + PAIRS + """,
-v as (select severity from stale_rows union all select severity from missing_rows
+v as (select severity from stale_rows union all select 'high' from (select distinct parent from missing_rows)
   union all select severity from drift_rows union all select severity from gap_rows)
 select count(*) as violations, count(*) filter (severity = 'low') as low, count(*) filter (severity = 'medium') as medium
   , count(*) filter (severity = 'high') as high, count(*) filter (severity = 'critical') as critical

@@ -91,6 +91,13 @@ def test_missing_drift_and_gap(rows, edges):
     assert c.report(c.violations(state, edges, NOW)).first().status == "degraded"
 
 
+def test_missing_dependents_of_a_parent_count_once(rows, edges):
+    found = c.violations(state_of(rows, Account=(0, 0)), edges, NOW)
+    assert found.count() == 2
+    report = c.report(found).first()
+    assert (report.violations, report.high, report.status) == (1, 1, "degraded")
+
+
 def test_watermark_is_strict_and_cut_to_milliseconds(rows):
     t = datetime(2024, 1, 1, 0, 0, 0, 123456)
     df = rows([(1, t), (2, t.replace(microsecond=123000)), (3, t.replace(microsecond=124000))], "id int, ts timestamp_ntz")
