@@ -10,14 +10,19 @@ all stretches in parallel. All passes read sorted rows in batches.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from lakewarden.functions.columns import micros
 
+# The functions below travel to the tasks whole, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 COOLDOWN_SECONDS = 30 * 60
 NEVER = np.iinfo(np.int64).max
 ALWAYS = np.iinfo(np.int64).min

@@ -1,11 +1,15 @@
 """Cooldown: against a plain loop, with hot rules cut into stretches, in batch and on a stream."""
 
 import random
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from conftest import as_set
+from lakewarden.operators import alerts as batch_alerts
 from lakewarden.operators.alerts import alert_history, cooldown
 from lakewarden.session import fresh_dir
 from lakewarden.streaming import alerts as live, rates
@@ -57,3 +61,12 @@ def test_stream_equals_batch(spark):
     rates.drain(live.cooldown_stream(read_stream(spark, f"{root}/in", df), "rule", "ts", "id", 1800), f"{root}/out", f"{root}/cp")
     batch = cooldown(df, "rule", "ts", "id", 1800)
     assert as_set(spark.read.parquet(f"{root}/out").select("id")) == as_set(batch.select("id"))
+
+
+@pytest.mark.parametrize("function", [batch_alerts._transfer(1, 1), batch_alerts._follow, batch_alerts._mark(1, ["a"])])
+def test_task_functions_need_no_package_on_executors(tmp_path, function):
+    path = tmp_path / "function.pickle"
+    path.write_bytes(cloudpickle.dumps(function))
+    code = (f"import pickle, sys; f = pickle.load(open({str(path)!r}, 'rb')); "
+            "assert list(f(iter([]))) == [] and not any(m.startswith('lakewarden') for m in sys.modules)")
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path)
