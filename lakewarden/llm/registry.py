@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("byte_bpe", "secrets", "exact_dedup", "pii")
+MODULES = ("byte_bpe", "secrets", "substring_dedup", "suffix_dedup", "simhash", "exact_dedup", "pii")
 
 
 def _gather(name: str) -> dict:
