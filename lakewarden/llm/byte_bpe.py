@@ -236,6 +236,23 @@ def digests(docs: DataFrame, shared) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL(DIGEST)]))
 
 
+def tokenised(docs: DataFrame, shared) -> DataFrame:
+    """doc_id, n_tokens, ids as an array, and whether decoding gives the text again, in the order of ``docs``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            packed = [own.encode(text) for _, text in _rows(batch)]
+            intact = [own.decode(ids) == text.encode() for ids, (_, text) in zip(packed, _rows(batch))]
+            at = np.cumsum([0, *[len(p) // 4 for p in packed]])
+            ids = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+            counts = pa.array(np.diff(at), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), counts, ids, pa.array(intact)], ["doc_id", "n_tokens", "ids", "intact"])
+
+    rows = texts(docs)
+    return rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL("n_tokens long, ids array<int>, intact boolean")]))
+
+
 def production(spark: SparkSession):
     """The codec of the queries: the 50k vocabulary for many languages, read on the driver."""
     import public_tokenizers

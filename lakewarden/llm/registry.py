@@ -7,7 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("byte_bpe", "secrets", "substring_dedup", "suffix_dedup", "simhash", "exact_dedup", "pii")
+MODULES = (
+    "mixing", "byte_bpe", "secrets", "substring_dedup", "suffix_dedup", "simhash",
+    "exact_dedup", "neighbours", "pii", "toxicity", "pipeline",
+)
 
 
 def _gather(name: str) -> dict:
