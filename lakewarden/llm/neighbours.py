@@ -35,6 +35,7 @@ NEAREST = 10
 CURVES = 10
 AXES, BITS = 8, 6
 PIECES = 20         # of a curve
+LEAST = 64          # keys of a piece, at least; a small table has fewer pieces
 REACH = 2           # pieces looked at on either side of a query's own
 FIT_ROWS = 20_000   # keys from which the cuts between pieces are taken
 GROUP = 5_000       # vectors of a piece compared in one group
@@ -94,14 +95,33 @@ def with_keys(found: DataFrame) -> DataFrame:
     return found.withColumn("keys", keys("vector"))
 
 
-def cuts(keyed: DataFrame) -> list[list[int]]:
-    """Inner borders of the pieces of each curve."""
-    sample = keyed.orderBy(F.xxhash64("vector")).limit(FIT_ROWS).select("keys").collect()
-    if not sample:
-        return [[] for _ in range(CURVES)]
-    keys = np.sort(np.array([r["keys"] for r in sample], np.int64), axis=0)
-    at = (np.arange(1, PIECES) * len(keys)) // PIECES
-    return [keys[at, c].tolist() for c in range(CURVES)]
+def cuts(keyed: DataFrame) -> dict[int, np.ndarray]:
+    """For each length of vectors the inner borders of the pieces, one row per curve."""
+    sample = keyed.orderBy(F.xxhash64("vector")).limit(FIT_ROWS).select(F.size("vector").alias("size"), "keys").collect()
+    out = {}
+    for size in {r["size"] for r in sample}:
+        keys = np.sort(np.array([r["keys"] for r in sample if r["size"] == size], np.int64), axis=0)
+        pieces = max(1, min(PIECES, len(keys) // LEAST))
+        out[size] = keys[(np.arange(1, pieces) * len(keys)) // pieces].T
+    return out
+
+
+def with_pieces(keyed: DataFrame, borders: dict[int, np.ndarray], reach: int) -> DataFrame:
+    """A row for each curve and piece that an entry is in, or that lies within ``reach`` of it."""
+
+    @F.pandas_udf("array<struct<curve:int,piece:int>>")
+    def places(keys: pd.Series, size: pd.Series) -> pd.Series:
+        def one(own, length: int) -> list[dict]:
+            cut = borders.get(length)
+            if cut is None or not cut.shape[1]:
+                return [{"curve": 0, "piece": 0}]
+            at = [int(np.searchsorted(c, k, "right")) for c, k in zip(cut, own)]
+            most = cut.shape[1]
+            return [{"curve": c, "piece": q} for c, p in enumerate(at) for q in range(max(0, p - reach), min(most, p + reach) + 1)]
+
+        return pd.Series([one(k, int(n)) for k, n in zip(keys, size)])
+
+    return keyed.withColumn("size", F.size("vector")).withColumn("at", F.explode(places("keys", F.size("vector"))))
 
 
 def _nearest(limit: int):
@@ -139,25 +159,14 @@ def nearest(rows: DataFrame, queries: DataFrame, vec_id: str, vector: str, limit
     groups = max(1, -(-found.count() // (PIECES * GROUP)))
     asked = with_keys(usable(queries, vec_id, vector).distinct())
 
-    def piece(keys, c):
-        out = F.lit(0)
-        for b in borders[c]:
-            out = out + F.when(keys[c] > b, 1).otherwise(0)
-        return out
-
-    def placed(df, span):
-        return F.explode(F.concat(*[span(c, piece(F.col("keys"), c)) for c in range(CURVES)])).alias("at")
-
-    one = lambda c, p: F.array(F.struct(F.lit(c).alias("curve"), p.alias("piece")))
-    span = lambda c, p: F.transform(
-        F.sequence(F.greatest(p - REACH, F.lit(0)), F.least(p + REACH, F.lit(PIECES - 1))), lambda q: F.struct(F.lit(c).alias("curve"), q.alias("piece"))
+    own = with_pieces(found, borders, 0).select(
+        "vector", "ids", F.lit(None).cast("long").alias("query"), "size", "at", F.pmod(F.xxhash64("vector"), F.lit(groups)).alias("part")
     )
-    own = found.select("vector", "ids", F.lit(None).cast("long").alias("query"), placed(found, one), F.pmod(F.xxhash64("vector"), F.lit(groups)).alias("part"))
-    ask = asked.select("vector", "id", placed(asked, span)).select(
-        "vector", F.lit(None).cast("array<long>").alias("ids"), F.col("id").alias("query"), "at",
+    ask = with_pieces(asked, borders, REACH).select(
+        "vector", F.lit(None).cast("array<long>").alias("ids"), F.col("id").alias("query"), "size", "at",
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("part"),
     )
-    both = own.unionByName(ask).select("vector", "ids", "query", F.size("vector").alias("size"), "at.curve", "at.piece", "part")
+    both = own.unionByName(ask).select("vector", "ids", "query", "size", "at.curve", "at.piece", "part")
     met = both.groupBy("size", "curve", "piece", "part").applyInPandas(_nearest(limit), "query long, id long, score double")
     best = Window.partitionBy("query").orderBy("score", "id")
     return (

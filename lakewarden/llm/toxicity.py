@@ -188,16 +188,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
 def learned_words(rows: DataFrame, most: int, least: int) -> list[str]:
     """Words that toxic training texts have more often than others beyond chance, strongest first.
 
-    Texts are counted by the smallest hash of their words, so that copies and
-    most near copies of one text count once.
+    Texts are counted by the smallest hash of their stretches of four words, so
+    that copies and most near copies of one text count once.
     """
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
+    every = F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    stretches = F.transform("every", lambda w, i: F.xxhash64(F.array_join(F.slice(F.col("every"), i + 1, 4), " ")))
 
     def beginnings(n: int) -> Column:
         return F.transform(F.filter("words", lambda w: F.length(w) > n), lambda w: F.concat(F.left(w, F.lit(n)), F.lit("*")))
 
     terms = F.array_union("words", F.array_distinct(F.flatten(F.array(*[beginnings(n) for n in BEGINNINGS]))))
-    held = rows.select("label", words.alias("words")).withColumn("kind", F.array_min(F.transform("words", lambda w: F.xxhash64(w))))
+    held = rows.select("label", every.alias("every")).select(
+        "label", F.array_distinct("every").alias("words"), F.array_min(stretches).alias("kind")
+    )
     totals = held.groupBy("label").agg(F.count_distinct("kind").alias("n")).collect()
     kinds = {r["label"]: r["n"] for r in totals}
     pairs = held.select("label", "kind", F.explode(terms).alias("word")).distinct()
