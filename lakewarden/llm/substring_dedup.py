@@ -5,8 +5,8 @@ hash. A window goes if the same words also start earlier: in a document with a
 smaller doc_id, or before it in the same document. Windows are judged on the
 input. Windows that cannot repeat, by their seeds, are ruled out in one count
 (``passages``); runs of windows equal to an earlier run are settled as a whole;
-the windows of the remaining different runs are counted one by one, by two
-independent 64-bit hashes.
+the windows of seeds with several different runs are counted one by one, by
+two independent 64-bit hashes.
 
 Defined cases: a null text counts as empty, without words; a text shorter than
 the window keeps all its words; a row without doc_id takes no part and keeps
@@ -63,7 +63,9 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .where(F.struct("doc_id", "first") > F.col("place"))
         .select("doc_id", "first", "size")
     )
-    rows = raw.join(per_document(different, "first", "size"), "doc_id")
+    several = different.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed")
+    looked = different.join(several, "seed", "left_semi")  # runs that are all equal have been settled
+    rows = raw.join(per_document(looked, "first", "size"), "doc_id")
     windows = _windows(rows.select("doc_id", "raw", "parts"), units)
     earliest = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "first")).alias("place"), F.count("*").alias("n"))
     later = (
