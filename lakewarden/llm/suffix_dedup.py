@@ -14,8 +14,8 @@ marked. Copies of a run count once in the index, which is what keeps it small
 for repetitive corpora.
 
 A seed with more different runs than ``HOT`` is not given to one task: its
-windows are counted by two independent hashes in Spark instead, which finds
-the same windows.
+windows are counted by two independent hashes in Spark instead, cell by cell
+and then one by one, which finds the same windows.
 
 Defined cases: a null text counts as empty; a text shorter than the length
 keeps all; a row without doc_id takes no part and keeps all; rows with the same
@@ -32,12 +32,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lakewarden.llm.common import settle, table, text_bytes, texts
 from lakewarden.llm.passages import (
-    Rolling, Tables, Units, distinct_runs, long_field, merged, per_document, readable, repeated_runs,
+    PLACE, Rolling, Tables, Units, distinct_runs, long_field, merged, mixed, per_document, readable, repeated_runs,
 )
 
 LENGTH = 200           # bytes
 GRAM = 64              # bytes of a seed's grams
 HOT = 1000             # different runs of a seed above which its windows are counted in Spark
+CELL = 8               # neighbouring windows that are counted together first
 SHARD_BYTES = 1 << 20  # of runs per shard and index
 
 
@@ -151,18 +152,74 @@ def _indexed(group: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_spans(doc_id, first, size)])
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of all windows of the runs of hot seeds."""
+CELL_ROWS = "core long, span long, doc_id long, first long, size long, hashes binary"
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of runs of hot seeds in cells of neighbouring places before the seed.
+
+    ``core`` is the hash of the bytes that all windows of a cell have in common,
+    however many of them the run has; ``span`` the hash of all bytes that those
+    present cover; ``hashes`` two for each window.
+    """
     both = [Tables(0), Tables(1)]
+    width = LENGTH - GRAM + 1
     for batch in batches:
         for body, doc_id, first in zip(*(batch.column(c).to_pylist() for c in ("body", "doc_id", "first"))):
-            h1, h2 = (Rolling(np.frombuffer(body, np.uint8), t).every(LENGTH).view(np.int64) for t in both)
-            place = np.arange(first, first + len(h1))
+            data = np.frombuffer(body, np.uint8)
+            one, two = (Rolling(data, t) for t in both)
+            n = len(data) - LENGTH + 1
+            seed = int(((one.every(GRAM)[:width] & ~PLACE) | np.arange(width, dtype=np.uint64)).argmin())
+            cell = (seed - np.arange(n)) // CELL  # falls along the run
+            low = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+            high = np.append(low[1:], n) - 1
+            nearest, farthest = seed - cell[low] * CELL, seed - cell[low] * CELL - CELL + 1  # starts of the cell's outer windows
+            core = mixed(one.parts(nearest, farthest + LENGTH) + cell[low].astype(np.uint64))
+            span = mixed(one.parts(low, high + LENGTH) + (seed - low).astype(np.uint64))
+            hashes = np.stack([one.every(LENGTH), two.every(LENGTH)], axis=1)
+            packed = [hashes[i : j + 1].tobytes() for i, j in zip(low, high)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h1), pa.array(h2), pa.array(np.full(len(h1), doc_id, np.int64)), pa.array(place)], ["h1", "h2", "doc_id", "first"]
+                [
+                    pa.array(core.view(np.int64)), pa.array(span.view(np.int64)), pa.array(np.full(len(low), doc_id, np.int64)),
+                    pa.array(first + low), pa.array(high - low + 1), pa.array(packed, pa.binary()),
+                ],
+                ["core", "span", "doc_id", "first", "size", "hashes"],
             )
 
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The cells' windows one by one."""
+    for batch in batches:
+        size = batch.column("size").to_numpy()
+        hashes = np.frombuffer(b"".join(batch.column("hashes").to_pylist()), np.int64).reshape(-1, 2)
+        within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(hashes[:, 0].copy()), pa.array(hashes[:, 1].copy()), pa.array(np.repeat(batch.column("doc_id").to_numpy(), size)),
+                pa.array(np.repeat(batch.column("first").to_numpy(), size) + within),
+            ],
+            ["h1", "h2", "doc_id", "first"],
+        )
+
+
+def counted(body: DataFrame) -> DataFrame:
+    """Repeated windows of the runs of hot seeds, counted in Spark: (doc_id, first, size).
+
+    Cells whose core occurs once hold no repeated window; equal cells repeat as
+    a whole; only the different cells of one core are taken apart into windows.
+    """
+    cells = settle(body.where("hot").mapInArrow(_cells, CELL_ROWS), "cells")
+    spans = cells.groupBy("core", "span").agg(
+        F.count("*").alias("n"), F.min_by(F.struct("doc_id", "first", "size", "hashes"), F.struct("doc_id", "first")).alias("one")
+    )
+    whole = cells.join(spans.where("n > 1").select("core", "span"), ["core", "span"], "left_semi").select("doc_id", "first", "size")
+    several = spans.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    windows = spans.join(several, "core", "left_semi").select("one.*").mapInArrow(_windows, "h1 long, h2 long, doc_id long, first long")
+    twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
+    single = windows.join(twice, ["h1", "h2"], "left_semi").select("doc_id", "first", F.lit(1).cast("long").alias("size"))
+    return whole.unionByName(single)
+
+
 def removals(docs: DataFrame) -> DataFrame:
     """Repeated strings as (doc_id, first, size): first start and number of consecutive starts."""
     units = Units(LENGTH, GRAM, False)
@@ -175,10 +232,7 @@ def removals(docs: DataFrame) -> DataFrame:
     body = settle(_runs_text(raw.join(looked, "doc_id")), "suffix")
     shards = max(8, text_bytes(body, "body") // SHARD_BYTES)
     indexed = body.where("not hot").groupBy(F.pmod(F.hash("seed"), F.lit(shards)).alias("shard")).applyInArrow(_indexed, SPANS)
-    windows = body.where("hot").mapInArrow(_windows, "h1 long, h2 long, doc_id long, first long")
-    twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
-    counted = windows.join(twice, ["h1", "h2"], "left_semi").select("doc_id", "first", F.lit(1).cast("long").alias("size"))
-    return copied.unionByName(indexed).unionByName(counted)
+    return copied.unionByName(indexed).unionByName(counted(body))
 
 
 KEPT = "n_bytes long, n_removed long, n_spans long, kept binary"
