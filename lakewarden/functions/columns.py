@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -53,6 +53,12 @@ def ntz(value: datetime | str) -> Column:
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
+def moment(df: DataFrame, ts: str, at, seconds: int = 0) -> Column:
+    """Literal of the column's own type, so that a comparison with the bare column reaches the reader."""
+    value = datetime.fromisoformat(str(at)) + timedelta(seconds=seconds)
+    return F.lit(str(value)).cast(df.schema[ts].dataType)
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """part / whole, 0.0 when there is nothing to divide by."""
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))

@@ -8,7 +8,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lakewarden.functions.columns import ntz
 
@@ -74,19 +74,40 @@ def completeness_issues(manifest: DataFrame) -> DataFrame:
     version = F.when(is_log, F.regexp_extract("path", r"(\d{20})\.json$", 1).try_cast("long"))
     facts = manifest.withColumn("__version", version).groupBy("backup_id").agg(
         F.count_if(is_log).alias("logs"), F.count_if(F.col("type") == "data").alias("data"),
-        F.count_if(is_log & F.col("path").contains(FIRST_VERSION_FILE)).alias("first"), F.max("__version").alias("last"))
+        F.count_if(is_log & F.col("path").contains(FIRST_VERSION_FILE)).alias("first"))
     required = facts.select("backup_id", F.lit("").alias("file"), F.inline(F.array(
         _issue("error", "missing_log_files", F.col("logs") == 0),
         _issue("error", "missing_protocol", F.col("first") == 0),
         _issue("error", "missing_metadata", F.col("first") == 0),
         _issue("warning", "no_data_files", F.col("data") == 0)))).where(F.col("severity").isNotNull())
-    expected = facts.where(F.col("last").isNotNull()).select(
-        "backup_id", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))).alias("__version"))
     have = manifest.select("backup_id", version.alias("__version")).where(F.col("__version").isNotNull()).distinct()
-    gaps = expected.join(have, ["backup_id", "__version"], "left_anti").select(
-        "backup_id", F.concat(F.lit("version "), F.col("__version").cast("string")).alias("file"),
-        F.lit("warning").alias("severity"), F.lit("version_gap").alias("issue"))
-    return required.unionByName(gaps)
+    return required.unionByName(version_gaps(have).select(
+        "backup_id", F.concat(F.lit("version "), F.when(F.col("from") == F.col("to"), F.col("to").cast("string")).otherwise(
+            F.concat_ws(" to ", F.col("from").cast("string"), F.col("to").cast("string")))).alias("file"),
+        F.lit("warning").alias("severity"), F.lit("version_gap").alias("issue")))
+
+
+def version_gaps(have: DataFrame) -> DataFrame:
+    """(backup_id, from, to) of each stretch of versions below the newest that a backup lacks.
+
+    Versions without the next or the one before border a gap; only these few are put in order.
+    """
+    v = F.col("__version")
+    border = have.withColumn("__one", F.lit(1))
+
+    def lacking(step: int, side: int) -> DataFrame:
+        near = border.select("backup_id", (v - step).alias("__version"))
+        return have.join(near, ["backup_id", "__version"], "left_anti").select(
+            "backup_id", (v + step).alias("__at"), F.lit(side).alias("__side"))
+
+    before = have.select("backup_id").distinct().select("backup_id", F.lit(-1).cast("long").alias("__version"))
+    zero = before.join(have.where(v == 0).select("backup_id"), "backup_id", "left_anti").select(
+        "backup_id", F.lit(0).cast("long").alias("__at"), F.lit(0).alias("__side"))
+    ends = lacking(-1, 1).where(F.col("__at") >= 0)
+    edges = lacking(1, 0).unionByName(ends).unionByName(zero)
+    order = Window.partitionBy("backup_id").orderBy("__at", "__side")
+    return edges.withColumn("from", F.lag("__at").over(order)).where(F.col("__side") == 1).select(
+        "backup_id", "from", F.col("__at").alias("to"))
 
 
 def restorability_issues(manifest: DataFrame, stored: DataFrame, mode: str = "checksum") -> DataFrame:

@@ -17,7 +17,6 @@ from lakewarden.operators.validation import profile
 # Severity cut-offs, scores and defaults of drift detection.
 CUTS = [(0.5, "high"), (0.2, "medium")]
 SCORES = {"high": 1.0, "medium": 0.6, "low": 0.3}
-WINDOW_SIZE = 100
 MIN_SAMPLES = 10
 SMALL_MEAN = 0.001
 KEY = ["object", "field"]
@@ -33,12 +32,12 @@ def snapshots(
         "null_rate", F.try_divide(F.col("null_count").cast("double"), total.cast("double")))
 
 
-def trim(history: DataFrame, window_size: int = WINDOW_SIZE) -> DataFrame:
+def trim(history: DataFrame, window_size: int) -> DataFrame:
     """The newest snapshots per field."""
     return newest_per_key(history, KEY, [F.col("snapshot_ts").desc()], window_size, spread_by=["snapshot_ts"])
 
 
-def merge(stored: DataFrame, new: DataFrame, window_size: int = WINDOW_SIZE) -> DataFrame:
+def merge(stored: DataFrame, new: DataFrame, window_size: int) -> DataFrame:
     """Stored and new history as one: per whole second the new snapshot wins; trimmed."""
     cols = [c for c in stored.columns if c not in KEY]
     both = stored.withColumn("__side", F.lit(0)).unionByName(new.withColumn("__side", F.lit(1)))

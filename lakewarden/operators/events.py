@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakewarden.functions.columns import advice_list, clamp, lookup, micros, ntz, one_row
+from lakewarden.functions.columns import advice_list, clamp, lookup, micros, moment, ntz
 from lakewarden.functions.windows import running_sum
 
 # Category, weight and cap of each event type.
@@ -23,7 +24,7 @@ EVENT_TYPES: dict[str, tuple[str, float, int]] = {
     "access_control": ("access_control_violations", 5.0, 5),
 }
 TREND_TYPES = ("auth_failure", "network_anomaly", "memory_anomaly", "process_anomaly")
-BUFFER, TREND_POINTS, TICK_SECONDS, WINDOW_SECONDS, REPORT_EVENTS = 1000, 2880, 30, 3600, 100
+TICK_SECONDS, WINDOW_SECONDS = 30, 3600
 IDLE_SECONDS = 24 * 3600
 
 
@@ -64,40 +65,47 @@ def event_alerts(events: DataFrame, auth_threshold: int) -> DataFrame:
     return events.where(alert).withColumn("title", F.concat(F.lit("Security Event: "), F.col("type")))
 
 
-def recent_events(events: DataFrame, as_of, limit: int, window_s: int = WINDOW_SECONDS) -> DataFrame:
-    """Newest events of the window; no more than the buffer holds."""
-    start = micros(ntz(as_of)) - window_s * 1_000_000
-    kept = events.where(micros(F.col("ts")) > start).orderBy(F.col("ts").desc(), F.col("event_id").desc())
-    return kept.limit(min(limit, BUFFER) if limit > 0 else BUFFER)
+def recent_events(events: DataFrame, as_of, limit: int | None = None, window_s: int = WINDOW_SECONDS) -> DataFrame:
+    """Events of the window, or the newest ``limit`` of them."""
+    kept = events.where(F.col("ts") > moment(events, "ts", as_of, -window_s))
+    return kept if limit is None else kept.orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(limit)
 
 
 def event_report(events: DataFrame) -> DataFrame:
-    """One row: severities of the newest events, score, risk and advice."""
+    """One row: severities of all events, score, risk and advice; give it the events of a window."""
 
     def of(s: str) -> Column:
         return F.count_if(F.col("severity") == s).alias(s)
 
-    newest = events.select("ts", "event_id", "severity").orderBy(F.col("ts").desc(), F.col("event_id").desc()).limit(REPORT_EVENTS)
-    counts = newest.agg(F.count("*").alias("total_issues"), of("low"), of("medium"), of("high"), of("critical"))
-    kinds = events.agg(*[F.count_if(F.col("type") == k).alias(f"__{k}") for k in EVENT_TYPES])
+    found = events.agg(F.count("*").alias("total_issues"), of("low"), of("medium"), of("high"), of("critical"),
+                       *[F.count_if(F.col("type") == k).alias(f"__{k}") for k in EVENT_TYPES])
     score = clamp(100.0 - _penalty(lambda k: F.col(f"__{k}")))
     advice = advice_list(
         (F.col("__auth_failure") > 10, "Investigate authentication failures"),
         (F.col("__memory_anomaly") > 5, "Address memory anomalies"),
         (F.col("__credential_exposure") > 0, "Immediate credential exposure response"),
         (F.col("total_issues") > 50, "Review security monitoring configuration"))
-    return one_row(counts, kinds).select(
+    return found.select(
         "total_issues", "low", "medium", "high", "critical", (F.col("high") + F.col("critical")).alias("high_severity"),
         score.alias("score"), (100.0 - score).alias("risk"), F.array_join(advice, "; ").alias("advice"))
 
 
-def event_trend(events: DataFrame, points: int = TREND_POINTS, tick_s: int = TICK_SECONDS) -> DataFrame:
-    """Cumulative value of four counters at each tick with events; the newest points are kept."""
-    tick = F.timestamp_seconds(F.floor(micros(F.col("ts")) / (tick_s * 1_000_000)) * tick_s)
+def event_trend(events: DataFrame, start, end, tick_s: int = TICK_SECONDS) -> DataFrame:
+    """Cumulative value of four counters at every tick from start up to end, quiet ticks too.
+
+    Ticks without events are rows of the range itself, so a gap is no hole. Sums
+    go in two levels; the upper one has a row a day.
+    """
+    spark, step = events.sparkSession, tick_s * 1_000_000
+    inside = events.where((F.col("ts") >= moment(events, "ts", start)) & (F.col("ts") < moment(events, "ts", end)))
+    first, last = (int(datetime.fromisoformat(str(x)).replace(tzinfo=timezone.utc).timestamp() * 1e6) for x in (start, end))
     names = [EVENT_TYPES[k][0] for k in TREND_TYPES]
-    ticks = events.groupBy(tick.alias("tick")).agg(*[
-        F.count_if(F.col("type") == k).alias(n) for k, n in zip(TREND_TYPES, names)]).withColumn("__all", F.lit(1))
-    totals = running_sum(ticks, ["__all"], "tick", names).orderBy(F.col("tick").desc()).limit(-(-points // len(names)))
+    counted = inside.groupBy(F.floor(micros(F.col("ts")) / step).alias("n")).agg(*[
+        F.count_if(F.col("type") == k).alias(n) for k, n in zip(TREND_TYPES, names)])
+    every = spark.range(first // step, -(-last // step)).select(F.col("id").alias("n"))
+    ticks = every.join(counted, "n", "left").fillna(0, names).select(
+        F.timestamp_seconds(F.col("n") * tick_s).alias("tick"), *names, F.lit(1).alias("__all"))
+    totals = running_sum(ticks, ["__all"], "tick", names)
     return totals.select(F.col("tick").cast("timestamp_ntz").alias("tick"), *names).unpivot("tick", names, "category", "value")
 
 

@@ -92,15 +92,18 @@ def breaker_metrics(
         "transitions", "open_count", "half_open_count", open_s.alias("open_seconds"), "last_change")
 
 
+def _busy() -> Column:
+    return F.col("operation").isNotNull() & (F.col("attempts") > 10) & (F.col("success_rate") < 0.8)
+
+
 def _retry_inputs(retries: DataFrame, breakers: DataFrame) -> DataFrame:
     """The few sums both verdicts need, as one row; each side is one row before they meet."""
-    busy = (F.col("attempts") > 10) & (F.col("success_rate") < 0.8)
     ops = retries.agg(
         F.max(F.when(F.col("operation").isNull(), F.col("attempts"))).alias("attempts"),
         F.max(F.when(F.col("operation").isNull(), F.col("success_rate"))).alias("success_rate"),
         F.count("operation").alias("operations"),
         F.count_if(F.col("operation").isNotNull() & (F.col("attempts") > 5) & (F.col("success_rate") < 0.8)).alias("weak"),
-        F.array_join(F.array_sort(F.collect_set(F.when(F.col("operation").isNotNull() & busy, F.col("operation")))), ", ").alias("failing"),
+        F.count_if(_busy()).alias("failing"),
         F.max("last_attempt").alias("last_update"))
     states = breakers.agg(F.count("*").alias("breakers"), F.count_if(F.col("state") == "OPEN").alias("open_breakers"))
     return one_row(ops, states)
@@ -118,13 +121,15 @@ def retry_health_score(retries: DataFrame, breakers: DataFrame, as_of) -> DataFr
                     clamp(100.0 - low - opened - weak - stale).alias("score"))
 
 
-def retry_health(retries: DataFrame, breakers: DataFrame) -> DataFrame:
-    """Healthy or not, with the operations that fail often and what to do."""
-    r = _retry_inputs(retries, breakers)
-    opened, failing, low = F.col("open_breakers") > 0, F.col("failing") != "", F.col("success_rate") < 0.9
+def retry_health(retries: DataFrame, breakers: DataFrame, worst: int) -> DataFrame:
+    """Healthy or not, how many operations fail often, the ``worst`` of them by success rate, and what to do."""
+    few = retries.where(_busy()).orderBy("success_rate", "operation").limit(worst).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("success_rate", "operation"))), lambda x: x["operation"]), ", ").alias("few"))
+    r = one_row(_retry_inputs(retries, breakers), few)
+    opened, failing, low = F.col("open_breakers") > 0, F.col("failing") > 0, F.col("success_rate") < 0.9
     return r.select(
         (~low & ~opened & ~failing).alias("healthy"), "success_rate", "breakers", "open_breakers",
-        F.col("failing").alias("failing_operations"),
+        F.col("failing").alias("failing_operations"), F.col("few").alias("worst_operations"),
         F.array_join(advice_list(
             (opened, "Investigate services with open circuit breakers"),
             (failing, "Review retry policies for high failure rate operations"),

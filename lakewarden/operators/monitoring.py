@@ -11,14 +11,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakewarden.functions.columns import micros, ntz, ratio
+from lakewarden.functions.columns import micros, moment, ntz, ratio
 from lakewarden.functions.windows import newest_per_key
 
 # Slope, strength and history limits.
 SLOPE_STABLE = 0.01
 STRONG, MODERATE = 0.7, 0.3
 MIN_HISTORY = 10
-HISTORY_SIZE = 100
 
 
 @dataclass(frozen=True)
@@ -39,7 +38,7 @@ def trend(metrics: DataFrame, as_of, window_s: int) -> DataFrame:
     start = micros(ntz(as_of)) - window_s * 1_000_000
     x = (micros(F.col("ts")) - start) / 1_000_000.0
     y = F.col("value")
-    out = metrics.where(micros(F.col("ts")) > start).groupBy("metric").agg(
+    out = metrics.where(F.col("ts") > moment(metrics, "ts", as_of, -window_s)).groupBy("metric").agg(
         F.regr_slope(y, x).alias("slope"),
         F.when(F.regr_syy(y, x) == 0, 0.0).otherwise(F.regr_r2(y, x)).alias("r2"),
         F.count("value").alias("data_points"), (F.max(x) - F.min(x)).alias("span_s"))
@@ -52,8 +51,7 @@ def trend(metrics: DataFrame, as_of, window_s: int) -> DataFrame:
 
 def window_average(metrics: DataFrame, as_of, window_s: int) -> DataFrame:
     """Mean of the values newer than as_of - window, per metric."""
-    start = micros(ntz(as_of)) - window_s * 1_000_000
-    return metrics.where(micros(F.col("ts")) > start).groupBy("metric").agg(
+    return metrics.where(F.col("ts") > moment(metrics, "ts", as_of, -window_s)).groupBy("metric").agg(
         F.avg("value").alias("average"), F.count("value").alias("data_points"))
 
 
@@ -65,7 +63,7 @@ def trailing_average(metrics: DataFrame, window_s: int) -> DataFrame:
 
 def recent(metrics: DataFrame, n: int) -> DataFrame:
     """Newest n rows per metric."""
-    return newest_per_key(metrics, ["metric"], [F.col("ts").desc()], min(n, HISTORY_SIZE), spread_by=["ts"])
+    return newest_per_key(metrics, ["metric"], [F.col("ts").desc()], n, spread_by=["ts"])
 
 
 def anomalies(metrics: DataFrame, threshold: float, min_history: int = MIN_HISTORY) -> DataFrame:

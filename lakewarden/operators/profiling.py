@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakewarden.functions.columns import advice_list, ladder, micros, ntz, one_row, ratio, severity_rank
-from lakewarden.functions.windows import newest_per_key
+from lakewarden.functions.windows import null_safe_join
 
 # Sample size, limits and advice.
-PERCENTILE_SAMPLE = 1000
+STRETCHES = 1000  # of durations that are ranked in one task each
 TREND_BYTES_PER_SECOND = 100 * 1024.0
 IDLE_SECONDS = 24 * 3600
 LATENCY_SECONDS = [(30.0, "critical"), (10.0, "high"), (5.0, "medium")]
@@ -38,20 +38,28 @@ def operation_metrics(log: DataFrame, by: Sequence[str] = ("op",)) -> DataFrame:
         F.count_if(F.col("is_error")).alias("errors"), F.max("ts").alias("last_updated"))
 
 
-def percentiles(
-    log: DataFrame, tie: str, by: Sequence[str] = ("op",), sample: int = PERCENTILE_SAMPLE
-) -> DataFrame:
-    """p50, p95 and p99 of the newest durations, by zero-based floor index without interpolation."""
-    newest = newest_per_key(log.select(*by, "ts", "duration", tie), list(by),
-                            [F.col("ts").desc(), F.col(tie).desc()], sample, spread_by=[tie])
-    ordered = Window.partitionBy(*by).orderBy("duration", "ts", tie)
-    ranked = newest.withColumn("__i", F.row_number().over(ordered) - 1).withColumn(
-        "__n", F.count("*").over(Window.partitionBy(*by)))
+def percentiles(log: DataFrame, by: Sequence[str] = ("op",)) -> DataFrame:
+    """p50, p95 and p99 of all durations, by zero-based floor index without interpolation.
+
+    Equal durations are one row with a count. Running counts go in two levels:
+    durations fall into stretches by value, and a stretch adds what lies below it.
+    """
+    keys = list(by)
+    counts = log.where(F.col("duration").isNotNull()).groupBy(*keys, "duration").agg(F.count("*").alias("__c"))
+    range_ = counts.groupBy(*keys).agg(F.min("duration").alias("__lo"), F.max("duration").alias("__hi"), F.sum("__c").alias("__n"))
+    stretch = F.least(F.floor((F.col("duration") - F.col("__lo")) / F.nullif(F.col("__hi") - F.col("__lo"), F.lit(0.0)) * STRETCHES), F.lit(STRETCHES - 1))
+    cut = null_safe_join(counts, range_, keys, "inner").withColumn("__s", F.coalesce(stretch, F.lit(0)))
+    below = Window.partitionBy(*keys).orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = cut.groupBy(*keys, "__s").agg(F.sum("__c").alias("__in")).select(
+        *keys, "__s", F.coalesce(F.sum("__in").over(below), F.lit(0)).alias("__below"))
+    inside = Window.partitionBy(*keys, "__s").orderBy("duration").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = null_safe_join(cut.withColumn("__upto", F.sum("__c").over(inside)), offsets, [*keys, "__s"], "inner").withColumn(
+        "__upto", F.col("__upto") + F.col("__below"))
 
     def at(p: int) -> Column:
-        return F.max(F.when(F.col("__i") == F.floor(F.col("__n") * p / 100), F.col("duration"))).alias(f"p{p}")
+        return F.min(F.when(F.col("__upto") > F.floor(F.col("__n") * p / 100), F.col("duration"))).alias(f"p{p}")
 
-    return ranked.groupBy(*by).agg(at(50), at(95), at(99))
+    return ranked.groupBy(*keys).agg(at(50), at(95), at(99))
 
 
 def _summary(as_of, period_s: int) -> tuple[list[Column], list[Column]]:

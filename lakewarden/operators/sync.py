@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakewarden.functions.columns import lookup, micros, ntz
+from lakewarden.functions.columns import lookup, micros, moment, ntz
 from lakewarden.operators import schemas
 
 # Advice by phase of the failure.
@@ -97,7 +97,8 @@ def retry_queue(
     delay = F.least((F.col("attempts") - 1) * base_s, F.lit(max_s))
     due = micros(F.col("last_attempt")) + delay * 1_000_000
     return failures.withColumn("delay_s", delay.cast("long")).where(
-        (F.col("attempts") < max_attempts) & (micros(ntz(as_of)) > due))
+        (F.col("last_attempt") <= moment(failures, "last_attempt", as_of))
+        & (F.col("attempts") < max_attempts) & (micros(ntz(as_of)) > due))
 
 
 def error_rollup(errors: DataFrame, by: list[str], phase: str = "phase") -> DataFrame:

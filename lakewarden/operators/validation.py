@@ -159,18 +159,10 @@ def sample_values(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
     return newest_per_key(distinct, ["field"], [F.col("value")], n, spread_by=["value"], rank="position")
 
 
-def prefix_sample(
-    df: DataFrame, batch: str, order: Sequence[str], rate: float, small: int = 100
-) -> DataFrame:
-    """Rows i of each batch of n with i / n <= rate; batches of up to ``small`` rows stay whole.
-
-    A batch is bounded by how it was cut (a number of rows), so it fits one task.
-    """
-    in_batch = Window.partitionBy(batch)
-    position = F.row_number().over(in_batch.orderBy(*order)) - 1
-    size = F.count("*").over(in_batch)
-    keep = (F.lit(rate) >= 1.0) | (F.col("__n") <= small) | (F.col("__i") / F.col("__n") <= rate)
-    return df.withColumn("__i", position).withColumn("__n", size).where(keep).drop("__i", "__n")
+def hash_sample(df: DataFrame, key: Sequence[str], rate: float) -> DataFrame:
+    """About ``rate`` of the rows, chosen by the MD5 of their key: the same rows whatever the batch or its size."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
+    return df.where(F.substring(F.md5(text), 1, 8) < f"{int(rate * 2**32):08x}" if rate < 1 else F.lit(True))
 
 
 def strict_gate(df: DataFrame, by: Sequence[str], checks: Sequence[Check]) -> DataFrame:

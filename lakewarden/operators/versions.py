@@ -37,7 +37,7 @@ def data_volume(actions: DataFrame, after: int, to: int) -> DataFrame:
 
 
 def structure_issues(states: DataFrame, by: str = "version") -> DataFrame:
-    """Structural faults of saved states: (version, type, description, severity), one row per fault."""
+    """Structural faults of saved states: (version, type, description, severity, times)."""
 
     def of(kind: str) -> Column:
         return F.count_if(F.col("action") == kind)
@@ -48,31 +48,24 @@ def structure_issues(states: DataFrame, by: str = "version") -> DataFrame:
         F.count_if((F.col("action") == "add") & (F.col("size") < 0)).alias("negative"),
     )
 
-    def fault(times: Column, text: str, severity: str = "error") -> Column:
-        return F.array_repeat(F.struct(F.lit("structure").alias("type"), F.lit(text).alias("description"),
-                                       F.lit(severity).alias("severity")), times.cast("int"))
-
-    def extra(col: str) -> Column:
-        return F.greatest(F.col(col) - 1, F.lit(0))
-
-    faults = F.concat(
-        fault(extra("protocols"), "Multiple protocol actions found"),
-        fault(extra("metadatas"), "Multiple metadata actions found"),
-        fault((F.col("protocols") == 0).cast("int"), "No protocol action found"),
-        fault((F.col("metadatas") == 0).cast("int"), "No metadata action found"),
-    )
-    grouped = counts.select(by, F.inline(faults))
+    def fault(holds: Column, text: str, severity: str = "error", times: Column | None = None) -> Column:
+        return F.when(holds, F.struct(
+            F.lit("structure").alias("type"), F.lit(text).alias("description"), F.lit(severity).alias("severity"),
+            (F.lit(1) if times is None else times).cast("long").alias("times")))
+
+    many, some = F.col("protocols") - 1, F.col("metadatas") - 1
+    grouped = counts.select(by, F.inline(F.array_compact(F.array(
+        fault(many > 0, "Multiple protocol actions found", times=many),
+        fault(some > 0, "Multiple metadata actions found", times=some),
+        fault(F.col("protocols") == 0, "No protocol action found"),
+        fault(F.col("metadatas") == 0, "No metadata action found"),
+    ))))
     # Faults of single actions stay row level, so a state of millions of files is no large array.
+    add = F.col("action") == "add"
     row = F.array(
-        F.when((F.col("action") == "add") & (F.coalesce("path", F.lit("")) == ""), F.struct(
-            F.lit("structure").alias("type"), F.lit("Add action missing path").alias("description"),
-            F.lit("error").alias("severity"))),
-        F.when((F.col("action") == "add") & (F.col("size") < 0), F.struct(
-            F.lit("structure").alias("type"), F.lit("Add action has negative size").alias("description"),
-            F.lit("error").alias("severity"))),
-        F.when(F.col("action") == "remove", F.struct(
-            F.lit("structure").alias("type"), F.lit("Remove action found in checkpoint").alias("description"),
-            F.lit("warning").alias("severity"))),
+        fault(add & (F.coalesce("path", F.lit("")) == ""), "Add action missing path"),
+        fault(add & (F.col("size") < 0), "Add action has negative size"),
+        fault(F.col("action") == "remove", "Remove action found in checkpoint", "warning"),
     )
     return grouped.unionByName(states.select(by, F.inline(row)).where(F.col("severity").isNotNull()))
 

@@ -48,9 +48,11 @@ complete as (
   union all select backup_id, '', 'error', 'missing_metadata' from facts where first_log = 0
   union all select backup_id, '', 'warning', 'no_data_files' from facts where data = 0
   union all
-  select f.backup_id, concat('version ', cast(v as varchar)), 'warning', 'version_gap'
-  from (select backup_id, unnest(range(last_v + 1)) as v from facts where last_v is not null) f
-  where not exists (select 1 from manifest m where m.backup_id = f.backup_id and type = 'log' and try_cast(substr(path, 12, 20) as bigint) = f.v))"""
+  select backup_id, concat('version ', case when v - p = 2 then cast(v - 1 as varchar) else concat(p + 1, ' to ', v - 1) end), 'warning', 'version_gap'
+  from (
+    select backup_id, v, coalesce(lag(v) over (partition by backup_id order by v), -1) as p
+    from (select distinct backup_id, try_cast(substr(path, 12, 20) as bigint) as v from manifest where type = 'log') where v is not null)
+  where v - p > 1)"""
 
 
 @query("backup_integrity", views=MANIFEST, sql="with " + INTEGRITY + " select * from integrity")

@@ -48,10 +48,9 @@ def event_recent(t):
 
 
 @query("event_report", views=VIEWS, sql=f"""
-with newest as (select severity from security_events order by ts desc, event_id desc limit 100),
-c as (
+with c as (
   select count(*) as total_issues, count(*) filter (severity = 'low') as low, count(*) filter (severity = 'medium') as medium
-    , count(*) filter (severity = 'high') as high, count(*) filter (severity = 'critical') as critical from newest),
+    , count(*) filter (severity = 'high') as high, count(*) filter (severity = 'critical') as critical from security_events),
 k as (
   select greatest(0, {SCORE}) as score, count(*) filter (type = 'auth_failure') as a, count(*) filter (type = 'memory_anomaly') as m from security_events)
 select c.*, high + critical as high_severity, round(cast(score as double), 6) as score, round(cast(100 - score as double), 6) as risk
@@ -64,18 +63,20 @@ def event_report(t):
 
 @query("event_trend", views=VIEWS, sql="""
 with ticks as (
-  select to_timestamp(epoch_us(ts) // 30000000 * 30) at time zone 'UTC' as tick, count(*) filter (type = 'auth_failure') as a
+  select epoch_us(ts) // 30000000 as k, count(*) filter (type = 'auth_failure') as a
     , count(*) filter (type = 'network_anomaly') as n, count(*) filter (type = 'memory_anomaly') as m
-  from security_events group by 1),
-sums as (
-  select tick, sum(a) over w as a, sum(n) over w as n, sum(m) over w as m from ticks window w as (order by tick)),
-newest as (select * from sums order by tick desc limit 720)
+  from security_events where ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-31' group by 1),
+every as (
+  select unnest(range(epoch_us(timestamp '2024-01-10') // 30000000, epoch_us(timestamp '2024-01-31') // 30000000)) as k),
+newest as (
+  select to_timestamp(k * 30) at time zone 'UTC' as tick, coalesce(sum(a) over w, 0) as a, coalesce(sum(n) over w, 0) as n
+    , coalesce(sum(m) over w, 0) as m from every left join ticks using (k) window w as (order by k))
 select tick, 'auth_failures' as category, cast(a as bigint) as value from newest
 union all select tick, 'network_anomalies', cast(n as bigint) from newest
 union all select tick, 'memory_anomalies', cast(m as bigint) from newest
 union all select tick, 'process_anomalies', 0 from newest""")
 def event_trend(t):
-    return e.event_trend(t.security_events)
+    return e.event_trend(t.security_events, "2024-01-10 00:00:00", "2024-01-31 00:00:00")
 
 
 @query("issue_dedup", sql="""

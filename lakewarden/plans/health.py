@@ -117,8 +117,11 @@ VERDICT = RETRIES + "," + BREAKERS + """,
 sums as (
   select max(attempts) filter (operation is null) as attempts, max(success_rate) filter (operation is null) as success_rate
     , count(operation) as operations, count(*) filter (operation is not null and attempts > 5 and success_rate < 0.8) as weak
-    , coalesce(string_agg(operation, ', ' order by operation) filter (operation is not null and attempts > 10 and success_rate < 0.8), '') as failing
+    , count(*) filter (operation is not null and attempts > 10 and success_rate < 0.8) as failing
     , max(last_attempt) as last_update from retries),
+worst as (
+  select coalesce(string_agg(operation, ', ' order by success_rate, operation), '') as few from (
+    select * from retries where operation is not null and attempts > 10 and success_rate < 0.8 order by success_rate, operation limit 3)),
 opens as (select count(*) as breakers, count(*) filter (state = 'OPEN') as open_breakers from breakers)"""
 
 
@@ -132,14 +135,14 @@ def retry_health_score(t):
 
 
 @query("retry_health", sql="with " + VERDICT + """
-select success_rate >= 0.9 and open_breakers = 0 and failing = '' as healthy, round(success_rate, 6) as success_rate, breakers, open_breakers
-  , failing as failing_operations, concat_ws('; '
+select success_rate >= 0.9 and open_breakers = 0 and failing = 0 as healthy, round(success_rate, 6) as success_rate, breakers, open_breakers
+  , failing as failing_operations, few as worst_operations, concat_ws('; '
     , case when open_breakers > 0 then 'Investigate services with open circuit breakers' end
-    , case when failing <> '' then 'Review retry policies for high failure rate operations' end
+    , case when failing > 0 then 'Review retry policies for high failure rate operations' end
     , case when success_rate < 0.9 then 'Overall success rate is below 90%, consider system health review' end) as actions
-from sums, opens""")
+from sums, opens, worst""")
 def retry_health(t):
-    return rounded(h.retry_health(h.retry_metrics(attempts(t)), breakers(t)), "success_rate")
+    return rounded(h.retry_health(h.retry_metrics(attempts(t)), breakers(t), worst=3), "success_rate")
 
 
 def runs(t):

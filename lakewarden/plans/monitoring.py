@@ -11,12 +11,14 @@ from lakewarden.plans.sync import PHASES
 from lakewarden.plans.validation import rounded
 
 AS_OF = "2024-01-31 00:00:00"
+WEEK = "2024-01-24 00:00:00"  # a week before, the start of an hour
 HOURLY = "hourly as (select date_trunc('hour', ts) as ts, event_type as metric, avg(sqrt(value)) as value, count(*) as n from events group by 1, 2)"
 
 
-def hourly(t):
-    """Hourly metric per event type; the root keeps means off rounding ties."""
-    return t.events.groupBy(
+def hourly(t, since: str | None = None):
+    """Hourly metric per event type, of events from ``since`` on; the root keeps means off rounding ties."""
+    events = t.events if since is None else t.events.where(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+    return events.groupBy(
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"), F.col("event_type").alias("metric")
     ).agg(F.avg(F.sqrt("value")).alias("value"), F.count("*").alias("n"))
 
@@ -29,7 +31,7 @@ select metric, round(slope, 9) as slope, round(r2, 6) as r2, data_points, span_s
   , case when r2 > 0.7 then 'strong' when r2 > 0.3 then 'moderate' else 'weak' end as strength
 from f where data_points >= 2""")
 def metric_trend(t):
-    return rounded(rounded(m.trend(hourly(t), AS_OF, 7 * 86400), "slope", places=9), "r2")
+    return rounded(rounded(m.trend(hourly(t, WEEK), AS_OF, 7 * 86400), "slope", places=9), "r2")
 
 
 @query("metric_trailing_avg", sql="with " + HOURLY + """
@@ -44,7 +46,7 @@ def metric_trailing_avg(t):
 select metric, round(avg(value), 6) as average, count(*) as data_points from hourly
 where ts > timestamp '2024-01-24 00:00:00' group by 1""")
 def metric_window_avg(t):
-    return rounded(m.window_average(hourly(t), AS_OF, 7 * 86400), "average")
+    return rounded(m.window_average(hourly(t, WEEK), AS_OF, 7 * 86400), "average")
 
 
 @query("metric_recent", sql="with " + HOURLY + """

@@ -28,13 +28,10 @@ def op_metrics(t):
 
 
 PERCENTILES = """
-newest as (
-  select event_type, value / 10 as duration, ts, event_id from events
-  qualify row_number() over (partition by event_type order by ts desc, event_id desc) <= 1000),
 ranked as (
-  select event_type, duration, row_number() over (partition by event_type order by duration, ts, event_id) - 1 as i
+  select event_type, value / 10 as duration, row_number() over (partition by event_type order by value / 10, event_id) - 1 as i
     , count(*) over (partition by event_type) as n
-  from newest),
+  from events),
 ranks as (
   select event_type as op, max(duration) filter (i = n * 50 // 100) as p50, max(duration) filter (i = n * 95 // 100) as p95
     , max(duration) filter (i = n * 99 // 100) as p99
@@ -43,7 +40,7 @@ ranks as (
 
 @query("op_percentiles", sql="with " + PERCENTILES + " select * from ranks")
 def op_percentiles(t):
-    return p.percentiles(op_log(t), "event_id")
+    return p.percentiles(op_log(t))
 
 
 # One resource series per event type: memory in bytes grows with the value seen in the hour.
@@ -130,7 +127,7 @@ bott as (
 
 def found_bottlenecks(t):
     log, resources = op_log(t), p.resource_report(samples(t), ["metric"], AS_OF, WEEK)
-    return p.bottlenecks(p.operation_metrics(log), p.percentiles(log, "event_id"), resources), resources
+    return p.bottlenecks(p.operation_metrics(log), p.percentiles(log), resources), resources
 
 
 @query("bottlenecks", sql="with " + BOTTLENECKS + """

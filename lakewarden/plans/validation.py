@@ -223,15 +223,10 @@ def profile_samples(t):
 
 
 @query("val_sample", sql="""
-select o_orderkey, batch from (
-  select o_orderkey, o_orderkey // 10000 as batch
-    , row_number() over (partition by o_orderkey // 10000 order by o_orderkey) - 1 as i
-    , count(*) over (partition by o_orderkey // 10000) as n
-  from orders)
-where n <= 100 or i / n <= 0.3""")
+select o_orderkey, o_orderkey // 10000 as batch from orders where substr(md5(cast(o_orderkey as varchar)), 1, 8) < '4ccccccc'""")
 def val_sample(t):
     df = t.orders.select("o_orderkey", F.floor(F.col("o_orderkey") / 10000).alias("batch"))
-    return v.prefix_sample(df, "batch", ["o_orderkey"], 0.3)
+    return v.hash_sample(df, ["o_orderkey"], 0.3)
 
 
 @query("val_gate", views=("orders_faulty",), sql="with " + CHECKED + """

@@ -24,9 +24,8 @@ def log_scan(t):
     path = fresh_dir(t.spark, "log")
     line = F.when(F.col("action") == "add", F.to_json(F.struct(F.struct("path", "size").alias("add")))).otherwise(
         F.to_json(F.struct(F.struct("path").alias("remove"))))
-    lines = t.actions.select("version", line.alias("value"))
-    for version in range(1, 8):
-        lines.where(F.col("version") == version).select("value").write.text(f"{path}/{version:020d}.json")
+    name = F.format_string("%020d.json", F.col("version").cast("long"))
+    t.actions.select(name.alias("log"), line.alias("value")).write.partitionBy("log").text(path)
     log = file_actions(scan_log(t.spark, path))
     return log.groupBy("version", "action").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
 
@@ -69,17 +68,17 @@ counts as (
   select version, count(*) filter (action = 'protocol') as p, count(*) filter (action = 'metaData') as m
   from saved_states where version is not null group by 1),
 faults as (
-  select version, unnest(range(greatest(p - 1, 0))) as i, 'Multiple protocol actions found' as description, 'error' as severity from counts
-  union all select version, unnest(range(greatest(m - 1, 0))), 'Multiple metadata actions found', 'error' from counts
-  union all select version, 0, 'No protocol action found', 'error' from counts where p = 0
-  union all select version, 0, 'No metadata action found', 'error' from counts where m = 0
-  union all select version, 0, 'Add action missing path', 'error' from saved_states where action = 'add' and path = ''
-  union all select version, 0, 'Add action has negative size', 'error' from saved_states where action = 'add' and size < 0
-  union all select version, 0, 'Remove action found in checkpoint', 'warning' from saved_states where action = 'remove')"""
+  select version, p - 1 as times, 'Multiple protocol actions found' as description, 'error' as severity from counts where p > 1
+  union all select version, m - 1, 'Multiple metadata actions found', 'error' from counts where m > 1
+  union all select version, 1, 'No protocol action found', 'error' from counts where p = 0
+  union all select version, 1, 'No metadata action found', 'error' from counts where m = 0
+  union all select version, 1, 'Add action missing path', 'error' from saved_states where action = 'add' and path = ''
+  union all select version, 1, 'Add action has negative size', 'error' from saved_states where action = 'add' and size < 0
+  union all select version, 1, 'Remove action found in checkpoint', 'warning' from saved_states where action = 'remove')"""
 
 
 @query("ckpt_structure", views=("saved_states",), sql="with " + STRUCTURE + """
-select version, 'structure' as type, description, severity from faults""")
+select version, 'structure' as type, description, severity, cast(times as bigint) as times from faults""")
 def ckpt_structure(t):
     return vs.structure_issues(t.saved_states)
 

@@ -31,8 +31,7 @@ select version + 2 as version, path, 'remove' as action, cast(null as bigint) as
 from (
   select distinct year(o_orderdate) - 1994 as version
     , concat('orders/', cast(year(o_orderdate) as string), '/', o_orderpriority) as path
-  from {orders} where o_orderpriority = '5-LOW') b
-where version + 2 <= 7""",
+  from {orders} where o_orderpriority = '5-LOW') b""",
     "events_daily": """
 select cast(ts as date) as day, event_type
   , case when event_id % 7 = 0 and day(ts) > 20 then null else value end as value

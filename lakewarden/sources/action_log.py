@@ -11,7 +11,7 @@ add struct<path:string,size:bigint,partitionValues:map<string,string>,modificati
 remove struct<path:string,deletionTimestamp:bigint,dataChange:boolean>,
 commitInfo struct<timestamp:bigint,operation:string,operationParameters:map<string,string>>
 """
-VERSION_IN_PATH = r"/(\d{20})\.json(?:/[^/]*)?$"
+VERSION_IN_PATH = r"/(?:[^/=]+=)?(\d{20})\.json(?:/[^/]*)?$"
 
 
 def scan_log(spark: SparkSession, log_path: str) -> DataFrame:

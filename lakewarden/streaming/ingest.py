@@ -15,9 +15,9 @@ class BatchRejected(ValueError):
     """A batch with errors under strict validation; nothing of it was written."""
 
 
-def read_stream(spark: SparkSession, path: str, like: DataFrame, files_per_batch: int = 1) -> DataFrame:
-    """Parquet files of a folder as a stream with a declared schema, a bounded number per batch."""
-    return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+def read_stream(spark: SparkSession, path: str, like: DataFrame, bytes_per_batch: int = 16 << 30) -> DataFrame:
+    """Parquet files of a folder as a stream with a declared schema, about so many bytes of them per batch."""
+    return spark.readStream.schema(like.schema).option("maxBytesPerTrigger", bytes_per_batch).parquet(path)
 
 
 def ingest(

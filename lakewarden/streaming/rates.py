@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def hourly_counts(events: DataFrame, ts: str, kind: str, late: str = "10 minutes", width: str = "1 hour") -> DataFrame:
@@ -14,6 +14,14 @@ def hourly_counts(events: DataFrame, ts: str, kind: str, late: str = "10 minutes
     )
 
 
+def open_windows(spark: SparkSession, checkpoint: str, kind: str) -> DataFrame:
+    """The windows that the watermark has not closed, once the input has ended: what the stream still holds."""
+    held = spark.read.format("statestore").load(checkpoint)
+    return held.select(
+        F.col("key.window.start").alias("start"), F.col("key.window.end").alias("end"),
+        F.col(f"key.{kind}").alias(kind), F.col("value.count").alias("n"))
+
+
 def drain(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Append what the stream gives now to Parquet and stop."""
     query = (

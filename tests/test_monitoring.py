@@ -65,8 +65,10 @@ def test_resource_trend_keeps_the_cut_off(rows):
 
 def test_floor_index_percentiles(rows):
     log = rows([("a", T0 + timedelta(seconds=i), float(i), i) for i in range(1500)], "op string, ts timestamp_ntz, duration double, i long")
-    row = p.percentiles(log, "i").first()
-    assert (row.p50, row.p95, row.p99) == (1000.0, 1450.0, 1490.0)
+    row = p.percentiles(log).first()
+    assert (row.p50, row.p95, row.p99) == (750.0, 1425.0, 1485.0)
+    same = rows([("b", 2.0)] * 50 + [("b", None)], "op string, duration double")
+    assert tuple(p.percentiles(same).first()) == ("b", 2.0, 2.0, 2.0)
 
 
 def test_no_bottleneck_is_said(rows):

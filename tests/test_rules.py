@@ -117,10 +117,12 @@ def test_custom_check_from_pandas(rows):
     assert v.record_issues(df, [], compile_checks(df, [Field("n", "integer")], [], [rule])).count() == 1
 
 
-def test_prefix_sample_keeps_small_batches_whole(spark):
-    df = spark.range(1000).select("id", F.lit(0).alias("b")).union(spark.range(50).select("id", F.lit(1).alias("b")))
-    kept = {r.b: r["count"] for r in v.prefix_sample(df, "b", ["id"], 0.5).groupBy("b").count().collect()}
-    assert kept == {0: 501, 1: 50}
+def test_sample_is_by_key_alone(spark):
+    df = spark.range(10_000)
+    kept = {r.id for r in v.hash_sample(df, ["id"], 0.3).collect()}
+    assert 2800 < len(kept) < 3200 and max(kept) > 9900
+    assert {r.id for r in v.hash_sample(df.where("id < 50"), ["id"], 0.3).collect()} == {i for i in kept if i < 50}
+    assert v.hash_sample(df, ["id"], 1.0).count() == 10_000 and v.hash_sample(df, ["id"], 0.0).count() == 0
 
 
 def test_report_over_two_batches(rows):
