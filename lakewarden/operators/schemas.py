@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from lakewarden.sources.extracts import LOGICAL_TYPES
 
@@ -89,6 +90,17 @@ def conform(df: DataFrame, fields: Sequence) -> DataFrame:
     return df.select(*out)
 
 
+def conform_to(df: DataFrame, schema: StructType) -> DataFrame:
+    """Rows in another schema: absent columns become NULL, values that do not fit their new type too."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[
+        F.lit(None).cast(f.dataType).alias(f.name) if f.name not in have
+        else F.col(f"`{f.name}`") if have[f.name] == f.dataType
+        else F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ])
+
+
 def union_versions(parts: Sequence[DataFrame]) -> DataFrame:
     """Rows written under different additive schemas as one; columns missing in a part are NULL."""
     out = parts[0]

@@ -13,10 +13,19 @@ CREATED = "2024-01-31T00:00:00.000Z"
 MANIFEST = ("manifest", "stored_files")
 
 
-@query("backup_manifest")
+@query("backup_manifest", sql="""
+with f as (
+  select o_orderkey % 64 as key, string_agg(concat(o_orderkey, ',', o_custkey, ',', o_orderpriority), chr(10) order by o_orderkey) || chr(10) as body
+  from orders group by 1)
+select key, cast(octet_length(encode(body)) as bigint) as size, sha256(body) as checksum, 'data' as type from f""")
 def backup_manifest(t):
-    table = orders_in_versions(t)
-    return b.manifest_totals(b.file_manifest(t.spark, table.root), ["type"])
+    """Text files, so that SQL can rebuild their bytes: a file per key, its lines in order."""
+    root = fresh_dir(t.spark, "manifest")
+    lines = t.orders.select(
+        F.pmod("o_orderkey", F.lit(64)).alias("key"), "o_orderkey", F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderpriority").alias("value"))
+    lines.repartition("key").sortWithinPartitions("key", "o_orderkey").select("key", "value").write.partitionBy("key").text(root)
+    found = b.file_manifest(t.spark, root)
+    return found.select(F.regexp_extract("path", r"key=(\d+)/", 1).cast("long").alias("key"), "size", "checksum", "type")
 
 
 @query("backup_export", sql=f"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from lakewarden.operators.rules import Field
 from lakewarden.plans.registry import query
@@ -108,7 +108,7 @@ def map_source_types(t):
 
 def orders_in_versions(t) -> VersionedTable:
     """Orders as a versioned table: first load, one increment, then a full refresh."""
-    table = VersionedTable(t.spark, fresh_dir(t.spark, "orders-table"))
+    table = VersionedTable.create(t.spark, fresh_dir(t.spark, "orders-table"))
     orders = t.orders
     table.commit(orders.where(F.col("o_orderdate") < "1998-01-01"))
     table.commit(extracts.incremental(orders, "o_orderdate", "1997-12-31", ordered=False)
@@ -126,10 +126,15 @@ select 2, 'add', count(*) from orders where o_orderstatus <> 'P'
 union all
 select 2, 'remove', count(*) from orders where o_orderdate < '2000-01-01'""")
 def versioned_write(t):
-    actions = orders_in_versions(t).actions()
-    counted = actions.withColumn("rows", F.get_json_object("stats", "$.numRecords").cast("long"))
-    written = counted.where("action = 'add'").select("path", F.col("rows").alias("was"))
-    return (
-        counted.join(written, "path", "left")
-        .groupBy(F.col("version").cast("int").alias("version"), "action").agg(F.sum("was").alias("n"))
-    )
+    """Rows that each version adds, and those that a replacement leaves behind."""
+    table = orders_in_versions(t)
+    rows = None
+    for version in range(table.latest() + 1):
+        part = t.spark.read.parquet(table.folder(version)).agg(F.count("*").alias("n")).withColumn("version", F.lit(version))
+        rows = part if rows is None else rows.unionByName(part)
+    eras = Window.orderBy("version")  # a row per version
+    found = table.versions().join(rows, "version").withColumn("era", F.count_if(F.col("kind") == "replace").over(eras))
+    begun = found.where("kind = 'replace'").select("version", (F.col("era") - 1).alias("era"))
+    gone = found.groupBy("era").agg(F.sum("n").alias("n")).join(begun, "era")
+    return found.select("version", F.lit("add").alias("action"), "n").unionByName(
+        gone.select("version", F.lit("remove").alias("action"), "n"))

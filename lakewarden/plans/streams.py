@@ -19,7 +19,7 @@ FIELDS = (Field("event_id", "long", False), Field("ts", "datetime", False), Fiel
 @query("stream_ingest", sql="select event_id, ts, user_id, event_type, value from events")
 def stream_ingest(t):
     root = fresh_dir(t.spark, "stream-ingest")
-    table = VersionedTable(t.spark, f"{root}/table")
+    table = VersionedTable.create(t.spark, f"{root}/table")
     stream = ingest.read_stream(t.spark, t.stream_path("events"), t.events)
     ingest.ingest(stream, table, FIELDS, f"{root}/checkpoint", report_path=f"{root}/reports", strict=True)
     return table.read().select("event_id", "ts", "user_id", "event_type", "value")
@@ -29,7 +29,7 @@ def stream_ingest(t):
 def stream_resume(t):
     root = fresh_dir(t.spark, "stream-resume")
     source, events = f"{root}/source", t.events
-    table = VersionedTable(t.spark, f"{root}/table")
+    table = VersionedTable.create(t.spark, f"{root}/table")
     # Half arrives, is taken in, then the rest arrives and the stream resumes from its checkpoint.
     for half in (0, 1):
         events.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == half).write.mode("append").parquet(source)

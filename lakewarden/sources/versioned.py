@@ -1,25 +1,23 @@
-"""Versioned Parquet table for one writer: data per version plus an action log.
+"""Versions kept as data: one Parquet folder per version and a small list of which folders make it up.
 
-Every commit is a Spark write of data, then a Spark write of the action rows
-read back from the written files. Nothing passes through the driver but the
-version number.
+The list has a row per version: its number, whether it adds to the rows before
+or replaces them, and its schema. Reading a version takes the folders from the
+last replacement on, each under the schema it was written with, and conforms
+them; no other folder is listed. One writer at a time, as for any list that is
+appended to.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
+import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
-from lakewarden.operators.versions import snapshot_files
-from lakewarden.sources.action_log import file_actions, scan_log
-from lakewarden.sources.sinks import BATCH_ROWS, write_batches, written_files
+from lakewarden.operators.schemas import conform_to, union_versions
 
-RELATIVE = r"(data/version=.*)$"
-VERSION = r"version=(\d+)/"
-# A file list up to this size is handed to every executor.
-BROADCAST_BYTES = 256 * 1024 * 1024
+LIST = "version int, kind string, schema string"
+ADD, REPLACE = "add", "replace"
 
 
 class VersionedTable:
@@ -27,94 +25,59 @@ class VersionedTable:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    @property
-    def log_path(self) -> str:
-        return f"{self.root}/log"
+    @classmethod
+    def create(cls, spark: SparkSession, root: str) -> VersionedTable:
+        """A table without versions."""
+        table = cls(spark, root)
+        spark.createDataFrame([], LIST).write.parquet(f"{table.root}/versions")
+        return table
 
-    def _committed(self) -> Iterator[int]:
-        """Committed versions, newest first, from the names in the log folder alone.
+    def folder(self, version: int) -> str:
+        return f"{self.root}/data/version={version}"
 
-        A version whose write was cut short has no success mark: it does not
-        count, and the next commit takes its number.
-        """
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.log_path)
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        found = []
-        for status in fs.listStatus(path) if fs.exists(path) else []:
-            match = re.fullmatch(r"(\d{20})\.json", status.getPath().getName())
-            if match:
-                found.append((int(match[1]), status))
-        for version, status in sorted(found, key=lambda x: -x[0]):
-            mark = self.spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if status.isFile() or fs.exists(mark):
-                yield version
-
-    def log(self) -> DataFrame:
-        return scan_log(self.spark, self.log_path)
-
-    def actions(self) -> DataFrame:
-        return file_actions(self.log())
+    def versions(self) -> DataFrame:
+        return self.spark.read.schema(LIST).parquet(f"{self.root}/versions")
 
     def latest(self) -> int:
-        """Highest committed version, -1 when there is none."""
-        return next(self._committed(), -1)
+        """Highest version, -1 when there is none."""
+        return self.versions().agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
 
-    def commit(self, df: DataFrame, replace: bool = False, rows_per_file: int = BATCH_ROWS,
-               version: int | None = None, operation: str = "WRITE") -> int:
-        """Append rows as the next version; with ``replace`` all files before are removed.
+    def commit(self, df: DataFrame, replace: bool = False, version: int | None = None) -> int:
+        """Rows as the next version, added to those before or in their place.
 
-        A given ``version`` that was already committed is left alone, so a
+        A given ``version`` that the list already has is left alone, so a
         repeated attempt changes nothing. Returns the version.
         """
         latest = self.latest()
         if version is not None and version <= latest:
             return version
         new = latest + 1 if version is None else version
-        folder = f"{self.root}/data/version={new}"
-        write_batches(df, folder, rows_per_file, mode="overwrite")
-        path = F.regexp_extract("file_path", RELATIVE, 1)
-        lines = written_files(self.spark, folder).select(F.to_json(F.struct(F.struct(
-            path.alias("path"), F.col("size"), F.lit(0).cast("long").alias("modificationTime"),
-            F.lit(True).alias("dataChange"),
-            F.to_json(F.struct(F.col("num_records").alias("numRecords"))).alias("stats"),
-        ).alias("add"))).alias("value"))
-        if latest < 0:
-            lines = self._header(df).unionByName(lines)
-        elif replace:
-            gone = snapshot_files(self.actions(), latest).select(F.to_json(F.struct(F.struct(
-                F.col("path"), F.lit(True).alias("dataChange")).alias("remove"))).alias("value"))
-            lines = lines.unionByName(gone)
-        info = self.spark.range(0, 1, 1, 1).select(F.to_json(F.struct(F.struct(
-            F.lit(0).cast("long").alias("timestamp"), F.lit(operation).alias("operation"),
-        ).alias("commitInfo"))).alias("value"))
-        lines.unionByName(info).write.mode("overwrite").option(
-            "mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").text(f"{self.log_path}/{new:020d}.json")
+        df.write.mode("overwrite").option("compression", "snappy").parquet(self.folder(new))
+        kind = REPLACE if replace or latest < 0 else ADD
+        row = self.spark.createDataFrame([(new, kind, df.schema.json())], LIST)
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/versions")
         return new
 
-    def _header(self, df: DataFrame) -> DataFrame:
-        protocol = F.to_json(F.struct(F.struct(
-            F.lit(1).alias("minReaderVersion"), F.lit(2).alias("minWriterVersion")).alias("protocol")))
-        meta = F.to_json(F.struct(F.struct(
-            F.lit(self.root.rsplit("/", 1)[-1]).alias("id"), F.lit(df.schema.json()).alias("schemaString"),
-            F.array().cast("array<string>").alias("partitionColumns")).alias("metaData")))
-        return self.spark.range(0, 1, 1, 1).select(F.explode(F.array(protocol, meta)).alias("value"))
+    def parts(self, version: int | None = None) -> list[tuple[int, StructType]]:
+        """Version and schema of each folder that makes up a version; a row each, as many as commits."""
+        listed = self.versions() if version is None else self.versions().where(F.col("version") <= version)
+        rows = sorted(listed.collect(), key=lambda r: r["version"])
+        first = max((i for i, r in enumerate(rows) if r["kind"] == REPLACE), default=0)
+        return [(r["version"], StructType.fromJson(json.loads(r["schema"]))) for r in rows[first:]]
 
     def read(self, version: int | None = None) -> DataFrame:
-        """Rows of the files active at a version.
-
-        Folders of versions that cannot hold an active file are pruned by a
-        range on the partition column. The file list is broadcast once its
-        measured size is under a limit, so the data is not shuffled; a longer
-        list is left to an ordinary join.
-        """
-        at = self.latest() if version is None else version
-        active = snapshot_files(self.actions(), at).select(
-            F.col("path").alias("__path"), F.regexp_extract("path", VERSION, 1).cast("int").alias("version"))
-        size = active.agg(F.min("version").alias("first"), F.coalesce(
-            F.sum(F.octet_length("__path") + F.lit(64)), F.lit(0)).alias("bytes")).first()
-        data = self.spark.read.option("mergeSchema", "true").parquet(f"{self.root}/data")
-        first = at + 1 if size["first"] is None else size["first"]
-        rows = data.where(F.col("version").between(first, at)).withColumn(
-            "__path", F.regexp_extract(F.col("_metadata.file_path"), RELATIVE, 1))
-        files = F.broadcast(active) if size["bytes"] <= BROADCAST_BYTES else active
-        return rows.join(files, ["version", "__path"], "left_semi").drop("__path", "version")
+        """Rows of a version, the newest by default; a column has the type that it was last written with."""
+        parts = self.parts(version)
+        if not parts:
+            raise ValueError(f"no version {'yet' if version is None else version}")
+        fields: dict[str, StructField] = {}
+        for _, schema in parts:
+            fields |= {f.name: f for f in schema.fields}
+        whole = StructType(list(fields.values()))
+        same: dict[str, list[int]] = {}
+        for number, schema in parts:
+            same.setdefault(schema.json(), []).append(number)
+        return union_versions([
+            conform_to(self.spark.read.schema(StructType.fromJson(json.loads(text))).parquet(*map(self.folder, numbers)), whole)
+            for text, numbers in same.items()
+        ])

@@ -42,7 +42,7 @@ def ingest(
             if report_path:
                 made = batch.sparkSession.createDataFrame(counts, summary.schema)
                 made.coalesce(1).write.mode("overwrite").parquet(f"{report_path}/batch={batch_id}")
-        table.commit(rows, version=batch_id, operation="STREAM")
+        table.commit(rows, version=batch_id)
 
     query = (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -19,5 +19,5 @@ def test_entry_module(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-def test_nearly_all_have_sql():
-    assert set(queries()) - set(oracles()) == {"backup_manifest"}
+def test_all_have_sql():
+    assert set(queries()) == set(oracles())

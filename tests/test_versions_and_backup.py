@@ -1,6 +1,5 @@
 """Versioned tables, action logs, saved states, backups."""
 
-from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,7 +47,7 @@ def test_state_differences(rows):
 
 
 def test_versioned_table(spark, rows):
-    table = VersionedTable(spark, fresh_dir(spark, "test-table"))
+    table = VersionedTable.create(spark, fresh_dir(spark, "test-table"))
     assert table.latest() == -1
     assert table.commit(spark.range(10)) == 0
     assert table.commit(spark.range(10, 15)) == 1
@@ -60,14 +59,35 @@ def test_versioned_table(spark, rows):
     # A column added later is NULL in the files before.
     table.commit(spark.range(1).withColumn("extra", F.lit("x")))
     assert as_set(table.read().groupBy("extra").count()) == {(None, 3), ("x", 1)}
-    header = table.log().where("protocol is not null or metaData is not null")
-    assert header.count() == 2
+    with pytest.raises(ValueError):
+        VersionedTable.create(spark, fresh_dir(spark, "test-none")).read()
+
+
+def test_versions_before_a_type_change_still_read(spark):
+    table = VersionedTable.create(spark, fresh_dir(spark, "test-types"))
+    table.commit(spark.range(3))
+    table.commit(spark.range(3, 5))
+    table.commit(spark.createDataFrame([("7",), ("x",)], "id string"))
+    assert dict(table.read(1).dtypes) == {"id": "bigint"} and table.read(1).count() == 5
+    assert as_set(table.read(0)) == {(0,), (1,), (2,)}
+    assert as_set(table.read()) == {(str(i),) for i in range(5)} | {("7",), ("x",)}
+
 
+def test_only_the_folders_of_a_version_are_listed(spark):
+    table = VersionedTable.create(spark, fresh_dir(spark, "test-folders"))
+    for start in (0, 10, 20):
+        table.commit(spark.range(start, start + 10), replace=start == 10)
+    for at, folders in ((0, {0}), (1, {1}), (2, {1, 2})):
+        listed = {int(f.rsplit("version=", 1)[1].split("/")[0]) for f in table.read(at).inputFiles()}
+        assert listed == folders
 
-def test_rows_per_file(spark):
-    table = VersionedTable(spark, fresh_dir(spark, "test-batches"))
-    table.commit(spark.range(0, 1000, 1, 1), rows_per_file=100)
-    assert table.actions().count() == 10
+
+def test_one_odd_file_name_is_one_gap(rows):
+    names = [0, 1, 4, 9_999_999_999]
+    m = rows([("b", f"_delta_log/{v:020d}.json", "log", 1, "c") for v in names] + [("b", "x.parquet", "data", 1, "c")],
+             "backup_id string, path string, type string, size long, checksum string")
+    found = b.completeness_issues(m).where("issue = 'version_gap'")
+    assert as_set(found.select("file")) == {("version 2 to 3",), ("version 5 to 9999999998",)}
 
 
 def test_retention_keeps_newest(rows):
@@ -100,18 +120,9 @@ def test_preview_takes_at_least_a_second(rows):
     assert as_set(b.restore_preview(m).select("backup_id", "estimated_seconds")) == {("b", 1), ("c", 5)}
 
 
-def test_cut_short_commit_does_not_count(spark):
-    table = VersionedTable(spark, fresh_dir(spark, "test-cut"))
-    table.commit(spark.range(5))
-    Path(table.log_path, f"{1:020d}.json").mkdir()
-    spark.range(7).write.parquet(f"{table.root}/data/version=1")
-    assert table.latest() == 0 and table.read().count() == 5
-    assert table.commit(spark.range(2)) == 1 and table.read().count() == 7
-
-
 def test_stream_rejects_a_bad_batch_and_takes_it_up_again(spark):
     root = fresh_dir(spark, "test-strict")
-    table = VersionedTable(spark, f"{root}/table")
+    table = VersionedTable.create(spark, f"{root}/table")
     data = spark.createDataFrame([(1,), (None,)], "n int")
     data.coalesce(1).write.parquet(f"{root}/in")
     stream = ingest.read_stream(spark, f"{root}/in", data)
