@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from lakewarden.operators import alerts as a, monitoring as m
 from lakewarden.operators.monitoring import HealthRule
+from lakewarden.plans.drift import REPORT, full_report
 from lakewarden.plans.registry import query
 from lakewarden.plans.sync import PHASES
-from lakewarden.plans.validation import rounded
+from lakewarden.plans.validation import OBJECTS, rounded, yearly_objects
 
 AS_OF = "2024-01-31 00:00:00"
 WEEK = "2024-01-24 00:00:00"  # a week before, the start of an hour
@@ -74,7 +75,8 @@ RULES = (
     HealthRule("disk_usage", "disk_usage_percent", warning=60.0, critical=80.0),
     HealthRule("memory_usage", "memory_usage_percent", warning=70.0, critical=90.0),
     HealthRule("api_response_time", "api_response_time_ms", warning=1500.0, critical=3000.0),
-    HealthRule("validation_error_rate", "validation_error_rate", warning=0.1, critical=0.3, enabled=False),
+    HealthRule("validation_error_rate", "validation_error_rate", warning=0.02, critical=0.3),
+    HealthRule("schema_drift", "schema_drift_score", warning=0.4, critical=0.7),
 )
 
 HEALTH = """
@@ -115,10 +117,36 @@ def health_metrics(t):
     return wide.unpivot("ts", names, "metric", "value").where("value is not null")
 
 
-@query("health_rules", sql="with " + HEALTH + """
-select ts, metric, rule, rule_severity, status, round(value, 6) as value from results""")
+def quality_metrics(t):
+    """Error rate of each year's validation and drift score of each object, as metric rows."""
+    rates = yearly_objects(t).select(
+        F.make_date("y", F.lit(1), F.lit(1)).cast("timestamp_ntz").alias("ts"), F.lit("validation_error_rate").alias("metric"),
+        F.col("error_rate").alias("value"))
+    drift = full_report(t).select(
+        F.lit(AS_OF).cast("timestamp_ntz").alias("ts"), F.lit("schema_drift_score").alias("metric"),
+        F.col("overall_score").cast("double").alias("value"))
+    return rates.unionByName(drift)
+
+
+def limits(value: str, warning: str, critical: str) -> str:
+    return f"""case when {value} > {critical} then 'critical' when {value} > {warning} then 'warning' else 'ok' end
+  , case when {value} > {critical} then {critical} when {value} > {warning} then {warning} end"""
+
+
+@query("health_rules", views=("orders_faulty",), sql="with " + HEALTH + "," + OBJECTS + "," + REPORT + f"""
+select ts, metric, rule, rule_severity, status, round(value, 6) as value
+  , case when status = 'ok' then null when metric = 'failure_rate' then 0.25 when metric = 'success_rate' then 0.8
+      when metric = 'disk_usage_percent' then if(status = 'critical', 80, 60) when metric = 'memory_usage_percent' then if(status = 'critical', 90, 70)
+      else if(status = 'critical', 3000, 1500) end::double as threshold from results
+union all
+select make_date(y, 1, 1), 'validation_error_rate', 'validation_error_rate', 'warning', s, round(error_rate, 6), b
+from (select y, error_rate, {limits('error_rate', '0.02', '0.3').replace('end', 'end as s', 1)}::double as b from objects)
+union all
+select timestamp '{AS_OF}', 'schema_drift_score', 'schema_drift', 'warning', s, round(overall_score, 6), b
+from (select overall_score, {limits('overall_score', '0.4', '0.7').replace('end', 'end as s', 1)}::double as b from report)""")
 def health_rules(t):
-    return rounded(m.check_rules(health_metrics(t), RULES).drop("threshold", "message"), "value")
+    found = m.check_rules(health_metrics(t).unionByName(quality_metrics(t)), RULES)
+    return rounded(found.drop("message"), "value")
 
 
 @query("health_status", sql="with " + HEALTH + """
