@@ -19,11 +19,13 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from lakewarden.functions.columns import micros
+from lakewarden.session import settled
 
 # The functions below travel to the tasks whole, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 COOLDOWN_SECONDS = 30 * 60
+FAN = 32  # neighbouring stretches composed in one task
 NEVER = np.iinfo(np.int64).max
 ALWAYS = np.iinfo(np.int64).min
 
@@ -92,21 +94,56 @@ def _transfer(cooldown: int, width: int):
     return run
 
 
-def _follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """State each stretch of a rule is entered with, in time order."""
-    rule, chunk, state, done = None, None, ALWAYS, False
-    for pdf in batches:
-        rules, chunks, entry = [], [], []
-        for r, c, upto, leave in zip(pdf["__rule"], pdf["__chunk"], pdf["upto"], pdf["exit"]):
-            if r != rule:
-                rule, chunk, state = r, None, ALWAYS
-            if c != chunk:
-                chunk, done = c, False
-                rules.append(r), chunks.append(c), entry.append(state)
-            if not done and state <= upto:
-                state, done = leave, True
-        yield pd.DataFrame({"__rule": rules, "__chunk": np.array(chunks, dtype="int64"),
-                            "__allowed": np.array(entry, dtype="int64")})
+def _tables(pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Stretch, upto and exit of each table of a group, in time order."""
+    pdf = pdf.sort_values(["__chunk", "upto"])
+    chunk, upto, leave = (pdf[c].to_numpy() for c in ("__chunk", "upto", "exit"))
+    for lo, hi in _runs(chunk):
+        yield int(chunk[lo]), upto[lo:hi], leave[lo:hi]
+
+
+def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One table for the neighbouring stretches of a group: no more classes than its first one has."""
+    out = None
+    for _, upto, leave in _tables(pdf):
+        if out is None:
+            out = upto, leave
+        else:
+            out = _merge_equal(out[0], leave[np.searchsorted(upto, out[1], side="left")])
+    return pd.DataFrame({"__rule": pdf["__rule"].iat[0], "__chunk": pdf["__up"].iat[0], "upto": out[0], "exit": out[1]})
+
+
+def enter(pdf: pd.DataFrame) -> pd.DataFrame:
+    """State each stretch of a group is entered with, from the one the group is entered with."""
+    state, chunks, entry = int(pdf["__allowed"].iat[0]), [], []
+    for chunk, upto, leave in _tables(pdf):
+        chunks.append(chunk), entry.append(state)
+        state = int(leave[np.searchsorted(upto, state, side="left")])
+    return pd.DataFrame({"__rule": pdf["__rule"].iat[0], "__chunk": np.array(chunks, "int64"), "__allowed": np.array(entry, "int64")})
+
+
+TABLE, ENTRY = "__rule string, __chunk long, upto long, exit long", "__rule string, __chunk long, __allowed long"
+
+
+def entries(table: DataFrame) -> DataFrame:
+    """Entry state of every stretch: tables are composed upwards ``FAN`` at a time, then states handed down.
+
+    A task sees the tables of ``FAN`` neighbouring stretches at most; the number
+    of rounds grows with the logarithm of the stretches.
+    """
+    up = F.floor(F.col("__chunk") / FAN).cast("long")
+    levels = [settled(table, "alerts")]
+    span = levels[0].agg(F.max("__chunk") - F.min("__chunk")).first()[0] or 0
+    while span > 0:
+        levels.append(settled(levels[-1].withColumn("__up", up).groupBy("__rule", "__up").applyInPandas(compose, TABLE), "alerts"))
+        span //= FAN
+    # The top has two tables of a rule at most, side by side where its first group ends.
+    at = levels.pop().withColumn("__allowed", F.lit(ALWAYS)).groupBy("__rule").applyInPandas(enter, ENTRY)
+    while levels:
+        parents = at.select("__rule", F.col("__chunk").alias("__up"), "__allowed")
+        children = levels.pop().withColumn("__up", up).join(parents, ["__rule", "__up"])
+        at = children.groupBy("__rule", "__up").applyInPandas(enter, ENTRY)
+    return at
 
 
 def _mark(cooldown: int, columns: list[str]):
@@ -153,14 +190,11 @@ def cooldown(
     # An alert without rule or time can be neither compared nor sent.
     keyed = keyed.where(F.col("__rule").isNotNull() & F.col("us").isNotNull())
     transfer = (
-        keyed.select("__rule", "__chunk", "us").repartition("__rule", "__chunk")
+        keyed.select("__rule", "__chunk", "us").distinct().repartition("__rule", "__chunk")
         .sortWithinPartitions("__rule", "__chunk", "us")
-        .mapInPandas(_transfer(wait, width), "__rule string, __chunk long, upto long, exit long")
-    )
-    entered = (
-        transfer.repartition("__rule").sortWithinPartitions("__rule", "__chunk", "upto")
-        .mapInPandas(_follow, "__rule string, __chunk long, __allowed long")
+        .mapInPandas(_transfer(wait, width), TABLE)
     )
+    entered = entries(transfer)
     marked = keyed.withColumn("__allowed", F.lit(None).cast("long")).unionByName(
         entered.withColumn("us", F.lit(ALWAYS).cast("long")), allowMissingColumns=True
     ).fillna(0, ["__allowed"])

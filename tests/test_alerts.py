@@ -63,10 +63,34 @@ def test_stream_equals_batch(spark):
     assert as_set(spark.read.parquet(f"{root}/out").select("id")) == as_set(batch.select("id"))
 
 
-@pytest.mark.parametrize("function", [batch_alerts._transfer(1, 1), batch_alerts._follow, batch_alerts._mark(1, ["a"])])
+def test_no_step_sees_more_than_a_few_tables(spark, monkeypatch):
+    """Even spacing is the worst case: groups hold the tables of FAN stretches, and the top two of a rule."""
+    seen = []
+
+    def entries(table):
+        rows = table.groupBy("__rule").agg(F.count("*").alias("n"), F.count_distinct("__chunk").alias("stretches")).first()
+        top = table.withColumn("__up", F.floor(F.col("__chunk") / batch_alerts.FAN)).groupBy("__rule", "__up").count()
+        seen.append((rows.n, rows.stretches, top.agg(F.max("count")).first()[0]))
+        return real(table)
+
+    real = batch_alerts.entries
+    monkeypatch.setattr(batch_alerts, "entries", entries)
+    data = [(i, "a", 60 * i) for i in range(20_000)]
+    sent = cooldown(frame(spark, data), "rule", "ts", "id", 1800, 7200)
+    assert {r.id for r in sent.select("id").collect()} == by_loop(data, 1800)
+    rows, stretches, most = seen[0]
+    assert stretches > 4 * batch_alerts.FAN and most <= rows / stretches * batch_alerts.FAN * 1.1
+
+
+@pytest.mark.parametrize("function", [batch_alerts._transfer(1, 1), batch_alerts._mark(1, ["a"])])
 def test_task_functions_need_no_package_on_executors(tmp_path, function):
     path = tmp_path / "function.pickle"
     path.write_bytes(cloudpickle.dumps(function))
     code = (f"import pickle, sys; f = pickle.load(open({str(path)!r}, 'rb')); "
             "assert list(f(iter([]))) == [] and not any(m.startswith('lakewarden') for m in sys.modules)")
     subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path)
+
+
+@pytest.mark.parametrize("function", [batch_alerts.compose, batch_alerts.enter])
+def test_group_functions_travel_whole(function):
+    assert b"merge_equal" in cloudpickle.dumps(function) or b"_tables" in cloudpickle.dumps(function)
