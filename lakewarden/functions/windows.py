@@ -1,8 +1,8 @@
 """Ordered computations that stay parallel when one key holds much of the data.
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task. The
-helpers below split a key by salt (rank cut-offs) or by a stretch of time
-(lag, running sums) and carry only a summary between the pieces.
+helpers below split a key by salt (rank cut-offs), by rank (lag) or by a
+stretch of time (running sums) and carry only a summary between the pieces.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakewarden.functions.columns import micros
+from lakewarden.session import settled
 
 DAY_SECONDS = 86_400
 
@@ -60,41 +61,29 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def with_previous(
-    df: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    tie: str,
-    cols: Sequence[str],
-    into: str,
-    rows_per_task: int = 4_000_000,
+    df: DataFrame, keys: Sequence[str], ts: str, tie: str, cols: Sequence[str], into: str, pieces: int | None = None
 ) -> DataFrame:
     """Struct of ``cols`` from the row before, per key in (ts, tie) order; NULL on the first.
 
-    Keys with more than ``rows_per_task`` rows are cut into stretches of time,
-    sorted on their own; the last row of each stretch is found with a combining
-    aggregate and handed to the next one. Both tables that are broadcast have
-    at most a few rows per ``rows_per_task`` rows of input, whatever the data.
+    Rows are cut by rank: ranges of (key, ts, tie) go to tasks of about equal
+    size, so neither a large key nor a burst within a second meets in one. The
+    last row of each piece of a key is carried to the next piece. The cut is
+    written once, as ranges may fall elsewhere when they are taken again.
     """
-    us = micros(F.col(ts))
-    pieces = F.ceil(F.col("__n") / F.lit(rows_per_task)) * 4
-    large = (
-        df.groupBy(*keys).agg(F.count("*").alias("__n"), F.min(us).alias("__lo"), F.max(us).alias("__hi"))
-        .where(F.col("__n") > rows_per_task)
-        .select(*keys, "__lo", F.ceil((F.col("__hi") - F.col("__lo") + 1) / pieces).alias("__width"))
-    )
-    chunk = F.coalesce(F.floor((us - F.col("__lo")) / F.col("__width")), F.lit(0)).cast("long")
-    cut = null_safe_join(df, F.broadcast(large), keys, "left").withColumn("__chunk", chunk)
-    tails = cut.where(F.col("__lo").isNotNull()).groupBy(*keys, "__chunk").agg(
+    order = [*keys, ts, tie]
+    dealt = df.repartitionByRange(pieces, *order) if pieces else df.repartitionByRange(*order)
+    cut = settled(dealt.withColumn("__piece", F.spark_partition_id()), "previous")
+    tails = cut.groupBy(*keys, "__piece").agg(
         F.max(F.struct(F.col(ts).alias("__t"), F.col(tie).alias("__i"), *cols)).alias("__tail"))
-    between = Window.partitionBy(*keys).orderBy("__chunk")
+    between = Window.partitionBy(*keys).orderBy("__piece")  # a row per key and piece
     carried = tails.withColumn("__last", F.lag("__tail").over(between)).where(F.col("__last").isNotNull()).select(
-        *keys, "__chunk", F.struct(*[F.col(f"__last.{c}").alias(c) for c in cols]).alias("__carry"))
-    inside = Window.partitionBy(*keys, "__chunk").orderBy(ts, tie)
+        *keys, "__piece", F.struct(*[F.col(f"__last.{c}").alias(c) for c in cols]).alias("__carry"))
+    inside = Window.partitionBy(*keys, "__piece").orderBy(ts, tie)
     lagged = cut.withColumn("__before", F.lag(F.struct(*cols)).over(inside))
     return (
-        null_safe_join(lagged, F.broadcast(carried), [*keys, "__chunk"], "left")
+        null_safe_join(lagged, carried, [*keys, "__piece"], "left")
         .withColumn(into, F.coalesce("__before", "__carry"))
-        .drop("__before", "__carry", "__chunk", "__lo", "__width")
+        .drop("__before", "__carry", "__piece")
     )
 
 

@@ -61,7 +61,7 @@ def retry_metrics(attempts: DataFrame) -> DataFrame:
 
 
 def breaker_metrics(
-    log: DataFrame, key: str, tie: str, as_of, rows_per_task: int = 4_000_000
+    log: DataFrame, key: str, tie: str, as_of
 ) -> DataFrame:
     """State-change metrics per breaker from (key, ts, state, success).
 
@@ -69,7 +69,7 @@ def breaker_metrics(
     leaving out a first period that was open from the start, plus the time up
     to ``as_of`` while open. Only the state before each row needs an order.
     """
-    rows = with_previous(log, [key], "ts", tie, ["state"], into="__prev", rows_per_task=rows_per_task)
+    rows = with_previous(log, [key], "ts", tie, ["state"], into="__prev")
     prev, state = F.col("__prev.state"), F.col("state")
     changed = F.col("__prev").isNotNull() & (prev != state)
     enter, leave = changed & (state == "OPEN"), changed & (prev == "OPEN")

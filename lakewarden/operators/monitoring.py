@@ -1,7 +1,7 @@
 """Metric trends, anomalies, threshold rules, overall health and error patterns.
 
-Metrics are (ts, metric, value), already summed up per tick, so a window per
-metric is short.
+Metrics are (ts, metric, value). Windows over a metric are cut into stretches
+of time, so a long history is spread over tasks.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakewarden.functions.columns import micros, moment, ntz, ratio
-from lakewarden.functions.windows import newest_per_key
+from lakewarden.functions.windows import newest_per_key, null_safe_join, running_sum
 
 # Slope, strength and history limits.
 SLOPE_STABLE = 0.01
@@ -56,9 +56,19 @@ def window_average(metrics: DataFrame, as_of, window_s: int) -> DataFrame:
 
 
 def trailing_average(metrics: DataFrame, window_s: int) -> DataFrame:
-    """For every row, the mean of the window ending with it."""
-    trailing = Window.partitionBy("metric").orderBy(micros(F.col("ts"))).rangeBetween(-(window_s * 1_000_000 - 1), 0)
-    return metrics.withColumn("trailing_average", F.avg("value").over(trailing))
+    """For every row, the mean of the window ending with it.
+
+    A metric is cut into stretches of four windows; each also gets the rows of
+    one window before it, so no task holds a whole history.
+    """
+    us, width, reach = micros(F.col("ts")), 4 * window_s * 1_000_000, window_s * 1_000_000
+    chunk = F.floor(us / width)
+    own = F.struct(chunk.alias("__chunk"), F.lit(True).alias("__own"))
+    ahead = F.struct((chunk + 1).alias("__chunk"), F.lit(False).alias("__own"))
+    here = F.when(us > (chunk + 1) * width - reach, F.array(own, ahead)).otherwise(F.array(own))
+    trailing = Window.partitionBy("metric", "__chunk").orderBy(us).rangeBetween(-(reach - 1), 0)
+    cut = metrics.select("*", F.inline_outer(here))
+    return cut.withColumn("trailing_average", F.avg("value").over(trailing)).where("__own").drop("__chunk", "__own")
 
 
 def recent(metrics: DataFrame, n: int) -> DataFrame:
@@ -68,10 +78,20 @@ def recent(metrics: DataFrame, n: int) -> DataFrame:
 
 def anomalies(metrics: DataFrame, threshold: float, min_history: int = MIN_HISTORY) -> DataFrame:
     """Rows far from the mean of all rows before, in standard deviations."""
-    before = Window.partitionBy("metric").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)
-    rows = metrics.withColumns({
-        "__n": F.count("value").over(before), "mean": F.avg("value").over(before),
-        "spread": F.stddev_pop("value").over(before)})
+    # Sums run in two levels, of values less the metric's own mean, so that squares stay exact.
+    centre = metrics.groupBy("metric").agg(F.avg("value").alias("__c"))
+    off = F.col("value") - F.col("__c")
+    known = F.when(off.isNotNull(), 1).otherwise(0)
+    zero = F.coalesce(off, F.lit(0.0))
+    tagged = null_safe_join(metrics, centre, ["metric"], "left").withColumns({"__off": zero, "__known": known})
+    summed = running_sum(
+        tagged.withColumns({"__n": F.col("__known"), "__s": F.col("__off"), "__q": F.col("__off") * F.col("__off")}),
+        ["metric"], "ts", ["__n", "__s", "__q"])
+    n = F.col("__n") - F.col("__known")
+    rows = summed.withColumns({
+        "__n": n, "__m": F.try_divide(F.col("__s") - F.col("__off"), n), "__v": F.try_divide(F.col("__q") - F.col("__off") * F.col("__off"), n),
+    }).withColumns({
+        "mean": F.col("__c") + F.col("__m"), "spread": F.sqrt(F.greatest(F.lit(0.0), F.col("__v") - F.col("__m") * F.col("__m")))})
     z = (F.col("value") - F.col("mean")) / F.nullif(F.col("spread"), F.lit(0.0))
     return rows.where(F.col("__n") >= min_history).withColumn("z_score", z).where(
         F.abs("z_score") > threshold

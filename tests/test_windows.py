@@ -27,12 +27,15 @@ def test_newest_per_key(skewed):
     assert as_set(mine.select("k", "id", "r")) == as_set(plain.select("k", "id", "r"))
 
 
-@pytest.mark.parametrize("rows_per_task", [50, 1000, 10_000_000])
-def test_with_previous(skewed, rows_per_task):
+@pytest.mark.parametrize("burst", [False, True])
+@pytest.mark.parametrize("pieces", [None, 1, 40])
+def test_with_previous(skewed, pieces, burst):
     holes = skewed.withColumn("k", F.when(F.col("k") != "k3", F.col("k")))
+    if burst:  # all rows of a key in one second
+        holes = holes.withColumn("ts", F.timestamp_seconds(F.lit(1_700_000_000)))
     w = Window.partitionBy("k").orderBy("ts", "id")
     plain = holes.withColumn("p", F.lag("s").over(w))
-    mine = with_previous(holes, ["k"], "ts", "id", ["s"], "prev", rows_per_task).withColumn("p", F.col("prev.s"))
+    mine = with_previous(holes, ["k"], "ts", "id", ["s"], "prev", pieces).withColumn("p", F.col("prev.s"))
     assert as_set(mine.select("id", "p")) == as_set(plain.select("id", "p"))
 
 
@@ -41,3 +44,11 @@ def test_running_sum(skewed):
     w = Window.partitionBy("k").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
     plain = ticks.withColumn("n", F.sum("n").over(w))
     assert as_set(running_sum(ticks, ["k"], "ts", ["n"]).select("k", "ts", "n")) == as_set(plain.select("k", "ts", "n"))
+
+
+def test_a_burst_of_one_key_is_dealt_out(spark):
+    df = spark.range(4000).select("id", F.lit("hot").alias("k"), F.timestamp_seconds(F.lit(5)).alias("ts"))
+    dealt = df.repartitionByRange(8, "k", "ts", "id").groupBy(F.spark_partition_id().alias("p")).count()
+    assert dealt.agg(F.max("count")).first()[0] < 1500
+    got = with_previous(df, ["k"], "ts", "id", ["id"], "prev", 8).select("id", F.col("prev.id").alias("p"))
+    assert as_set(got) == {(i, i - 1 if i else None) for i in range(4000)}
