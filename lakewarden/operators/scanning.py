@@ -39,16 +39,41 @@ def usable_rules(spark: SparkSession, rules: Sequence[ScanRule]) -> list[ScanRul
     return out
 
 
+def _sum(parts: Column) -> Column:
+    return F.aggregate(parts, F.lit(0), lambda acc, x: acc + x)
+
+
 def _starts(line: Column, pattern: str) -> Column:
-    """1-based column of every match: the text between matches and the matches add up to it."""
+    """1-based column of every match: the text between matches and the matches add up to it.
+
+    Lengths are summed in blocks of about the square root of their number, so a
+    line with very many matches is not summed anew for each.
+    """
     found = F.regexp_extract_all(line, F.lit(pattern), F.lit(0))
-    between = F.split(line, pattern, -1)
+    pairs = F.arrays_zip(found.alias("match"), F.split(line, pattern, -1).alias("before"))
+
+    def placed(pairs: Column, steps: Column, size: Column, offsets: Column) -> Column:
+        return F.transform(pairs, lambda x, i: F.struct(
+            (F.get(offsets, F.floor(i / size).cast("int")) + _sum(F.slice(steps, (F.floor(i / size) * size + 1).cast("int"), i % size))
+             + F.length(x["before"]) + 1).cast("int").alias("column"), x["match"].alias("match")))
+
+    def with_offsets(pairs: Column, steps: Column, size: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor(F.size(steps) / size).cast("int"))
+        sums = F.transform(blocks, lambda b: _sum(F.slice(steps, b * size + 1, size)))
+        offsets = F.transform(blocks, lambda b: named(sums, lambda s: _sum(F.slice(s, F.lit(1), b))))
+        return named(offsets, lambda o: placed(pairs, steps, size, o))
+
+    def with_steps(pairs: Column) -> Column:
+        steps = F.transform(pairs, lambda x: F.length(x["before"]) + F.coalesce(F.length(x["match"]), F.lit(0)))
+        size = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(pairs))).cast("int"))
+        return named(steps, lambda st: with_offsets(pairs, st, size))
+
+    return F.filter(named(pairs, with_steps), lambda x: x["match"].isNotNull())
 
-    def length_of(parts: Column, n: Column) -> Column:
-        return F.aggregate(F.slice(parts, F.lit(1), n), F.lit(0), lambda acc, x: acc + F.length(x))
 
-    return F.transform(found, lambda m, i: F.struct(
-        (length_of(between, i + 1) + length_of(found, i) + 1).alias("column"), m.alias("match")))
+def named(value: Column, use) -> Column:
+    """An expression over a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 # What makes a match depend on where the text begins or ends, or on what surrounds it.

@@ -3,6 +3,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import as_set
 from lakewarden.operators import contracts as c, drift as d, events as e, health as h, monitoring as m, profiling as p, scanning as s
@@ -131,3 +132,54 @@ def test_root_type_of_body(rows, body, fits):
         found = c.conformance(df, [c.Endpoint("GET", "/x", {200: {"type": want}})]).first().violations
         ok = want == fits or (want == "number" and fits == "integer")
         assert (not found) == ok, (body, want)
+
+
+def test_many_matches_in_one_line(rows):
+    n = 100_000
+    df = rows([(1, "ab " * n + "x"), (2, "x"), (3, None)], "id long, text string")
+    found = s.scan_rules(df, ["id"], "text", [s.ScanRule("r", "ab", "low")])
+    got = found.agg(F.count("*").alias("n"), F.min("column").alias("lo"), F.max("column").alias("hi"), F.sum("column").alias("s")).first()
+    assert tuple(got) == (n, 1, 3 * n - 2, sum(range(1, 3 * n, 3)))
+
+
+def many_events(spark, n):
+    return spark.range(n).select(
+        F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("ts"), F.col("id").alias("event_id"),
+        F.lit("auth_failure").alias("type"), F.lit("critical").alias("severity"))
+
+
+def test_counts_cover_all_events(spark):
+    events = many_events(spark, 3000)
+    assert e.recent_events(events, "1970-01-01 01:00:00").count() == 2999  # the window is open at its start
+    assert e.recent_events(events, "1970-01-01 01:00:00", 2500).count() == 2500
+    assert e.recent_events(events, "1970-01-01 01:00:00", 0).count() == 0
+    assert e.event_report(events).first().total_issues == 3000
+
+
+def test_quiet_ticks_are_points_too(rows):
+    events = rows([(T0, 1, "auth_failure"), (T0 + timedelta(minutes=5), 2, "auth_failure")], "ts timestamp_ntz, event_id long, type string")
+    got = e.event_trend(events, T0, T0 + timedelta(minutes=6)).where("category = 'auth_failures'").orderBy("tick").collect()
+    assert [r.value for r in got] == [1] * 10 + [2] * 2
+
+
+def test_newest_rows_are_as_many_as_asked(spark):
+    metrics = many_events(spark, 400).select("ts", F.lit("m").alias("metric"), F.lit(1.0).alias("value"))
+    assert m.recent(metrics, 300).count() == 300
+
+
+def test_time_filters_reach_the_reader(spark, tmp_path):
+    many_events(spark, 50).select("*", F.lit("m").alias("metric"), F.lit(1.0).alias("value")).write.parquet(f"{tmp_path}/e")
+    stored = spark.read.parquet(f"{tmp_path}/e")
+    for df in (e.recent_events(stored, "1970-01-01 01:00:10"), m.trend(stored, "1970-01-01 01:00:10", 3600), m.window_average(stored, "1970-01-01 01:00:10", 3600)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThan(ts,1970-01-01T00:00:10" in plan
+
+
+def test_anomalies_against_plain_windows(spark):
+    rows_ = [("a", i, float((i * 37) % 11) + (50 if i == 700 else 0)) for i in range(900)] + [("b", i, 1e9 + i % 3) for i in range(50)]
+    df = spark.createDataFrame(rows_, "metric string, t long, value double").withColumn("ts", F.timestamp_seconds(F.col("t") * 3600))
+    got = {(r.metric, r.ts): (r.mean, r.spread) for r in m.anomalies(df, 3.0).collect()}
+    values = [v for k, _, v in rows_ if k == "a"][:700]
+    mean = sum(values) / 700
+    spread = (sum((v - mean) ** 2 for v in values) / 700) ** 0.5
+    assert list(got.values()) == [(pytest.approx(mean), pytest.approx(spread))]
