@@ -35,7 +35,7 @@ from lakewarden.llm.common import spare, table
 
 BLOCK = 16            # rows
 RESOLUTION = 1000     # slots of a cycle, at least
-PIECE = 20_000        # rows ranked in one group
+PIECE = 2_000         # rows ranked in one group
 MOST_SOURCES = 5_000  # what the driver schedules: at most so many sources
 SHARE = 0.5           # without given weights: weight in proportion to rows to this power
 
