@@ -106,10 +106,13 @@ def remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 ["doc_id", "n_words", "n_removed", "kept"],
             )
 
-    rows = texts(docs).select(F.col("doc_id").cast("long"), F.encode("text", "UTF-8").alias("raw"))
-    parts = per_document(removals(docs, window), "first", "size")
     out = T.StructType([long_field("doc_id"), *T.StructType.fromDDL(KEPT)])
-    return rows.join(parts, "doc_id", "left").select("doc_id", "raw", "parts").mapInArrow(run, out)
+    named = readable(docs)  # the same rows, shuffled once, as those that the windows are taken from
+    parts = per_document(removals(docs, window), "first", "size")
+    done = named.join(parts, "doc_id", "left").select("doc_id", "raw", "parts").mapInArrow(run, out)
+    none = F.lit(None).cast("array<struct<first:bigint,size:bigint>>").alias("parts")
+    nameless = texts(docs).where("doc_id is null").select(F.col("doc_id").cast("long"), F.encode("text", "UTF-8").alias("raw"), none)
+    return done.unionByName(nameless.mapInArrow(run, out))
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
