@@ -20,7 +20,7 @@ HEADLINE = (
     "scan_typed", "extract_incremental", "sink_roundtrip", "versioned_write", "time_travel",
     "schema_fingerprint", "schema_history", "sync_plan", "consistency_report", "error_rollup",
     "val_type", "val_record", "val_batch", "val_object", "val_gate", "profile_columns",
-    "drift_report", "snapshot_files", "ckpt_structure", "backup_restorable",
+    "drift_report", "snapshot_files", "ckpt_structure", "backup_restorable", "backup_restore",
     "metric_anomalies", "metric_trend", "health_status", "alert_cooldown", "error_patterns",
     "op_metrics", "op_percentiles", "bottlenecks", "state_changes", "retry_health_score", "table_commits",
     "contract_report", "rule_scan", "finding_score", "event_alerts", "event_trend", "issue_dedup",
