@@ -24,7 +24,7 @@ import base64
 import hashlib
 import heapq
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -236,8 +236,8 @@ def digests(docs: DataFrame, shared) -> DataFrame:
     return rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL(DIGEST)]))
 
 
-def tokenised(docs: DataFrame, shared) -> DataFrame:
-    """doc_id, n_tokens, ids as an array, and whether decoding gives the text again, in the order of ``docs``."""
+def tokenised(docs: DataFrame, shared, more: Sequence[str] = ()) -> DataFrame:
+    """doc_id, n_tokens, ids as an array, and whether decoding gives the text again; ``more`` columns go along."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -247,10 +247,13 @@ def tokenised(docs: DataFrame, shared) -> DataFrame:
             at = np.cumsum([0, *[len(p) // 4 for p in packed]])
             ids = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4")))
             counts = pa.array(np.diff(at), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), counts, ids, pa.array(intact)], ["doc_id", "n_tokens", "ids", "intact"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), counts, ids, pa.array(intact, pa.bool_()), *batch.columns[2:]],
+                ["doc_id", "n_tokens", "ids", "intact", *batch.schema.names[2:]])
 
-    rows = texts(docs)
-    return rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL("n_tokens long, ids array<int>, intact boolean")]))
+    rows = texts(docs, *more)
+    made = T.StructType.fromDDL("n_tokens long, ids array<int>, intact boolean")
+    return rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], *made, *rows.schema.fields[2:]]))
 
 
 def production(spark: SparkSession):

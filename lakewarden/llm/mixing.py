@@ -157,6 +157,15 @@ def mixed_order(docs: DataFrame, weights: Mapping | None = None, block: int = BL
     return mix(docs, weights, block).sort(f"{name}.slot", f"{name}.offset").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def placed(docs: DataFrame, weights: Mapping | None = None, block: int = BLOCK) -> DataFrame:
+    """doc_id and text of every row with its place in the mixture, slot and offset, which no other row has.
+
+    The place depends on the rows alone and not on the files they come from, so
+    it is that of ``mixed_order`` also where the files have been read in another order.
+    """
+    return mix(docs.select("doc_id", "source", "text"), weights, block).select("doc_id", "text", "mix.slot", "mix.offset")
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return done.select("doc_id", "source", "mix.*")
