@@ -60,9 +60,11 @@ with w as (select date_trunc('hour', ts) as start, event_type, count(*) as n fro
 select start, start + interval 1 hour as "end", event_type, n from w""")
 def stream_error_rate(t):
     root = fresh_dir(t.spark, "stream-rates")
-    stream = ingest.read_stream(t.spark, t.stream_path("events"), t.events)
-    rates.drain(rates.hourly_counts(stream, "ts", "event_type"), f"{root}/out", f"{root}/checkpoint")
+    rows = t.events.select("ts", "event_type")
+    for stream in ingest.arrivals(rows, "ts", ingest.batches_of(t.events), f"{root}/source"):
+        rates.drain(rates.hourly_counts(stream, "ts", "event_type"), f"{root}/out", f"{root}/checkpoint")
     closed = t.spark.read.schema("start timestamp, end timestamp, event_type string, n bigint").parquet(f"{root}/out")
     out = closed.unionByName(rates.open_windows(t.spark, f"{root}/checkpoint", "event_type"))
+    out = out.unionByName(rates.timeless(rows, "ts", "event_type"))
     return out.select(F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"),
                       "event_type", "n")

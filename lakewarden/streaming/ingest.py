@@ -2,24 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lakewarden.functions.columns import micros
 from lakewarden.operators.rules import Field, compile_checks
 from lakewarden.operators.validation import batch_summary
 from lakewarden.sources.versioned import VersionedTable
 
 
+BATCH_BYTES = 16 << 30
+ONE_BATCH = 1 << 62
+
+
 class BatchRejected(ValueError):
     """A batch with errors under strict validation; nothing of it was written."""
 
 
-def read_stream(spark: SparkSession, path: str, like: DataFrame, bytes_per_batch: int = 16 << 30) -> DataFrame:
+def read_stream(spark: SparkSession, path: str, like: DataFrame, bytes_per_batch: int = BATCH_BYTES) -> DataFrame:
     """Parquet files of a folder as a stream with a declared schema, about so many bytes of them per batch."""
     return spark.readStream.schema(like.schema).option("maxBytesPerTrigger", bytes_per_batch).parquet(path)
 
 
+def batches_of(table: DataFrame) -> int:
+    """How many batches the files of a table make."""
+    files = table.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")).distinct()
+    return max(1, -(-(files.agg(F.sum("size")).first()[0] or 0) // BATCH_BYTES))
+
+
+def arrivals(rows: DataFrame, ts: str, pieces: int, path: str) -> Iterator[DataFrame]:
+    """The rows in ascending stretches of time: each is written to ``path``, then given as a stream that takes it in one batch.
+
+    Files reach a stream by when they were written, so only a stretch at a time
+    keeps later batches from holding earlier rows. Drain each before the next.
+    """
+    us = micros(F.col(ts))
+    shares = [i / pieces for i in range(1, pieces)]
+    cuts = (rows.agg(F.percentile_approx(us, shares)).first()[0] or []) if shares else []
+    stretch = sum((F.when(us > c, 1).otherwise(0) for c in cuts), F.lit(0))
+    for n in range(pieces):
+        rows.where(stretch == n).write.mode("append").parquet(path)
+        yield read_stream(rows.sparkSession, path, rows, bytes_per_batch=ONE_BATCH)
+
+
 def ingest(
     stream: DataFrame, table: VersionedTable, fields: Sequence[Field], checkpoint: str,
     report_path: str | None = None, strict: bool = False,

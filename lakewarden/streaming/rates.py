@@ -22,6 +22,13 @@ def open_windows(spark: SparkSession, checkpoint: str, kind: str) -> DataFrame:
         F.col(f"key.{kind}").alias(kind), F.col("value.count").alias("n"))
 
 
+def timeless(events: DataFrame, ts: str, kind: str) -> DataFrame:
+    """Counts of the events without a time, which belong to no window."""
+    none = F.lit(None).cast("timestamp")
+    return events.where(F.col(ts).isNull()).groupBy(kind).agg(F.count("*").alias("n")).select(
+        none.alias("start"), none.alias("end"), kind, "n")
+
+
 def drain(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Append what the stream gives now to Parquet and stop."""
     query = (
