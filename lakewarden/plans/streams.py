@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakewarden.functions.columns import micros
 from lakewarden.operators.rules import Field
 from lakewarden.plans.monitoring import CHAIN
 from lakewarden.plans.registry import query
@@ -44,15 +43,11 @@ select event_id, e.event_type, e.ts from events e join chain c on e.event_type =
 def stream_cooldown(t):
     root = fresh_dir(t.spark, "stream-cooldown")
     rows = t.events.select("event_id", "event_type", "ts")
-    # Thirds in order of time arrive one after the other; each is drained before the next.
-    cuts = rows.agg(F.percentile_approx(micros(F.col("ts")), [1 / 3, 2 / 3])).first()[0] or []
-    third = sum((F.when(micros(F.col("ts")) > c, 1).otherwise(0) for c in cuts), F.lit(0))
-    for n in range(3):
-        rows.where(third == n).write.mode("append").parquet(f"{root}/source")
-        stream = ingest.read_stream(t.spark, f"{root}/source", rows)
+    # Thirds in order of time, or smaller stretches of a large table, arrive one after the other.
+    for stream in ingest.arrivals(rows, "ts", max(3, ingest.batches_of(t.events)), f"{root}/source"):
         sent = alerts.cooldown_stream(stream, "event_type", "ts", "event_id", 6 * 3600)
         rates.drain(sent, f"{root}/sent", f"{root}/checkpoint")
-    return t.spark.read.schema(rows.schema).parquet(f"{root}/sent")
+    return t.spark.read.schema(rows.schema).parquet(f"{root}/sent").select(*rows.columns)
 
 
 @query("stream_error_rate", sql="""

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lakewarden.streaming.alerts import CooldownStream
+
 
 def hourly_counts(events: DataFrame, ts: str, kind: str, late: str = "10 minutes", width: str = "1 hour") -> DataFrame:
     """Counts per window; a window is given out once the watermark has passed its end."""
@@ -29,8 +31,10 @@ def timeless(events: DataFrame, ts: str, kind: str) -> DataFrame:
         none.alias("start"), none.alias("end"), kind, "n")
 
 
-def drain(stream: DataFrame, path: str, checkpoint: str) -> None:
+def drain(stream: DataFrame | CooldownStream, path: str, checkpoint: str) -> None:
     """Append what the stream gives now to Parquet and stop."""
+    if isinstance(stream, CooldownStream):
+        return stream.drain(path, checkpoint)
     query = (
         stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
         .outputMode("append").trigger(availableNow=True).start())

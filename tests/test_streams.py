@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from lakewarden.plans import queries
-from lakewarden.streaming import ingest
+from lakewarden.operators.alerts import cooldown
+from lakewarden.streaming import alerts as live, ingest, rates
 
 
 @pytest.fixture
@@ -30,3 +31,21 @@ def test_error_rate_counts_every_event(spark, folder):
     got = queries()["stream_error_rate"](spark, folder).collect()
     assert {(r.start, r.event_type, r.n) for r in got} == {tuple(r) for r in want} and len(got) == len(want)
     assert any(r.start is None for r in got)
+
+
+def test_cooldown_is_that_of_the_batch_operator(spark, folder):
+    events = spark.read.parquet(f"{folder}/events.parquet").select("event_id", "event_type", "ts")
+    want = cooldown(events, "event_type", "ts", "event_id", 6 * 3600).collect()
+    got = queries()["stream_cooldown"](spark, folder).collect()
+    assert {tuple(r) for r in got} == {tuple(r) for r in want} and len(got) == len(want) > 100
+
+
+def test_a_crowded_rule_meets_in_no_group(spark, tmp_path, monkeypatch):
+    """A batch is handed to the batch operator, which cuts rules into stretches, once for each stretch of time."""
+    seen = []
+    monkeypatch.setattr(live, "cooldown", lambda df, *more: seen.append(df.count()) or cooldown(df, *more), raising=False)
+    data = spark.range(4000).select("id", F.lit("a").alias("rule"), F.timestamp_seconds(F.col("id") * 60).alias("ts"))
+    for stream in ingest.arrivals(data, "ts", 2, f"{tmp_path}/in"):
+        rates.drain(live.cooldown_stream(stream, "rule", "ts", "id", 1800), f"{tmp_path}/out", f"{tmp_path}/cp")
+    got = sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out").select("id").collect())
+    assert got == list(range(0, 4000, 30)) and len(seen) == 2 and sum(seen) <= 4000
