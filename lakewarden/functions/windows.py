@@ -97,6 +97,7 @@ def running_sum(
     sums = here.groupBy(*keys, "__chunk").agg(*[F.sum(v).alias(f"__s_{v}") for v in values])
     offsets = sums.select(*keys, "__chunk", *[
         F.coalesce(F.sum(f"__s_{v}").over(before), F.lit(0)).alias(f"__o_{v}") for v in values])
-    totals = here.withColumns({v: F.sum(v).over(inside) for v in values}).join(offsets, [*keys, "__chunk"])
+    sums_here = here.withColumns({v: F.sum(v).over(inside) for v in values})
+    totals = null_safe_join(sums_here, offsets, [*keys, "__chunk"], "inner")
     return totals.withColumns({v: F.col(v) + F.col(f"__o_{v}") for v in values}).drop(
         "__chunk", *[f"__o_{v}" for v in values])
