@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 MODULES = (
     "mixing", "byte_bpe", "secrets", "substring_dedup", "suffix_dedup", "simhash",
-    "exact_dedup", "neighbours", "pii", "toxicity", "quality", "centroids", "pipeline",
+    "exact_dedup", "neighbours", "pii", "toxicity", "quality", "centroids", "conversations", "pipeline",
 )
 
 

@@ -11,7 +11,7 @@ from lakewarden.llm import registry
 
 def test_each_operator_has_one_query():
     names = sorted(n for n in registry.queries() if n.startswith("op"))
-    assert [int(n[2:].split("_")[0]) for n in sorted(names, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in sorted(names, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))
     assert set(registry.queries()) <= set(entry.queries()) and set(registry.oracles()) <= set(entry.oracle_sql())
 
 
