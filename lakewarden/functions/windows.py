@@ -1,8 +1,8 @@
 """Ordered computations that stay parallel when one key holds much of the data.
 
 A plain ``Window.partitionBy(key)`` sends every row of a key to one task. The
-helpers below split a key by salt (rank cut-offs), by rank (lag) or by a
-stretch of time (running sums) and carry only a summary between the pieces.
+helpers below split a key by salt (rank cut-offs) or by rank (lag, running
+sums) and carry only a summary between the pieces.
 """
 
 from __future__ import annotations
@@ -11,11 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakewarden.functions.columns import micros
 from lakewarden.session import settled
 
-DAY_SECONDS = 86_400
-
 
 def newest_per_key(
     df: DataFrame,
@@ -45,11 +42,6 @@ def newest_per_key(
     return kept.withColumnRenamed("__rank", rank) if rank else kept.drop("__rank")
 
 
-def time_chunk(ts: Column, seconds: int) -> Column:
-    """Number of the fixed stretch of time a timestamp falls in."""
-    return F.floor(micros(ts) / F.lit(seconds * 1_000_000)).cast("long")
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join on keys, NULL equal to NULL; the right side's keys are dropped."""
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
@@ -87,17 +79,24 @@ def with_previous(
     )
 
 
-def running_sum(
-    df: DataFrame, keys: Sequence[str], ts: str, values: Sequence[str], chunk_seconds: int = DAY_SECONDS
-) -> DataFrame:
-    """Running totals per key over ts, in two levels: inside a stretch, plus all stretches before."""
-    here = df.withColumn("__chunk", time_chunk(F.col(ts), chunk_seconds))
-    inside = Window.partitionBy(*keys, "__chunk").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    sums = here.groupBy(*keys, "__chunk").agg(*[F.sum(v).alias(f"__s_{v}") for v in values])
-    offsets = sums.select(*keys, "__chunk", *[
+def running_sum(df: DataFrame, keys: Sequence[str], ts: str, values: Sequence[str], pieces: int | None = None) -> DataFrame:
+    """Running totals per key over ts: a prefix scan over pieces cut by rank.
+
+    Ranges of (key, ts, hash of the row) go to tasks of about equal size, so
+    neither a large key nor a burst within a second meets in one; each piece adds
+    up its own rows on top of the total of the pieces before it. Rows of the same
+    time follow each other in the order of their hash. The cut is written once,
+    as ranges may fall elsewhere when they are taken again.
+    """
+    order = [*keys, ts, "__tie"]
+    tied = df.withColumn("__tie", F.xxhash64(*df.columns))
+    dealt = tied.repartitionByRange(pieces, *order) if pieces else tied.repartitionByRange(*order)
+    cut = settled(dealt.withColumn("__piece", F.spark_partition_id()), "sums")
+    before = Window.partitionBy(*keys).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    totals = cut.groupBy(*keys, "__piece").agg(*[F.sum(v).alias(f"__s_{v}") for v in values])  # a row per key and piece
+    offsets = totals.select(*keys, "__piece", *[
         F.coalesce(F.sum(f"__s_{v}").over(before), F.lit(0)).alias(f"__o_{v}") for v in values])
-    sums_here = here.withColumns({v: F.sum(v).over(inside) for v in values})
-    totals = null_safe_join(sums_here, offsets, [*keys, "__chunk"], "inner")
-    return totals.withColumns({v: F.col(v) + F.col(f"__o_{v}") for v in values}).drop(
-        "__chunk", *[f"__o_{v}" for v in values])
+    inside = Window.partitionBy(*keys, "__piece").orderBy(ts, "__tie").rowsBetween(Window.unboundedPreceding, 0)
+    sums = null_safe_join(cut.withColumns({v: F.sum(v).over(inside) for v in values}), offsets, [*keys, "__piece"], "inner")
+    return sums.withColumns({v: F.col(v) + F.col(f"__o_{v}") for v in values}).drop(
+        "__piece", "__tie", *[f"__o_{v}" for v in values])

@@ -1,11 +1,19 @@
 """Alert cooldown: an alert is dropped while its rule's last sent alert is too recent.
 
-Whether an alert is sent depends on which one was sent before, so this is a
-chain along time. To keep a rule with very many alerts off a single task, time
-is cut into stretches. A first pass finds, for each stretch, how any state it
-may be entered with leads to a state at its end; a short second pass follows
-these states from stretch to stretch; a third pass marks the sent alerts of
-all stretches in parallel. All passes read sorted rows in batches.
+Whether an alert is sent depends on which one was sent before, so the sent
+alerts of a rule are a chain along time: each leads to the first alert at or
+after its own time plus the cooldown. The chain is found by pointer doubling:
+
+1. Alerts are cut by rank, as ranges of (rule, time), into pieces of about equal
+   size, so neither a large rule nor a burst within a second meets in one task.
+   Inside a piece every alert is led along its chain to the time from which the
+   rule may send again when the chain leaves the piece.
+2. The alert with which each such time enters a later piece is found by one
+   sorted pass over both, again cut by rank.
+3. From entry to entry the leads are doubled, two steps becoming one, while the
+   entries reached from the first alert of each rule are marked: the rounds grow
+   with the logarithm of the pieces.
+4. Each piece that is entered marks its sent alerts from there.
 """
 
 from __future__ import annotations
@@ -15,8 +23,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark import TaskContext, cloudpickle
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lakewarden.functions.columns import micros
 from lakewarden.session import settled
@@ -25,9 +33,7 @@ from lakewarden.session import settled
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 COOLDOWN_SECONDS = 30 * 60
-FAN = 32  # neighbouring stretches composed in one task
-NEVER = np.iinfo(np.int64).max
-ALWAYS = np.iinfo(np.int64).min
+KEY = ["__rule", "__us"]
 
 
 def _runs(keys: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -37,171 +43,129 @@ def _runs(keys: np.ndarray) -> Iterator[tuple[int, int]]:
     yield from zip(bounds[:-1], bounds[1:])
 
 
-def _group_ids(pdf: pd.DataFrame) -> np.ndarray:
-    return np.cumsum(((pdf["__rule"] != pdf["__rule"].shift()) | (pdf["__chunk"] != pdf["__chunk"].shift())).to_numpy())
-
-
-def advance(times: np.ndarray, allowed: np.ndarray, cooldown: int) -> np.ndarray:
-    """Carry every chain over sorted times: each time at or after ``allowed`` sends and blocks the cooldown."""
-    allowed = allowed.copy()
-    open_ = np.ones(len(allowed), dtype=bool)
+def leave(times: np.ndarray, cooldown: int) -> np.ndarray:
+    """When a rule that sends at each of the sorted times may send again behind the last of them."""
+    ahead = np.searchsorted(times, times + cooldown, side="left")
+    last = np.where(ahead < len(times), ahead, np.arange(len(times)))
     while True:
-        at = np.searchsorted(times, allowed[open_], side="left")
-        hit = at < len(times)
-        index = np.flatnonzero(open_)
-        open_[index[~hit]] = False
-        if not hit.any():
-            return allowed
-        allowed[index[hit]] = times[at[hit]] + cooldown
-
-
-def _merge_equal(upto: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Neighbouring entry classes that have met go on as one."""
-    keep = np.append(allowed[1:] != allowed[:-1], True)
-    return upto[keep], allowed[keep]
-
-
-def _transfer(cooldown: int, width: int):
-    """Per stretch: (upto, exit) says that entering with ``allowed`` <= upto leaves with ``exit``."""
+        further = last[last]
+        if (further == last).all():
+            return times[last] + cooldown
+        last = further
+
+
+def chain(times: np.ndarray, first: int, cooldown: int) -> list[int]:
+    """Places of the alerts that are sent from the first one at or after a time."""
+    out, at = [], int(np.searchsorted(times, first, side="left"))
+    while at < len(times):
+        out.append(at)
+        at = int(np.searchsorted(times, times[at] + cooldown, side="left"))
+    return out
+
+
+def _by_rule(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sorted rows, those of a rule together."""
+    held: list[pd.DataFrame] = []
+    for pdf in batches:
+        for lo, hi in _runs(pdf["__rule"].to_numpy()) if len(pdf) else ():
+            part = pdf.iloc[lo:hi]
+            if held and held[0]["__rule"].iat[0] != part["__rule"].iat[0]:
+                yield pd.concat(held)
+                held = []
+            held.append(part)
+    if held:
+        yield pd.concat(held)
+
+
+def _leave(cooldown: int):
+    """Sorted alerts of a piece with the piece's number and when the rule may send again behind it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, upto, allowed = None, None, None
-
-        def emit() -> pd.DataFrame:
-            return pd.DataFrame({"__rule": key[0], "__chunk": key[1], "upto": upto, "exit": allowed})
-
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            us = pdf["us"].to_numpy()
-            for lo, hi in _runs(_group_ids(pdf)):
-                here = (pdf["__rule"].iat[lo], pdf["__chunk"].iat[lo])
-                first_end = here[1] * width + cooldown
-                if here != key:
-                    if key is not None:
-                        yield emit()
-                    key = here
-                    upto, allowed = np.array([NEVER]), np.array([first_end])
-                times = us[lo:hi]
-                entries = np.unique(times[times < first_end])
-                entries = entries[~np.isin(entries, upto)]
-                upto = np.concatenate([upto[:-1], entries, upto[-1:]])
-                allowed = np.concatenate([allowed[:-1], entries + cooldown, allowed[-1:]])
-                upto, allowed = _merge_equal(upto, advance(times, allowed, cooldown))
-        if key is not None:
-            yield emit()
+        piece = TaskContext.get().partitionId()
+        for own in _by_rule(batches):
+            yield own.assign(__piece=piece, __leave=leave(own["__us"].to_numpy(), cooldown))
 
     return run
 
 
-def _tables(pdf: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Stretch, upto and exit of each table of a group, in time order."""
-    pdf = pdf.sort_values(["__chunk", "upto"])
-    chunk, upto, leave = (pdf[c].to_numpy() for c in ("__chunk", "upto", "exit"))
-    for lo, hi in _runs(chunk):
-        yield int(chunk[lo]), upto[lo:hi], leave[lo:hi]
-
-
-def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One table for the neighbouring stretches of a group: no more classes than its first one has."""
-    out = None
-    for _, upto, leave in _tables(pdf):
-        if out is None:
-            out = upto, leave
-        else:
-            out = _merge_equal(out[0], leave[np.searchsorted(upto, out[1], side="left")])
-    return pd.DataFrame({"__rule": pdf["__rule"].iat[0], "__chunk": pdf["__up"].iat[0], "upto": out[0], "exit": out[1]})
-
-
-def enter(pdf: pd.DataFrame) -> pd.DataFrame:
-    """State each stretch of a group is entered with, from the one the group is entered with."""
-    state, chunks, entry = int(pdf["__allowed"].iat[0]), [], []
-    for chunk, upto, leave in _tables(pdf):
-        chunks.append(chunk), entry.append(state)
-        state = int(leave[np.searchsorted(upto, state, side="left")])
-    return pd.DataFrame({"__rule": pdf["__rule"].iat[0], "__chunk": np.array(chunks, "int64"), "__allowed": np.array(entry, "int64")})
+def _mark(cooldown: int):
+    """The sent alerts of pieces; the row of a piece that has ``__enter`` says from when."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in _by_rule(batches):
+            for lo, hi in _runs(rows["__piece"].to_numpy()):
+                own = rows.iloc[lo:hi]
+                first = own["__enter"].max()
+                if pd.notna(first):
+                    yield own.iloc[chain(own["__us"].to_numpy(), int(first), cooldown)][[*KEY, "__tie"]]
 
-TABLE, ENTRY = "__rule string, __chunk long, upto long, exit long", "__rule string, __chunk long, __allowed long"
+    return run
 
 
-def entries(table: DataFrame) -> DataFrame:
-    """Entry state of every stretch: tables are composed upwards ``FAN`` at a time, then states handed down.
+def first_at_or_after(times: DataFrame, points: DataFrame, pieces: int | None = None) -> DataFrame:
+    """For each of ``times`` (__rule, __us) the first of ``points`` at or after it: ``__next``, null if there is none.
 
-    A task sees the tables of ``FAN`` neighbouring stretches at most; the number
-    of rounds grows with the logarithm of the stretches.
+    Both are sorted together and cut by rank; a piece without a later point
+    takes the head of the next one that has one. The cut is written once, as
+    ranges may fall elsewhere when they are taken again.
     """
-    up = F.floor(F.col("__chunk") / FAN).cast("long")
-    levels = [settled(table, "alerts")]
-    span = levels[0].agg(F.max("__chunk") - F.min("__chunk")).first()[0] or 0
-    while span > 0:
-        levels.append(settled(levels[-1].withColumn("__up", up).groupBy("__rule", "__up").applyInPandas(compose, TABLE), "alerts"))
-        span //= FAN
-    # The top has two tables of a rule at most, side by side where its first group ends.
-    at = levels.pop().withColumn("__allowed", F.lit(ALWAYS)).groupBy("__rule").applyInPandas(enter, ENTRY)
-    while levels:
-        parents = at.select("__rule", F.col("__chunk").alias("__up"), "__allowed")
-        children = levels.pop().withColumn("__up", up).join(parents, ["__rule", "__up"])
-        at = children.groupBy("__rule", "__up").applyInPandas(enter, ENTRY)
-    return at
-
-
-def _mark(cooldown: int, columns: list[str]):
-    """Keep the alerts that are sent; the first row of a stretch carries its entry state."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, allowed = None, ALWAYS
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            keep = np.zeros(len(pdf), dtype=bool)
-            us, entry = pdf["us"].to_numpy(), pdf["__allowed"].to_numpy()
-            for lo, hi in _runs(_group_ids(pdf)):
-                here = (pdf["__rule"].iat[lo], pdf["__chunk"].iat[lo])
-                if here != key:
-                    key, allowed = here, ALWAYS
-                if us[lo] == ALWAYS:
-                    allowed = entry[lo]
-                    lo += 1
-                times = us[lo:hi]
-                at = np.searchsorted(times, allowed, side="left")
-                while at < len(times):
-                    keep[lo + at] = True
-                    allowed = times[at] + cooldown
-                    at = np.searchsorted(times, allowed, side="left")
-            yield pdf.loc[keep, columns]
-
-    return run
+    both = times.select(*KEY, F.lit(False).alias("__point")).unionByName(points.select(*KEY, F.lit(True).alias("__point")))
+    order = [*KEY, "__point"]
+    dealt = both.repartitionByRange(pieces, *order) if pieces else both.repartitionByRange(*order)
+    cut = settled(dealt.withColumn("__piece", F.spark_partition_id()), "alert-order")
+    point = F.when(F.col("__point"), F.col("__us"))
+    back = [F.col(c).desc() for c in order[1:]]
+    inside = Window.partitionBy("__rule", "__piece").orderBy(*back).rowsBetween(Window.unboundedPreceding, 0)
+    later = Window.partitionBy("__rule").orderBy(F.col("__piece").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    heads = cut.groupBy("__rule", "__piece").agg(F.min(point).alias("__head")).select(  # one row per rule and piece
+        "__rule", "__piece", F.last("__head", ignorenulls=True).over(later).alias("__after"))
+    found = cut.withColumn("__own", F.last(point, ignorenulls=True).over(inside)).where(~F.col("__point"))
+    return found.join(heads, ["__rule", "__piece"]).select(*KEY, F.coalesce("__own", "__after").alias("__next"))
+
+
+def reached(leads: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(__rule, __us) of all nodes that leads (__rule, __us, __next) reach from the first ones, by doubling."""
+    leads, marked = settled(leads, "alert-leads"), firsts
+    while leads.take(1):  # a step twice as long each time, until none is left inside the chains
+        new = marked.join(leads, KEY).select("__rule", F.col("__next").alias("__us"))
+        marked = settled(marked.unionByName(new).distinct(), "alert-marks")
+        on = leads.select("__rule", F.col("__us").alias("__next"), F.col("__next").alias("__then"))
+        leads = settled(leads.join(on, ["__rule", "__next"]).select("__rule", "__us", F.col("__then").alias("__next")), "alert-leads")
+    return marked
 
 
 def cooldown(
     alerts: DataFrame, rule: str, ts: str, tie: str,
-    cooldown_s: int = COOLDOWN_SECONDS, stretch_s: int | None = None,
+    cooldown_s: int = COOLDOWN_SECONDS, pieces: int | None = None,
 ) -> DataFrame:
-    """Alerts that are sent.
+    """Alerts that are sent; of those at the same time the one with the smallest ``tie``.
 
-    ``stretch_s`` is the length of the stretches a rule is cut into, at least
-    one cooldown: the shorter, the less of a hot rule meets in one task.
+    An alert without rule, time or tie can be neither compared nor sent, and
+    rows equal in all three are one alert. ``pieces`` is how many tasks the
+    alerts are cut into (the session's shuffle partitions if not given).
     """
-    wait, width = cooldown_s * 1_000_000, max(stretch_s or 4 * cooldown_s, cooldown_s) * 1_000_000
-    us = micros(F.col(ts))
-    keyed = alerts.select(
-        "*", F.col(rule).cast("string").alias("__rule"), F.floor(us / width).cast("long").alias("__chunk"), us.alias("us"))
-    # An alert without rule or time can be neither compared nor sent.
-    keyed = keyed.where(F.col("__rule").isNotNull() & F.col("us").isNotNull())
-    transfer = (
-        keyed.select("__rule", "__chunk", "us").distinct().repartition("__rule", "__chunk")
-        .sortWithinPartitions("__rule", "__chunk", "us")
-        .mapInPandas(_transfer(wait, width), TABLE)
-    )
-    entered = entries(transfer)
-    marked = keyed.withColumn("__allowed", F.lit(None).cast("long")).unionByName(
-        entered.withColumn("us", F.lit(ALWAYS).cast("long")), allowMissingColumns=True
-    ).fillna(0, ["__allowed"])
-    return (
-        marked.repartition("__rule", "__chunk").sortWithinPartitions("__rule", "__chunk", "us", tie)
-        .mapInPandas(_mark(wait, alerts.columns), alerts.schema)
-    )
+    wait = cooldown_s * 1_000_000
+    named = alerts.withColumns({"__rule": F.col(rule).cast("string"), "__us": micros(F.col(ts)), "__tie": F.col(tie)})
+    named = named.where(F.col("__rule").isNotNull() & F.col("__us").isNotNull() & F.col("__tie").isNotNull())
+    points = named.groupBy(*KEY).agg(F.min("__tie").alias("__tie"))
+    dealt = points.repartitionByRange(pieces, *KEY) if pieces else points.repartitionByRange(*KEY)
+    kind = points.schema["__tie"].dataType.simpleString()
+    cut = settled(dealt.sortWithinPartitions(*KEY).mapInPandas(
+        _leave(wait), f"__rule string, __us long, __tie {kind}, __piece int, __leave long"), "alerts")
+
+    # One rule in one piece has one way out: its chains rarely stay apart, and each is a lead to a later piece.
+    firsts = cut.groupBy("__rule").agg(F.min("__us").alias("__us"))
+    ways = cut.select("__rule", F.col("__leave").alias("__us")).distinct()
+    next_of = first_at_or_after(ways, cut, pieces).where(F.col("__next").isNotNull())
+    entries = next_of.select("__rule", F.col("__next").alias("__us")).distinct().unionByName(firsts).distinct()
+    leads = cut.join(entries, KEY).select("__rule", "__us", F.col("__leave").alias("__way")).join(
+        next_of.withColumnRenamed("__us", "__way"), ["__rule", "__way"]).select(*KEY, "__next")
+    entered = reached(leads, firsts).withColumn("__enter", F.col("__us"))
+
+    walked = cut.join(entered, KEY, "left").select("__rule", "__piece", "__us", "__tie", "__enter")
+    sent = walked.repartition("__rule", "__piece").sortWithinPartitions("__rule", "__piece", "__us").mapInPandas(
+        _mark(wait), f"__rule string, __us long, __tie {kind}")
+    return named.join(sent, [*KEY, "__tie"]).dropDuplicates([*KEY, "__tie"]).select(*[F.col(f"`{c}`") for c in alerts.columns])
 
 
 def alert_history(sent: DataFrame, rule: str, ts: str) -> DataFrame:

@@ -10,7 +10,8 @@ from lakewarden.functions.columns import advice_list, ladder, micros, ntz, one_r
 from lakewarden.functions.windows import null_safe_join
 
 # Sample size, limits and advice.
-STRETCHES = 1000  # of durations that are ranked in one task each
+ACCURACY = 10_000  # of the quantile sketch: its ranks are right to one in so many
+PERCENTILES = (50, 95, 99)
 TREND_BYTES_PER_SECOND = 100 * 1024.0
 IDLE_SECONDS = 24 * 3600
 LATENCY_SECONDS = [(30.0, "critical"), (10.0, "high"), (5.0, "medium")]
@@ -38,28 +39,44 @@ def operation_metrics(log: DataFrame, by: Sequence[str] = ("op",)) -> DataFrame:
         F.count_if(F.col("is_error")).alias("errors"), F.max("ts").alias("last_updated"))
 
 
-def percentiles(log: DataFrame, by: Sequence[str] = ("op",)) -> DataFrame:
-    """p50, p95 and p99 of all durations, by zero-based floor index without interpolation.
+def brackets(log: DataFrame, by: Sequence[str], accuracy: int = ACCURACY) -> DataFrame:
+    """Of each operation and percentile the durations that can be it, with counts; a null duration counts all below them.
 
-    Equal durations are one row with a count. Running counts go in two levels:
-    durations fall into stretches by value, and a stretch adds what lies below it.
+    A mergeable quantile sketch is right to a share 1 / accuracy of the ranks, so
+    the wanted rank lies between its values four such shares below and above.
+    Only what is between them is kept apart by duration: far values do not
+    matter, and equal durations are one row.
     """
+    keys, reach = list(by), 4 / accuracy
+    points = [F.lit(x) for p in PERCENTILES for x in (max(0.0, p / 100 - reach), min(1.0, p / 100 + reach))]
+    known = log.where(F.col("duration").isNotNull()).select(*keys, "duration")
+    edges = known.groupBy(*keys).agg(
+        F.percentile_approx("duration", F.array(*points), accuracy).alias("__e"), F.count("*").alias("__n"))
+
+    def part(i: int, p: int) -> Column:
+        low, high, own = F.col("__e")[2 * i], F.col("__e")[2 * i + 1], F.col("duration")
+        return F.when(own < low, F.struct(F.lit(p).alias("p"), F.lit(None).cast("double").alias("at"))).when(
+            own <= high, F.struct(F.lit(p).alias("p"), own.cast("double").alias("at")))
+
+    parts = F.array_compact(F.array(*[part(i, p) for i, p in enumerate(PERCENTILES)]))
+    met = null_safe_join(known, edges, keys, "inner").select(*keys, "__n", F.explode(parts).alias("x"))
+    return met.groupBy(*keys, "__n", F.col("x.p").alias("__p"), F.col("x.at").alias("__at")).agg(F.count("*").alias("__c"))
+
+
+def percentiles(log: DataFrame, by: Sequence[str] = ("op",), accuracy: int = ACCURACY) -> DataFrame:
+    """p50, p95 and p99 of all durations, exact, by zero-based floor index without interpolation."""
     keys = list(by)
-    counts = log.where(F.col("duration").isNotNull()).groupBy(*keys, "duration").agg(F.count("*").alias("__c"))
-    range_ = counts.groupBy(*keys).agg(F.min("duration").alias("__lo"), F.max("duration").alias("__hi"), F.sum("__c").alias("__n"))
-    stretch = F.least(F.floor((F.col("duration") - F.col("__lo")) / F.nullif(F.col("__hi") - F.col("__lo"), F.lit(0.0)) * STRETCHES), F.lit(STRETCHES - 1))
-    cut = null_safe_join(counts, range_, keys, "inner").withColumn("__s", F.coalesce(stretch, F.lit(0)))
-    below = Window.partitionBy(*keys).orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = cut.groupBy(*keys, "__s").agg(F.sum("__c").alias("__in")).select(
-        *keys, "__s", F.coalesce(F.sum("__in").over(below), F.lit(0)).alias("__below"))
-    inside = Window.partitionBy(*keys, "__s").orderBy("duration").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = null_safe_join(cut.withColumn("__upto", F.sum("__c").over(inside)), offsets, [*keys, "__s"], "inner").withColumn(
-        "__upto", F.col("__upto") + F.col("__below"))
+    upward = Window.partitionBy(*keys, "__p").orderBy(F.col("__at").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    upto = brackets(log, keys, accuracy).withColumn("__upto", F.sum("__c").over(upward))
+    wanted = F.col("__upto") > F.floor(F.col("__n") * F.col("__p") / 100)
+    outside = wanted & F.col("__at").isNull()
 
     def at(p: int) -> Column:
-        return F.min(F.when(F.col("__upto") > F.floor(F.col("__n") * p / 100), F.col("duration"))).alias(f"p{p}")
+        own = F.when((F.col("__p") == p) & outside, F.raise_error(F.lit("the quantile sketch misses its stated error"))).when(
+            (F.col("__p") == p) & wanted, F.col("__at"))
+        return F.min(own).alias(f"p{p}")
 
-    return ranked.groupBy(*keys).agg(at(50), at(95), at(99))
+    return upto.groupBy(*keys).agg(*[at(p) for p in PERCENTILES])
 
 
 def _summary(as_of, period_s: int) -> tuple[list[Column], list[Column]]:

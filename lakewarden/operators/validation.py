@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from lakewarden.functions.columns import ladder, ladder_at_least, ratio
@@ -64,13 +64,31 @@ def batch_summary(
     validated: Column | None = None,
 ) -> DataFrame:
     """Counts and rates per batch. ``validated`` marks sampled rows; the rest only count as total."""
-    n = len(fields)
     seen = F.lit(True) if validated is None else validated
-    rows = df.select(
-        *by, seen.alias("__seen"), _count(checks, "error").alias("__errors"),
-        _count(checks, "warning").alias("__warnings"), _nulls(fields).alias("__nulls"),
-    )
-    out = rows.groupBy(*by).agg(
+    rows = df.select(*by, *_marks(fields, checks, seen))
+    return _rates(rows.groupBy(*by).agg(*_totals()), len(fields))
+
+
+def observed(df: DataFrame, fields: Sequence[Field], checks: Sequence[Check], observation: Observation) -> DataFrame:
+    """The rows as they are; whoever writes them finds the counts of ``batch_summary`` in the observation, without another pass."""
+    marks = _marks(fields, checks, F.lit(True))
+    return df.select("*", *marks).observe(observation, *_totals()).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def observed_summary(spark: SparkSession, counts: dict, fields: Sequence[Field]) -> DataFrame:
+    """The row of ``batch_summary`` from observed counts; a batch without rows has none and counts zero."""
+    names = ["total_records", "valid_records", "error_records", "warning_records", "error_count", "warning_count", "__null_cells"]
+    row = spark.createDataFrame([tuple(counts.get(n) or 0 for n in names)], ", ".join(f"{n} long" for n in names))
+    return _rates(row, len(fields))
+
+
+def _marks(fields: Sequence[Field], checks: Sequence[Check], seen: Column) -> list[Column]:
+    return [seen.alias("__seen"), _count(checks, "error").alias("__errors"),
+            _count(checks, "warning").alias("__warnings"), _nulls(fields).alias("__nulls")]
+
+
+def _totals() -> list[Column]:
+    return [
         F.count("*").alias("total_records"),
         F.count_if(F.col("__seen") & (F.col("__errors") == 0)).alias("valid_records"),
         F.count_if(F.col("__seen") & (F.col("__errors") > 0)).alias("error_records"),
@@ -78,7 +96,10 @@ def batch_summary(
         F.sum(F.when(F.col("__seen"), F.col("__errors")).otherwise(0)).alias("error_count"),
         F.sum(F.when(F.col("__seen"), F.col("__warnings")).otherwise(0)).alias("warning_count"),
         F.sum(F.when(F.col("__seen"), F.col("__nulls")).otherwise(0)).alias("__null_cells"),
-    )
+    ]
+
+
+def _rates(out: DataFrame, n: int) -> DataFrame:
     checked = F.col("valid_records") + F.col("error_records")
     return (
         out.withColumn("error_rate", ratio(F.col("error_records"), checked))

@@ -172,7 +172,7 @@ chain as (
 
 def sent_alerts(t):
     alerts = t.events.select("event_id", "event_type", "ts")
-    return a.cooldown(alerts, "event_type", "ts", "event_id", cooldown_s=6 * 3600, stretch_s=3 * 86400)
+    return a.cooldown(alerts, "event_type", "ts", "event_id", cooldown_s=6 * 3600)
 
 
 @query("alert_cooldown", sql="with recursive " + CHAIN + """

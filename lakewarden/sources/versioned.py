@@ -10,6 +10,7 @@ appended to.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
@@ -42,17 +43,23 @@ class VersionedTable:
         """Highest version, -1 when there is none."""
         return self.versions().agg(F.coalesce(F.max("version"), F.lit(-1))).first()[0]
 
-    def commit(self, df: DataFrame, replace: bool = False, version: int | None = None) -> int:
+    def commit(
+        self, df: DataFrame, replace: bool = False, version: int | None = None, gate: Callable[[], None] | None = None
+    ) -> int:
         """Rows as the next version, added to those before or in their place.
 
         A given ``version`` that the list already has is left alone, so a
-        repeated attempt changes nothing. Returns the version.
+        repeated attempt changes nothing. ``gate`` runs between writing the rows
+        and listing them: what it raises leaves the rows in no version, and the
+        next attempt writes over them. Returns the version.
         """
         latest = self.latest()
         if version is not None and version <= latest:
             return version
         new = latest + 1 if version is None else version
         df.write.mode("overwrite").option("compression", "snappy").parquet(self.folder(new))
+        if gate:
+            gate()
         kind = REPLACE if replace or latest < 0 else ADD
         row = self.spark.createDataFrame([(new, kind, df.schema.json())], LIST)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/versions")

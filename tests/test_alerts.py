@@ -29,13 +29,13 @@ def frame(spark, data):
     return spark.createDataFrame(data, "id long, rule string, t long").withColumn("ts", F.timestamp_seconds("t"))
 
 
-@pytest.mark.parametrize("seed, wait, stretch, span", [
-    (1, 1800, 3600, 86400), (2, 1800, 1800, 86400), (3, 600, 7200, 10 * 86400), (4, 3600, None, 30 * 86400), (5, 50, 50, 2000),
+@pytest.mark.parametrize("seed, wait, pieces, span", [
+    (1, 1800, 5, 86400), (2, 1800, 32, 86400), (4, 3600, None, 30 * 86400), (5, 50, 17, 2000), (6, 1800, 9, 1000),
 ])
-def test_same_as_loop(spark, seed, wait, stretch, span):
+def test_same_as_loop(spark, seed, wait, pieces, span):
     rng = random.Random(seed)
     data = [(i, "hot" if rng.random() < 0.7 else f"r{rng.randrange(5)}", 1_700_000_000 + rng.randrange(span)) for i in range(3000)]
-    sent = cooldown(frame(spark, data), "rule", "ts", "id", wait, stretch)
+    sent = cooldown(frame(spark, data), "rule", "ts", "id", wait, pieces)
     assert {r.id for r in sent.select("id").collect()} == by_loop(data, wait)
 
 
@@ -63,34 +63,54 @@ def test_stream_equals_batch(spark):
     assert as_set(spark.read.parquet(f"{root}/out").select("id")) == as_set(batch.select("id"))
 
 
-def test_no_step_sees_more_than_a_few_tables(spark, monkeypatch):
-    """Even spacing is the worst case: groups hold the tables of FAN stretches, and the top two of a rule."""
-    seen = []
+def largest_task(df, keys):
+    """Rows of the largest group that a step by these keys puts into one task."""
+    return df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+
 
-    def entries(table):
-        rows = table.groupBy("__rule").agg(F.count("*").alias("n"), F.count_distinct("__chunk").alias("stretches")).first()
-        top = table.withColumn("__up", F.floor(F.col("__chunk") / batch_alerts.FAN)).groupBy("__rule", "__up").count()
-        seen.append((rows.n, rows.stretches, top.agg(F.max("count")).first()[0]))
-        return real(table)
+@pytest.mark.parametrize("span", [1000, 10**9])
+def test_a_burst_is_spread(spark, monkeypatch, span):
+    """All alerts of a rule within one cooldown, or even a thousandth of it, reach no task together."""
+    seen = []
 
-    real = batch_alerts.entries
-    monkeypatch.setattr(batch_alerts, "entries", entries)
+    def settled(df, name):
+        out = real(df, name)
+        if "__piece" in out.columns:
+            seen.append((name, largest_task(out, ["__piece"]), out.count()))
+        return out
+
+    real = batch_alerts.settled
+    monkeypatch.setattr(batch_alerts, "settled", settled)
+    rows = spark.range(20_000).select("id", F.lit("a").alias("rule"), F.timestamp_micros((F.col("id") * 7919) % span + 10**15).alias("ts"))
+    sent = cooldown(rows, "rule", "ts", "id", 1800, 20).collect()
+    first = rows.orderBy("ts", "id").first()
+    assert [r.id for r in sent] == [first.id]
+    assert {n for n, _, _ in seen} == {"alerts", "alert-order"}
+    assert all(most <= max(3 * n / 20, 60) for _, most, n in seen)
+
+
+def test_rounds_grow_with_the_logarithm_of_the_pieces(spark, monkeypatch):
+    names = []
+    real = batch_alerts.settled
+    monkeypatch.setattr(batch_alerts, "settled", lambda df, name: (names.append(name), real(df, name))[1])
     data = [(i, "a", 60 * i) for i in range(20_000)]
-    sent = cooldown(frame(spark, data), "rule", "ts", "id", 1800, 7200)
+    sent = cooldown(frame(spark, data), "rule", "ts", "id", 1800, 64)
     assert {r.id for r in sent.select("id").collect()} == by_loop(data, 1800)
-    rows, stretches, most = seen[0]
-    assert stretches > 4 * batch_alerts.FAN and most <= rows / stretches * batch_alerts.FAN * 1.1
+    assert names.count("alert-leads") <= 8
+
 
+def test_alerts_without_rule_time_or_tie_and_repeated_rows(spark):
+    df = spark.createDataFrame([(1, None, 5), (2, "a", None), (None, "a", 1), (3, "a", 1), (3, "a", 1), (4, "b", 2)], "id long, rule string, t long")
+    got = cooldown(df.withColumn("ts", F.timestamp_seconds("t")), "rule", "ts", "id").collect()
+    assert sorted(r.id for r in got) == [3, 4]
+    assert cooldown(df.withColumn("ts", F.timestamp_seconds("t")).limit(0), "rule", "ts", "id").count() == 0
 
-@pytest.mark.parametrize("function", [batch_alerts._transfer(1, 1), batch_alerts._mark(1, ["a"])])
+
+@pytest.mark.parametrize("function", [batch_alerts._leave(1), batch_alerts._mark(1)])
 def test_task_functions_need_no_package_on_executors(tmp_path, function):
     path = tmp_path / "function.pickle"
     path.write_bytes(cloudpickle.dumps(function))
-    code = (f"import pickle, sys; f = pickle.load(open({str(path)!r}, 'rb')); "
+    code = (f"import pickle, sys; from pyspark import TaskContext; TaskContext.get = staticmethod(lambda: type('T', (), {{'partitionId': lambda s: 0}})()); "
+            f"f = pickle.load(open({str(path)!r}, 'rb')); "
             "assert list(f(iter([]))) == [] and not any(m.startswith('lakewarden') for m in sys.modules)")
     subprocess.run([sys.executable, "-c", code], check=True, cwd=tmp_path)
-
-
-@pytest.mark.parametrize("function", [batch_alerts.compose, batch_alerts.enter])
-def test_group_functions_travel_whole(function):
-    assert b"merge_equal" in cloudpickle.dumps(function) or b"_tables" in cloudpickle.dumps(function)

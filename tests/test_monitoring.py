@@ -2,6 +2,8 @@
 
 from datetime import datetime, timedelta
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +74,19 @@ def test_floor_index_percentiles(rows):
     assert tuple(p.percentiles(same).first()) == ("b", 2.0, 2.0, 2.0)
 
 
+def test_percentiles_under_a_far_value(rows, spark):
+    """One value far off, equal ones, null operations: exact, and only what lies near a wanted rank is sorted."""
+    rng = random.Random(8)
+    data = [(op, round(rng.lognormvariate(0, 2), 3)) for op in ("a", None) for _ in range(20_000)] + [("a", 1e9), ("b", 1.0), ("b", 1.0), ("b", 7.0)]
+    log = rows(data, "op string, duration double")
+    got = {r.op: (r.p50, r.p95, r.p99) for r in p.percentiles(log, accuracy=500).collect()}
+    for op in ("a", None, "b"):
+        own = sorted(v for o, v in data if o == op)
+        assert got[op] == tuple(own[len(own) * q // 100] for q in (50, 95, 99))
+    most = p.brackets(log, ["op"], 500).groupBy("op", "__p").count().agg(F.max("count")).first()[0]
+    assert most < 20_000 * 0.05
+
+
 def test_no_bottleneck_is_said(rows):
     none = rows([], "type string, operation string, severity string, impact double, suggestion string")
     assert p.ranked_advice(none).first().advice == p.HEALTHY_ADVICE

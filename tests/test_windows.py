@@ -52,3 +52,19 @@ def test_a_burst_of_one_key_is_dealt_out(spark):
     assert dealt.agg(F.max("count")).first()[0] < 1500
     got = with_previous(df, ["k"], "ts", "id", ["id"], "prev", 8).select("id", F.col("prev.id").alias("p"))
     assert as_set(got) == {(i, i - 1 if i else None) for i in range(4000)}
+
+
+@pytest.mark.parametrize("spread", [1, 10**6])
+def test_running_sum_of_a_burst(spark, monkeypatch, spread):
+    """All rows of a key within a second: added up in many pieces, none with much of it."""
+    from lakewarden.functions import windows
+
+    seen = []
+    real = windows.settled
+    monkeypatch.setattr(windows, "settled", lambda df, name: (seen.append(real(df, name)), seen[-1])[1])
+    df = spark.range(8000).select("id", F.lit("hot").alias("k"), F.timestamp_micros(F.col("id") % spread).alias("ts"), F.lit(1).alias("n"))
+    got = running_sum(df, ["k"], "ts", ["n"], 16)
+    assert sorted(r.n for r in got.select("n").collect()) == list(range(1, 8001))
+    assert seen[0].groupBy("__piece").count().agg(F.max("count")).first()[0] < 2000
+    late = got.orderBy("ts").select("ts", "n").collect()
+    assert all(a.ts < b.ts for a, b in zip(late, late[1:]) if a.n > b.n) is (spread > 8000) or spread == 1
