@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakewarden.operators import validation as v
+from lakewarden.operators import profiles, validation as v
 from lakewarden.operators.rules import CustomRule, Field, compile_checks
 from lakewarden.plans.registry import query
 
@@ -200,6 +200,35 @@ def profile_columns(t):
     return rounded(v.profile(t.lineitem, cols), "mean", "stddev", places=4)
 
 
+@query("profile_merged", sql="""
+with q as (
+  select 'l_quantity' as field, cast(l_quantity as double) as v, cast(l_quantity as varchar) as t from lineitem
+  union all select 'l_extendedprice', cast(l_extendedprice as double), cast(l_extendedprice as varchar) from lineitem
+  union all select 'l_linenumber', cast(l_linenumber as double), cast(l_linenumber as varchar) from lineitem
+  union all select 'l_returnflag', null, l_returnflag from lineitem)
+select field, count(t) as non_null_count, count(*) - count(t) as null_count, min(v) as min, max(v) as max
+  , round(avg(v), 4) as mean, round(stddev_pop(v), 4) as stddev, true as distinct_close, true as median_close
+  , case field when 'l_returnflag' then 'string' when 'l_linenumber' then 'integer' else 'float' end as value_type
+from q group by 1""")
+def profile_merged(t):
+    """Monthly states merged to the whole; sketches compared with exact counts and ranks."""
+    cols = ["l_quantity", "l_extendedprice", "l_linenumber", "l_returnflag"]
+    months = profiles.accumulate(t.lineitem.withColumn("month", F.date_trunc("month", "l_shipdate")), cols, ["month"])
+    whole = profiles.finish(profiles.merge(months), quantiles=(0.5,))
+    exact = v.profile(t.lineitem, cols).select("field", F.col("unique_values").alias("__unique"))
+    medians = {r["field"]: r["m"] for r in whole.select("field", F.col("quantiles")[0].alias("m")).collect()}  # a row per column
+    ranks = t.lineitem.agg(F.count("*").alias("__n"), *[
+        F.array(F.count_if(F.col(c) < medians[c]), F.count_if(F.col(c) <= medians[c])).alias(c) for c in cols[:3]])
+    spans = ranks.select("__n", F.inline(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("__span")) for c in cols[:3]])))
+    out = whole.join(exact, "field").join(spans, "field", "left")
+    median = (F.col("__span")[0] <= 0.52 * F.col("__n")) & (F.col("__span")[1] >= 0.48 * F.col("__n"))
+    return rounded(out.select(
+        "field", "non_null_count", "null_count", "min", "max", "mean", "stddev",
+        (F.abs(F.col("unique_values") - F.col("__unique")) <= 0.05 * F.col("__unique")).alias("distinct_close"),
+        F.coalesce(median, F.lit(True)).alias("median_close"), F.col("value_types")[0]["value_type"].alias("value_type"),
+    ), "mean", "stddev", places=4)
+
+
 @query("profile_types", views=("orders_faulty",), sql="""
 select 'props' as field, case when k % 3 = 0 then 'integer' when k % 3 = 1 then 'string' else 'float' end as value_type
   , count(*) as n, round(count(*) / sum(count(*)) over (), 6) as share
