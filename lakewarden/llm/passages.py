@@ -146,43 +146,70 @@ def runs_of(raw: bytes, units: Units, tables: Tables) -> tuple[np.ndarray, np.nd
     return grams[place[cut]].view(np.int64), run.view(np.int64), cut, size
 
 
-RUNS = "seed long, run long, doc_id long, at long"
+RUNS = "seed long, run long, doc_id long, variant long, at long"
+#: What tells a text from all others: see ``readable``.
+KEY = ("doc_id", "variant")
 #: ``at`` is first window * SIZES + windows, one number to shuffle in place of two.
 SIZES = 1 << 12
 
 
 def runs(docs: DataFrame, units: Units) -> DataFrame:
-    """(seed, run, doc_id, at) of all runs of all texts."""
+    """(seed, run, doc_id, variant, at) of all runs of all texts."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = Tables()
         for batch in batches:
-            found = [runs_of(x.as_buffer().to_pybytes(), units, tables) for x in batch.column(1)]
-            ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), [len(f[0]) for f in found])
+            found = [runs_of(x.as_buffer().to_pybytes(), units, tables) for x in batch.column(2)]
+            sizes = [len(f[0]) for f in found]
+            ids, variants = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False), sizes) for c in range(2))
             seed, run, first, size = (np.concatenate([f[i] for f in found]) for i in range(4))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (seed, run, ids, first * SIZES + size)], ["seed", "run", "doc_id", "at"])
+            columns = (seed, run, ids, variants, first * SIZES + size)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["seed", "run", *KEY, "at"])
 
-    return docs.mapInArrow(cut, RUNS)
+    return docs.select(*KEY, "raw").mapInArrow(cut, RUNS)
 
 
 def readable(docs: DataFrame) -> DataFrame:
-    """doc_id and the text's bytes of the rows that have a doc_id."""
-    return texts(docs).where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.encode("text", "UTF-8").alias("raw"))
+    """doc_id, variant and the text's bytes of the rows that have a doc_id.
+
+    ``variant`` tells different texts of one doc_id apart: the text's hash, or 0
+    where a doc_id has one text only, which costs the shuffles nothing. The doc_ids with
+    several texts are written first, so Spark broadcasts them only if they are few.
+    """
+    rows = texts(docs).where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.encode("text", "UTF-8").alias("raw"))
+    text_hash = F.xxhash64("raw")
+    several = rows.groupBy("doc_id").agg(F.min(text_hash).alias("low"), F.max(text_hash).alias("high")).where("low <> high")
+    told = settle(several.select("doc_id", F.lit(True).alias("several")), "variants")
+    variant = F.when(F.col("several"), text_hash).otherwise(F.lit(0).cast("long"))
+    return rows.join(told, "doc_id", "left").select("doc_id", variant.alias("variant"), "raw")
+
+
+def nameless(docs: DataFrame) -> DataFrame:
+    """The rows without doc_id in the columns of ``readable``; they take no part."""
+    none = F.lit(None).cast("long")
+    return texts(docs).where("doc_id is null").select(none.alias("doc_id"), none.alias("variant"), F.encode("text", "UTF-8").alias("raw"))
+
+
+def with_parts(docs: DataFrame, named: DataFrame, found: DataFrame) -> DataFrame:
+    """(doc_id, raw, parts) of every row: its text and what was found in it, null if nothing."""
+    parts = per_document(found, "first", "size")
+    rest = nameless(docs).withColumn("parts", F.lit(None).cast(parts.schema["parts"].dataType))
+    return named.join(parts, list(KEY), "left").select("doc_id", "raw", "parts").unionByName(rest.select("doc_id", "raw", "parts"))
 
 
 def repeated_runs(docs: DataFrame, units: Units) -> DataFrame:
-    """Runs whose seed occurs more than once: (seed, run, doc_id, first, size), settled."""
+    """Runs whose seed occurs more than once: (seed, run, doc_id, variant, first, size), settled."""
     found = runs(docs, units)
     repeated = found.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed")
     kept = found.join(repeated, "seed", "left_semi")
     return settle(
-        kept.select("seed", "run", "doc_id", F.floor(F.col("at") / SIZES).alias("first"), (F.col("at") % SIZES).alias("size")), "runs"
+        kept.select("seed", "run", *KEY, F.floor(F.col("at") / SIZES).alias("first"), (F.col("at") % SIZES).alias("size")), "runs"
     )
 
 
 def distinct_runs(found: DataFrame) -> DataFrame:
     """One row per different run: its first place and how often it occurs."""
-    place = F.struct("doc_id", "first", "size")
+    place = F.struct(*KEY, "first", "size")
     return (
         found.groupBy("seed", "run").agg(F.min(place).alias("place"), F.count("*").alias("copies"))
         .select("seed", "run", "copies", "place.*")
@@ -191,7 +218,7 @@ def distinct_runs(found: DataFrame) -> DataFrame:
 
 def per_document(rows: DataFrame, *columns: str) -> DataFrame:
     """Rows of a document as one list, as long as its text at most."""
-    return rows.groupBy("doc_id").agg(F.collect_list(F.struct(*columns)).alias("parts"))
+    return rows.groupBy(*KEY).agg(F.collect_list(F.struct(*columns)).alias("parts"))
 
 
 def long_field(name: str) -> T.StructField:

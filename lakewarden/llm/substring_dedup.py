@@ -11,7 +11,8 @@ two independent 64-bit hashes.
 Defined cases: a null text counts as empty, without words; a text shorter than
 the window keeps all its words; a row without doc_id takes no part and keeps
 all; rows with the same doc_id and text share their removals, and none of them
-counts as earlier than the other.
+counts as earlier than the other; different texts of one doc_id are documents of
+their own, in the order of their xxhash64.
 """
 
 from __future__ import annotations
@@ -22,56 +23,54 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from lakewarden.llm.common import table, texts
+from lakewarden.llm.common import table
 from lakewarden.llm.passages import (
-    Rolling, Tables, Units, distinct_runs, long_field, merged, per_document, readable, repeated_runs,
+    KEY, Rolling, Tables, Units, distinct_runs, long_field, merged, per_document, readable, repeated_runs, with_parts,
 )
 
 WINDOW = 20  # words
 GRAM = 5     # words of a seed's grams
 
-WINDOWS = "h1 long, h2 long, doc_id long, first long"
+WINDOWS = "h1 long, h2 long, doc_id long, variant long, first long"
+PLACE = (*KEY, "first")
 
 
 def _windows(rows: DataFrame, units: Units) -> DataFrame:
-    """Hashes of all windows of the given runs: rows (doc_id, raw, parts)."""
+    """Hashes of all windows of the given runs: rows (doc_id, variant, raw, parts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = [Tables(0), Tables(1)]
         for batch in batches:
-            for doc_id, raw, parts in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, variant, raw, parts in zip(*(c.to_pylist() for c in batch.columns)):
                 data, starts, ends = units.cut(raw)
                 first = np.concatenate([np.arange(p["first"], p["first"] + p["size"]) for p in parts])
                 first = np.unique(first[first + units.window <= len(starts)])
                 hashes = [Rolling(data, t).parts(*units.spans(starts, ends, first, units.window)).view(np.int64) for t in both]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[0]), pa.array(hashes[1]), pa.array(np.full(len(first), doc_id, np.int64)), pa.array(first)],
-                    ["h1", "h2", "doc_id", "first"],
-                )
+                key = [np.full(len(first), k, np.int64) for k in (doc_id, variant)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*hashes, *key, first)], ["h1", "h2", *PLACE])
 
     return rows.mapInArrow(run, WINDOWS)
 
 
-def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Repeated windows as (doc_id, first, size): first window and number of consecutive windows."""
+def removals(raw: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Repeated windows of readable texts as (doc_id, variant, first, size): first window and number of consecutive windows."""
     units = Units(window, min(GRAM, window), True)
-    raw = readable(docs)
     found = repeated_runs(raw, units)
     different = distinct_runs(found)
     again = (
-        found.join(different.select("seed", "run", F.struct("doc_id", "first").alias("place")), ["seed", "run"])
-        .where(F.struct("doc_id", "first") > F.col("place"))
-        .select("doc_id", "first", "size")
+        found.join(different.select("seed", "run", F.struct(*PLACE).alias("place")), ["seed", "run"])
+        .where(F.struct(*PLACE) > F.col("place"))
+        .select(*PLACE, "size")
     )
     several = different.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed")
     looked = different.join(several, "seed", "left_semi")  # runs that are all equal have been settled
-    rows = raw.join(per_document(looked, "first", "size"), "doc_id")
-    windows = _windows(rows.select("doc_id", "raw", "parts"), units)
-    earliest = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "first")).alias("place"), F.count("*").alias("n"))
+    rows = raw.join(per_document(looked, "first", "size"), list(KEY))
+    windows = _windows(rows.select(*KEY, "raw", "parts"), units)
+    earliest = windows.groupBy("h1", "h2").agg(F.min(F.struct(*PLACE)).alias("place"), F.count("*").alias("n"))
     later = (
         windows.join(earliest.where("n > 1").select("h1", "h2", "place"), ["h1", "h2"])
-        .where(F.struct("doc_id", "first") > F.col("place"))
-        .select("doc_id", "first", F.lit(1).cast("long").alias("size"))
+        .where(F.struct(*PLACE) > F.col("place"))
+        .select(*PLACE, F.lit(1).cast("long").alias("size"))
     )
     return again.unionByName(later)
 
@@ -107,12 +106,8 @@ def remove(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             )
 
     out = T.StructType([long_field("doc_id"), *T.StructType.fromDDL(KEPT)])
-    named = readable(docs)  # the same rows, shuffled once, as those that the windows are taken from
-    parts = per_document(removals(docs, window), "first", "size")
-    done = named.join(parts, "doc_id", "left").select("doc_id", "raw", "parts").mapInArrow(run, out)
-    none = F.lit(None).cast("array<struct<first:bigint,size:bigint>>").alias("parts")
-    nameless = texts(docs).where("doc_id is null").select(F.col("doc_id").cast("long"), F.encode("text", "UTF-8").alias("raw"), none)
-    return done.unionByName(nameless.mapInArrow(run, out))
+    named = readable(docs)  # shuffled once for the windows and for this join
+    return with_parts(docs, named, removals(named, window)).mapInArrow(run, out)
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

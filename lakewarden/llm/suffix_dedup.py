@@ -19,7 +19,8 @@ and then one by one, which finds the same windows.
 
 Defined cases: a null text counts as empty; a text shorter than the length
 keeps all; a row without doc_id takes no part and keeps all; rows with the same
-doc_id and text count as copies of each other.
+doc_id and text count as copies of each other; different texts of one doc_id are
+documents of their own.
 """
 
 from __future__ import annotations
@@ -30,9 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from lakewarden.llm.common import settle, table, text_bytes, texts
+from lakewarden.llm.common import settle, table, text_bytes
 from lakewarden.llm.passages import (
-    PLACE, Rolling, Tables, Units, distinct_runs, long_field, merged, mixed, per_document, readable, repeated_runs,
+    KEY, PLACE, Rolling, Tables, Units, distinct_runs, long_field, merged, mixed, per_document, readable, repeated_runs, with_parts,
 )
 
 LENGTH = 200           # bytes
@@ -112,28 +113,26 @@ class RunLengthIndex:
 
 
 def _runs_text(rows: DataFrame) -> DataFrame:
-    """The bytes of each different run: rows (doc_id, raw, parts)."""
+    """The bytes of each different run: rows (doc_id, variant, raw, parts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, raw, parts in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc_id, variant, raw, parts in zip(*(c.to_pylist() for c in batch.columns)):
                 body = [raw[p["first"] : p["first"] + p["size"] + LENGTH - 1] for p in parts]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([p["seed"] for p in parts], pa.int64()), pa.array([p["hot"] for p in parts], pa.bool_()),
-                        pa.array([doc_id] * len(body), pa.int64()), pa.array([p["first"] for p in parts], pa.int64()), pa.array(body, pa.binary()),
+                        pa.array([doc_id] * len(body), pa.int64()), pa.array([variant] * len(body), pa.int64()),
+                        pa.array([p["first"] for p in parts], pa.int64()), pa.array(body, pa.binary()),
                     ],
-                    ["seed", "hot", "doc_id", "first", "body"],
+                    ["seed", "hot", *KEY, "first", "body"],
                 )
 
-    return rows.select("doc_id", "raw", "parts").mapInArrow(run, "seed long, hot boolean, doc_id long, first long, body binary")
+    return rows.select(*KEY, "raw", "parts").mapInArrow(run, "seed long, hot boolean, doc_id long, variant long, first long, body binary")
 
 
-SPANS = "doc_id long, first long, size long"
-
-
-def _spans(doc_id: np.ndarray, first: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (doc_id, first, size)], ["doc_id", "first", "size"])
+SPANS = "doc_id long, variant long, first long, size long"
+SPAN = (*KEY, "first", "size")
 
 
 def _indexed(group: pa.Table) -> pa.Table:
@@ -142,17 +141,18 @@ def _indexed(group: pa.Table) -> pa.Table:
     index = RunLengthIndex(bodies, LENGTH)
     hit = np.flatnonzero(index.marks())
     part = np.searchsorted(index.starts, hit, "right") - 1
-    doc_id, first = group.column("doc_id").to_numpy()[part], group.column("first").to_numpy()[part] + hit - index.starts[part]
+    first = group.column("first").to_numpy()[part] + hit - index.starts[part]
+    key = [group.column(k).to_numpy()[part] for k in KEY]
     if len(hit):  # consecutive windows as one span
         new = np.concatenate([[True], (part[1:] != part[:-1]) | (hit[1:] != hit[:-1] + 1)])
         head = np.flatnonzero(new)
-        doc_id, first, size = doc_id[head], first[head], np.diff(np.append(head, len(hit)))
+        key, first, size = [k[head] for k in key], first[head], np.diff(np.append(head, len(hit)))
     else:
         size = hit
-    return pa.Table.from_batches([_spans(doc_id, first, size)])
+    return pa.table([pa.array(x, pa.int64()) for x in (*key, first, size)], names=list(SPAN))
 
 
-CELL_ROWS = "core long, span long, doc_id long, first long, size long, hashes binary"
+CELL_ROWS = "core long, span long, doc_id long, variant long, first long, size long, hashes binary"
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +165,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     both = [Tables(0), Tables(1)]
     width = LENGTH - GRAM + 1
     for batch in batches:
-        for body, doc_id, first in zip(*(batch.column(c).to_pylist() for c in ("body", "doc_id", "first"))):
+        for body, doc_id, variant, first in zip(*(batch.column(c).to_pylist() for c in ("body", *KEY, "first"))):
             data = np.frombuffer(body, np.uint8)
             one, two = (Rolling(data, t) for t in both)
             n = len(data) - LENGTH + 1
@@ -181,9 +181,9 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(core.view(np.int64)), pa.array(span.view(np.int64)), pa.array(np.full(len(low), doc_id, np.int64)),
-                    pa.array(first + low), pa.array(high - low + 1), pa.array(packed, pa.binary()),
+                    pa.array(np.full(len(low), variant, np.int64)), pa.array(first + low), pa.array(high - low + 1), pa.array(packed, pa.binary()),
                 ],
-                ["core", "span", "doc_id", "first", "size", "hashes"],
+                ["core", "span", *SPAN, "hashes"],
             )
 
 
@@ -195,41 +195,40 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(hashes[:, 0].copy()), pa.array(hashes[:, 1].copy()), pa.array(np.repeat(batch.column("doc_id").to_numpy(), size)),
+                pa.array(hashes[:, 0].copy()), pa.array(hashes[:, 1].copy()), *[pa.array(np.repeat(batch.column(k).to_numpy(), size)) for k in KEY],
                 pa.array(np.repeat(batch.column("first").to_numpy(), size) + within),
             ],
-            ["h1", "h2", "doc_id", "first"],
+            ["h1", "h2", *KEY, "first"],
         )
 
 
 def counted(body: DataFrame) -> DataFrame:
-    """Repeated windows of the runs of hot seeds, counted in Spark: (doc_id, first, size).
+    """Repeated windows of the runs of hot seeds, counted in Spark: (doc_id, variant, first, size).
 
     Cells whose core occurs once hold no repeated window; equal cells repeat as
     a whole; only the different cells of one core are taken apart into windows.
     """
     cells = settle(body.where("hot").mapInArrow(_cells, CELL_ROWS), "cells")
     spans = cells.groupBy("core", "span").agg(
-        F.count("*").alias("n"), F.min_by(F.struct("doc_id", "first", "size", "hashes"), F.struct("doc_id", "first")).alias("one")
+        F.count("*").alias("n"), F.min_by(F.struct(*SPAN, "hashes"), F.struct(*KEY, "first")).alias("one")
     )
-    whole = cells.join(spans.where("n > 1").select("core", "span"), ["core", "span"], "left_semi").select("doc_id", "first", "size")
+    whole = cells.join(spans.where("n > 1").select("core", "span"), ["core", "span"], "left_semi").select(*SPAN)
     several = spans.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
-    windows = spans.join(several, "core", "left_semi").select("one.*").mapInArrow(_windows, "h1 long, h2 long, doc_id long, first long")
+    windows = spans.join(several, "core", "left_semi").select("one.*").mapInArrow(_windows, "h1 long, h2 long, doc_id long, variant long, first long")
     twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
-    single = windows.join(twice, ["h1", "h2"], "left_semi").select("doc_id", "first", F.lit(1).cast("long").alias("size"))
+    single = windows.join(twice, ["h1", "h2"], "left_semi").select(*KEY, "first", F.lit(1).cast("long").alias("size"))
     return whole.unionByName(single)
 
 
-def removals(docs: DataFrame) -> DataFrame:
-    """Repeated strings as (doc_id, first, size): first start and number of consecutive starts."""
+def removals(raw: DataFrame) -> DataFrame:
+    """Repeated strings of readable texts as (doc_id, variant, first, size): first start and number of consecutive starts."""
     units = Units(LENGTH, GRAM, False)
-    raw = readable(docs)
     found = repeated_runs(raw, units)
     different = distinct_runs(found)
-    copied = found.join(different.where("copies > 1").select("seed", "run"), ["seed", "run"]).select("doc_id", "first", "size")
+    copied = found.join(different.where("copies > 1").select("seed", "run"), ["seed", "run"]).select(*SPAN)
     crowd = different.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed", (F.col("n") > HOT).alias("hot"))
     looked = per_document(different.join(crowd, "seed"), "seed", "first", "size", "hot")
-    body = settle(_runs_text(raw.join(looked, "doc_id")), "suffix")
+    body = settle(_runs_text(raw.join(looked, list(KEY))), "suffix")
     shards = max(8, text_bytes(body, "body") // SHARD_BYTES)
     indexed = body.where("not hot").groupBy(F.pmod(F.hash("seed"), F.lit(shards)).alias("shard")).applyInArrow(_indexed, SPANS)
     return copied.unionByName(indexed).unionByName(counted(body))
@@ -259,10 +258,9 @@ def remove(docs: DataFrame) -> DataFrame:
                 [batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
             )
 
-    rows = texts(docs).select(F.col("doc_id").cast("long"), F.encode("text", "UTF-8").alias("raw"))
-    parts = per_document(removals(docs), "first", "size")
     out = T.StructType([long_field("doc_id"), *T.StructType.fromDDL(KEPT)])
-    return rows.join(parts, "doc_id", "left").select("doc_id", "raw", "parts").mapInArrow(run, out)
+    named = readable(docs)
+    return with_parts(docs, named, removals(named)).mapInArrow(run, out)
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 
 import brute
 from lakewarden.llm import exact_dedup, passages, simhash, substring_dedup, suffix_dedup
@@ -89,6 +90,35 @@ def test_passage_operators_on_odd_tables(docs, clashing, operator):
     assert [r.n_removed for r in got] == [0, 0, 0]
 
 
+def shared_ids():
+    """Passages of which many stand under a few doc_ids, each text a document of its own, in the order of its hash."""
+    draw = random.Random(8)
+    rows = [(draw.choice([7, 9, i]), text) for i, text in passages_table(rows=60)]
+    rows += [(7, "short"), (7, None), (9, " ".join(f"only{n}" for n in range(90)))]
+    keyed = {(i, int.from_bytes(xxhash.xxh64(t or "", 42).digest(), "big", signed=True)): t for i, t in rows}
+    return [(i, t) for (i, _), t in keyed.items()], keyed
+
+
+def test_substring_windows_of_shared_ids(docs):
+    rows, keyed = shared_ids()
+    got = sorted((r.doc_id, r.n_words, r.n_removed, brute.sha(r.kept)) for r in substring_dedup.remove(docs(rows)).collect())
+    assert got == sorted((i, *want) for (i, _), want in brute.substring(keyed, 20).items())
+
+
+@pytest.mark.parametrize("hot", [2, 1000])
+def test_suffix_windows_of_shared_ids(docs, monkeypatch, hot):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    rows, keyed = shared_ids()
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, brute.sha(bytes(r.kept))) for r in suffix_dedup.remove(docs(rows)).collect())
+    assert got == sorted((i, *want) for (i, _), want in brute.suffix(keyed, 200).items())
+
+
+def test_ids_of_one_text_need_no_variant(docs):
+    rows = passages.readable(docs([(1, "a"), (1, "a"), (2, "a"), (3, "b"), (3, "c"), (None, "a")])).collect()
+    assert sorted((r.doc_id, r.variant == 0) for r in rows) == [(1, True), (1, True), (2, True), (3, False), (3, False)]
+    assert len({r.variant for r in rows}) == 3
+
+
 def test_index_matches_are_the_longest_common_prefixes():
     draw = random.Random(1)
     parts = ["".join(draw.choice("ab") for _ in range(draw.randint(1, 40))).encode() for _ in range(30)]
