@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakewarden.operators import contracts as c
+from lakewarden.operators import contract_tables as ct, contracts as c
 from lakewarden.operators.contracts import Endpoint
 from lakewarden.plans.registry import query
 
@@ -139,3 +139,58 @@ union all
 select request_id, 'x-trace', 'on' from recordings where request_id % 3 <> 1""")
 def header_redact(t):
     return c.redact_headers(recordings(t)).select("request_id", F.explode("headers").alias("name", "value"))
+
+
+# The same contract as a table: an endpoint per part.
+TABLES = ("part_calls", "part_endpoints")
+BY_TABLE = """
+ep as (
+  select upper(method) as m, path, max((timeout_ms, grade)) as terms from part_endpoints group by 1, 2),
+best as (
+  select c.m, c.url, e.m || ' ' || e.path as endpoint, e.terms
+  from (select distinct upper(method) as m, url from part_calls) c join ep e on c.m = e.m and ends_with(c.url, e.path)
+  qualify row_number() over (partition by c.m, c.url order by length(e.path) desc) = 1),
+tabled as (
+  select r.*, b.endpoint, b.terms[1] as timeout_ms, b.terms[2] as grade from part_calls r left join best b on upper(r.method) = b.m and r.url = b.url)"""
+
+
+def part_endpoints(t):
+    """Statuses and headers follow from the grade; timeout_ms is 100 times the grade."""
+    grade = F.col("grade")
+    statuses = F.when(grade % 5 == 0, F.array().cast("array<int>")).when(grade % 2 == 0, F.array(F.lit(200))).otherwise(F.array(F.lit(200), F.lit(500)))
+    headers = F.when(grade % 4 == 0, F.create_map(F.lit("content-type"), F.lit("json"))).when(grade % 4 == 1, F.create_map(F.lit("x-trace"), F.lit("")))
+    return t.part_endpoints.select("method", "path", "timeout_ms", statuses.alias("statuses"), headers.alias("headers"))
+
+
+def part_calls(t):
+    i = F.col("request_id")
+    kind = F.create_map(F.lit("content-type"), F.when(i % 10 == 0, "text").otherwise(F.lit("json")))
+    return t.part_calls.withColumn("headers", F.when(i % 3 == 1, kind).otherwise(F.map_concat(kind, F.create_map(F.lit("x-trace"), F.lit("on")))))
+
+
+@query("contract_match_table", views=TABLES, sql="with " + BY_TABLE + " select request_id, url, endpoint from tabled")
+def contract_match_table(t):
+    return ct.matched(t.part_calls, part_endpoints(t)).select("request_id", "url", "endpoint")
+
+
+@query("contract_report_table", views=TABLES, sql="with " + BY_TABLE + """,
+v as (
+  select request_id, endpoint, 'connectivity' as type, '' as field, 'critical' as severity from tabled where endpoint is null
+  union all select request_id, endpoint, 'status_code', '', 'high' from tabled
+  where grade % 5 = 0 or (grade % 2 = 0 and status <> 200)
+  union all select request_id, endpoint, 'timeout', '', 'medium' from tabled where duration_ms > timeout_ms + 5000
+  union all select request_id, endpoint, 'headers', 'content-type', 'medium' from tabled where grade % 4 = 0 and request_id % 10 = 0
+  union all select request_id, endpoint, 'headers', 'x-trace', 'medium' from tabled where grade % 4 = 1 and request_id % 3 = 1)
+select * from v""")
+def contract_report_table(t):
+    return ct.conformance(part_calls(t), part_endpoints(t)).select("request_id", "endpoint", F.inline("violations")).drop("description")
+
+
+@query("recording_filter_table", views=TABLES, sql="""
+with wanted as (
+  select distinct path from part_endpoints where upper(method) = 'GET')
+select request_id, url from part_calls
+where url in (select c.url from (select distinct url from part_calls) c join wanted w on ends_with(c.url, w.path))""")
+def recording_filter_table(t):
+    filters = t.part_endpoints.where("upper(method) = 'GET'").select(F.lit("https://api").alias("base"), F.col("path").alias("ending"))
+    return ct.keep_recordings(t.part_calls, filters).select("request_id", "url")

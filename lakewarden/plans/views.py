@@ -43,6 +43,22 @@ select event_id as request_id
   , case when event_id % 11 = 0 then 500 else 200 end as status
   , cast(floor(value * 100) as bigint) as duration_ms, props as body
 from {events}""",
+    # An endpoint per part, some of which end others, and calls for parts.
+    "part_endpoints": """
+select case when p_partkey % 2 = 0 then 'GET' else 'post' end as method
+  , case p_partkey % 3
+    when 0 then concat('/parts/', p_partkey, '/lines/', p_partkey % 4)
+    when 1 then concat(p_partkey % 100, '/lines/', p_partkey % 7)
+    else concat('/lines/', p_partkey) end as path
+  , cast(p_size * 100 as bigint) as timeout_ms, p_size as grade
+from {part}""",
+    "part_calls": """
+select l_orderkey * 8 + l_linenumber as request_id
+  , case when l_linenumber % 2 = 0 then 'get' else 'POST' end as method
+  , concat('https://api.example.com/parts/', l_partkey, '/lines/', l_suppkey % 4) as url
+  , case when l_returnflag = 'R' then 500 else 200 end as status
+  , cast(l_quantity * 200 as bigint) as duration_ms
+from {lineitem}""",
     # One schema per part and year: two fields whose type follows what was shipped.
     "schema_snapshots": """
 select concat('part_', cast(l_partkey as string)) as object, year(l_shipdate) as taken
