@@ -1,16 +1,21 @@
 """Backups as datasets: manifests, checks, restore, listing and retention.
 
-A manifest has one row per file: (backup_id, path, type, size, checksum).
+A manifest has one row per file: (backup_id, path, type, size, checksum). Files are
+hashed in blocks; the checksum of a longer file is the root of a tree over them.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from lakewarden.functions.columns import ntz
+from lakewarden.session import settled
 
 # Supported layout, assumed restore rate, names inside a backup.
 FORMAT_VERSIONS = (1,)
@@ -18,24 +23,104 @@ RESTORE_BYTES_PER_SECOND = 10 * 1024 * 1024
 FIRST_VERSION_FILE = "00000000000000000000.json"
 LOG_FOLDER = "_delta_log"
 
+BLOCK_BYTES = 128 * 1024 * 1024  # of a file that one hash covers
+PIECE_BYTES = 1 << 20            # of a block in memory at a time
+TASK_BLOCKS = 8                  # of long files, for each task
+FANOUT = 1024                    # hashes under one node of a file's tree
+
 
 def backup_id(source: str, table: str, created: str) -> str:
     return hashlib.sha256(f"{source}_{table}_{created}".encode()).hexdigest()[:16]
 
 
-def file_manifest(spark: SparkSession, root: str, log_folder: str = "log") -> DataFrame:
-    """Path, size, SHA-256 and type of every file under a root; hashing runs in the tasks.
+def block_manifest(spark: SparkSession, root: str, log_folder: str = "log", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(path, size, type, blocks, block, start, checksum) of every block of every file under a root.
 
-    One file is one row, so files must stay under the 2 GB row limit, which
-    the sink's rows-per-file bound takes care of.
+    Files of one block are hashed where Spark reads them. Of longer ones only
+    the length is listed; their blocks are dealt to tasks, and each is read by
+    its byte range, a piece at a time. So a file may be of any size, and no task
+    holds more than a block. Spark lists no empty files, so they have no row.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     name = F.element_at(F.split("path", "/"), -1)
     kind = (
         F.when(name.contains("checkpoint"), "checkpoint")
-        .when(F.col("path").contains(f"/{log_folder}/"), "log").otherwise("data"))
-    return files.select(
-        "path", F.col("length").alias("size"), F.sha2("content", 256).alias("checksum"), kind.alias("type"))
+        .when(F.col("path").contains(f"/{log_folder}/"), "log").otherwise("data")).alias("type")
+    zero = F.lit(0).cast("long")
+    short = files.where(F.col("length") <= block_bytes).select(
+        "path", F.col("length").alias("size"), kind, F.lit(1).cast("long").alias("blocks"), zero.alias("block"), zero.alias("start"), F.sha2("content", 256).alias("checksum"))
+    long = files.where(F.col("length") > block_bytes).select(
+        "path", F.col("length").alias("size"), kind, F.ceil(F.col("length") / F.lit(block_bytes)).alias("blocks"))
+    blocks = long.agg(F.coalesce(F.sum("blocks"), F.lit(0))).first()[0]
+    if not blocks:
+        return short
+    ranges = long.select("*", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("block"))
+    dealt = ranges.repartition(-(-blocks // TASK_BLOCKS), "path", "block").withColumn("start", F.col("block") * block_bytes)
+    hashed = dealt.mapInArrow(
+        lambda batches: _hash_ranges(batches, block_bytes), "path string, size long, type string, blocks long, block long, start long, checksum string")
+    return short.unionByName(hashed)
+
+
+def _hash_ranges(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sums = []
+        for path, start in zip(batch.column("path").to_pylist(), batch.column("start").to_pylist()):
+            digest, left = hashlib.sha256(), block_bytes
+            with _opened(path) as file:
+                file.seek(start)
+                while left and (piece := file.read(min(left, PIECE_BYTES))):
+                    digest.update(piece)
+                    left -= len(piece)
+            sums.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.string())], [*batch.schema.names, "checksum"])
+
+
+def _opened(path: str):
+    if path.startswith("file:"):
+        return open("/" + path.removeprefix("file:").lstrip("/"), "rb")
+    system, name = fs.FileSystem.from_uri(path)
+    return system.open_input_file(name)
+
+
+def file_checksums(blocks: DataFrame, fanout: int = FANOUT) -> DataFrame:
+    """(path, size, checksum, type) of files from their written blocks.
+
+    A file of one block has the block's hash, the SHA-256 of its bytes. Above
+    that stands a tree: each node hashes the joined hashes of up to ``fanout``
+    nodes below it, so no row grows with the file.
+    """
+    most = blocks.agg(F.coalesce(F.max("blocks"), F.lit(0))).first()[0]
+    file = ["path", "size", "type"]
+    while most > 1:
+        made = blocks.groupBy(*file, "blocks", F.floor(F.col("block") / fanout).alias("node")).agg(
+            F.array_sort(F.collect_list(F.struct("block", "checksum")))["checksum"].alias("sums"))
+        node = F.when(F.col("blocks") == 1, F.col("sums")[0]).otherwise(F.sha2(F.array_join("sums", ""), 256))
+        blocks = made.select(
+            *file, F.ceil(F.col("blocks") / fanout).alias("blocks"), F.col("node").alias("block"), node.alias("checksum"))
+        most = -(-most // fanout)
+    return blocks.select("path", "size", "checksum", "type")
+
+
+def file_manifest(
+    spark: SparkSession, root: str, log_folder: str = "log", block_bytes: int = BLOCK_BYTES, fanout: int = FANOUT,
+) -> DataFrame:
+    """Path, size, checksum and type of every file under a root; hashing runs in the tasks, block by block."""
+    return file_checksums(settled(block_manifest(spark, root, log_folder, block_bytes), "blocks"), fanout)
+
+
+def relative_to(manifest: DataFrame, root: str) -> DataFrame:
+    """Paths from the root on, so that two folders can be compared."""
+    bare = re.sub(r"^[A-Za-z0-9+.-]+:/+", "/", root).rstrip("/") + "/"
+    return manifest.withColumn("path", F.substr("path", F.instr("path", bare) + F.lit(len(bare))))
+
+
+def changed_blocks(recorded: DataFrame, stored: DataFrame) -> DataFrame:
+    """(path, block, start, issue) of blocks that are missing, added or changed: what has to be copied again."""
+    now = stored.select("path", "block", F.col("start").alias("__start"), F.col("checksum").alias("__checksum"))
+    issue = F.when(F.col("__checksum").isNull(), "block_missing").when(F.col("checksum").isNull(), "block_added").when(
+        F.col("checksum") != F.col("__checksum"), "block_changed")
+    return recorded.join(now, ["path", "block"], "full").select(
+        "path", "block", F.coalesce("start", "__start").alias("start"), issue.alias("issue")).where(F.col("issue").isNotNull())
 
 
 def manifest_totals(manifest: DataFrame, by: Sequence[str] = ()) -> DataFrame:

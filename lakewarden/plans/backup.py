@@ -13,19 +13,54 @@ CREATED = "2024-01-31T00:00:00.000Z"
 MANIFEST = ("manifest", "stored_files")
 
 
-@query("backup_manifest", sql="""
-with f as (
-  select o_orderkey % 64 as key, string_agg(concat(o_orderkey, ',', o_custkey, ',', o_orderpriority), chr(10) order by o_orderkey) || chr(10) as body
-  from orders group by 1)
-select key, cast(octet_length(encode(body)) as bigint) as size, sha256(body) as checksum, 'data' as type from f""")
-def backup_manifest(t):
-    """Text files, so that SQL can rebuild their bytes: a file per key, its lines in order."""
+# Text files, so that SQL can rebuild their bytes: a file per range of keys, its lines in order.
+BODIES = """
+bodies as (
+  select o_orderkey // 4096 as key, string_agg(concat(o_orderkey, ',', o_custkey, ',', o_orderpriority), chr(10) order by o_orderkey) || chr(10) as body
+  from orders group by 1)"""
+BLOCK = 4096
+
+
+def text_files(t, value=F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderpriority")):
     root = fresh_dir(t.spark, "manifest")
-    lines = t.orders.select(
-        F.pmod("o_orderkey", F.lit(64)).alias("key"), "o_orderkey", F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderpriority").alias("value"))
+    lines = t.orders.select(F.expr("o_orderkey div 4096").alias("key"), "o_orderkey", value.alias("value"))
     lines.repartition("key").sortWithinPartitions("key", "o_orderkey").select("key", "value").write.partitionBy("key").text(root)
-    found = b.file_manifest(t.spark, root)
-    return found.select(F.regexp_extract("path", r"key=(\d+)/", 1).cast("long").alias("key"), "size", "checksum", "type")
+    return root
+
+
+def by_key(found):
+    return found.withColumn("key", F.regexp_extract("path", r"key=(\d+)/", 1).cast("long"))
+
+
+@query("backup_manifest", sql="with " + BODIES + """
+select key, cast(octet_length(encode(body)) as bigint) as size, sha256(body) as checksum, 'data' as type from bodies""")
+def backup_manifest(t):
+    return by_key(b.file_manifest(t.spark, text_files(t))).select("key", "size", "checksum", "type")
+
+
+BLOCKS = BODIES + f""",
+blocks as (
+  select key, length(body) as size, (length(body) + {BLOCK - 1}) // {BLOCK} as blocks, block, block * {BLOCK} as start
+    , substr(body, block * {BLOCK} + 1, {BLOCK}) as part, substr(replace(body, '0,', 'O,'), block * {BLOCK} + 1, {BLOCK}) as other
+  from (select *, unnest(range((length(body) + {BLOCK - 1}) // {BLOCK})) as block from bodies))"""
+
+
+@query("backup_blocks", sql="with " + BLOCKS + " select key, size, blocks, block, start, sha256(part) as checksum from blocks")
+def backup_blocks(t):
+    return by_key(b.block_manifest(t.spark, text_files(t), block_bytes=BLOCK)).select("key", "size", "blocks", "block", "start", "checksum")
+
+
+@query("backup_changed_blocks", sql="with " + BLOCKS + """
+select distinct key, block, start, 'block_changed' as issue from blocks where part <> other""")
+def backup_changed_blocks(t):
+    """Blocks that differ after each "0," of the lines has become "O,", which shifts nothing."""
+    line = F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderpriority")
+    folder = F.substring_index("path", "part-", 1)  # holds one file, whose name is new in each write
+    recorded, stored = (
+        b.relative_to(b.block_manifest(t.spark, root, block_bytes=BLOCK), root)
+        for root in (text_files(t, line), text_files(t, F.replace(line, F.lit("0,"), F.lit("O,")))))
+    changed = b.changed_blocks(recorded.withColumn("path", folder), stored.withColumn("path", folder))
+    return by_key(changed).select("key", "block", "start", "issue")
 
 
 @query("backup_export", sql=f"""

@@ -1,5 +1,7 @@
 """Versioned tables, action logs, saved states, backups."""
 
+import hashlib
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -107,6 +109,54 @@ def test_manifest_and_restore(spark):
         b.restore(spark, path, damaged, f"{root}/t2")
 
 
+def plain_tree(data, block, fanout):
+    """Root of the tree over a file's blocks, by loops."""
+    nodes = [hashlib.sha256(data[i : i + block]).hexdigest() for i in range(0, max(1, len(data)), block)]
+    while len(nodes) > 1:
+        nodes = [hashlib.sha256("".join(nodes[i : i + fanout]).encode()).hexdigest() for i in range(0, len(nodes), fanout)]
+    return nodes[0]
+
+
+def test_files_of_several_blocks(spark, tmp_path):
+    draw = random.Random(4)
+    sizes = {"one": 100, "two": 101, "three": 300, "log/many": 5000, "checkpoint x=1": 901}
+    data = {name: draw.randbytes(size) for name, size in sizes.items()}
+    (tmp_path / "log").mkdir()
+    for name, content in data.items():
+        (tmp_path / name).write_bytes(content)
+
+    (tmp_path / "empty").touch()  # Spark lists no empty files
+
+    def blocks():
+        return b.relative_to(b.block_manifest(spark, str(tmp_path), block_bytes=100), str(tmp_path))
+
+    found = {r.path: (r.size, r.checksum, r.type) for r in b.relative_to(
+        b.file_manifest(spark, str(tmp_path), block_bytes=100, fanout=3), str(tmp_path)).collect()}
+    kinds = {"log/many": "log", "checkpoint x=1": "checkpoint"}
+    assert found == {n: (len(x), plain_tree(x, 100, 3), kinds.get(n, "data")) for n, x in data.items()}
+    assert found["one"][1] == hashlib.sha256(data["one"]).hexdigest()
+
+    recorded = spark.createDataFrame(blocks().collect(), blocks().schema)
+    assert as_set(recorded.groupBy("path").count()) == {(n, max(1, -(-s // 100))) for n, s in sizes.items()}
+    assert b.changed_blocks(recorded, blocks()).count() == 0
+    changed = bytearray(data["three"])
+    changed[150] ^= 1
+    (tmp_path / "three").write_bytes(changed)
+    (tmp_path / "two").write_bytes(data["two"][:100])
+    (tmp_path / "one").write_bytes(data["one"] + b"x")
+    assert as_set(b.changed_blocks(recorded, blocks())) == {
+        ("three", 1, 100, "block_changed"), ("two", 1, 100, "block_missing"), ("one", 1, 100, "block_added")}
+
+
+def test_blocks_are_dealt_to_tasks_and_read_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(b, "TASK_BLOCKS", 2)
+    monkeypatch.setattr(b, "PIECE_BYTES", 7)
+    (tmp_path / "big").write_bytes(bytes(range(256)) * 10)
+    found = b.block_manifest(spark, str(tmp_path), block_bytes=256)
+    assert found.rdd.getNumPartitions() >= 5
+    assert {r.checksum for r in found.collect()} == {hashlib.sha256(bytes(range(256))).hexdigest()}
+
+
 def test_list_checksum_ignores_order(rows):
     one = rows([("a", 1, "x"), ("b", 2, "y")], "path string, size long, checksum string")
     two = rows([("b", 2, "y"), ("a", 1, "x")], "path string, size long, checksum string")
