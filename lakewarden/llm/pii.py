@@ -6,8 +6,9 @@ earlier matches add up to its start, in code points.
 
 The four base kinds (email, ip, card, phone) follow fixed patterns and checks
 and always stay. Beyond them the method finds ``iban`` (mod-97) and ``ssn``
-(a valid range, and a context word before it). Each span has a score: what its
-pattern and checksum are worth, more if a context word stands near before it.
+(a valid range, and a context word near it). Each span has a score: what its
+pattern and checksum are worth, more if a context word stands near it on either
+side, up to the next match of its kind.
 Possessive quantifiers and the look at the preceding character give the same
 matches as the plain patterns without trying a long run again from each of its
 characters.
@@ -23,8 +24,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakewarden.llm.common import joined_spans, table, texts
+from lakewarden.operators.scanning import named
 
-NEAR = 32  # code points before a span in which a context word counts
+NEAR = 32  # code points before and after a span in which a context word counts
 
 # Fixed patterns of the base kinds, in the order in which they are listed.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -42,7 +44,7 @@ class Kind:
     pattern: str
     base: bool
     worth: float       # of a match whose check passes
-    lift: float        # for a context word near before it
+    lift: float        # for a context word near it
     context: str       # pattern of context words
     least: float = 0.0  # score below which a span of the method is left out
 
@@ -99,6 +101,8 @@ def _holds(name: str, match: Column) -> Column:
     return F.lit(True)
 
 
+SPANS = "array<struct<start:bigint,rank:int,kind:string,end:bigint,score:double>>"
+
 # Characters without which a kind cannot occur: most texts skip most patterns.
 _MUST = {"email": "@", "ip": ".", "phone": "+", "ssn": "-"}
 
@@ -113,27 +117,54 @@ def _found(kind: Kind, text: Column) -> Column:
     return F.when(may, both)
 
 
+def _starts(steps: Column) -> Column:
+    """What all earlier steps add up to, for each.
+
+    Steps are summed in blocks of about the square root of their number, so a
+    text with very many matches is not summed anew for each.
+    """
+
+    def total(parts: Column) -> Column:
+        return F.aggregate(parts, F.lit(0), lambda a, x: a + x)
+
+    def within(st: Column, size: Column) -> Column:
+        def block(i: Column) -> Column:
+            return F.floor(i / size).cast("int")
+
+        sums = F.transform(F.sequence(F.lit(0), block(F.size(st))), lambda b: total(F.slice(st, b * size + 1, size)))
+        before = named(sums, lambda s: F.transform(s, lambda _, b: total(F.slice(s, F.lit(1), b))))
+        return named(before, lambda o: F.transform(
+            st, lambda _, i: F.get(o, block(i)) + total(F.slice(st, block(i) * size + 1, i % size))))
+
+    size = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(steps))).cast("int"))
+    return named(steps, lambda st: named(size, lambda n: within(st, n)))
+
+
 def _spans(kind: Kind, found: Column) -> Column:
     """Spans that pass their check, as structs (start, rank, kind, end, score)."""
-    blank = F.struct(
-        F.lit(0).cast("long").alias("at"),
-        F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint,score:double>>").alias("spans"),
-    )
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["before"])
-        end = start + F.length(x["match"])
-        near = F.substr(x["before"], F.greatest(F.lit(1), F.length(x["before"]) - NEAR + 1))
-        score = F.lit(kind.worth) + F.when(near.rlike(kind.context), F.lit(kind.lift)).otherwise(F.lit(0.0))
-        span = F.struct(
-            start.alias("start"), F.lit(kind.rank).alias("rank"), F.lit(kind.name).alias("kind"), end.alias("end"), score.alias("score")
-        )
-        keep = x["match"].isNotNull() & _holds(kind.name, x["match"]) & (score >= kind.least)
+    def placed(pairs: Column, starts: Column) -> Column:
+        """Each match with its start and the text near it on both sides."""
+
+        def one(x: Column, i: Column) -> Column:
+            before, after = x["before"], F.coalesce(F.get(pairs, i + 1)["before"], F.lit(""))
+            near = F.concat(F.substr(before, F.greatest(F.lit(1), F.length(before) - NEAR + 1)), F.lit("\n"), F.left(after, F.lit(NEAR)))
+            return F.struct((F.get(starts, i) + F.length(before)).cast("long").alias("start"), x["match"].alias("match"), near.alias("near"))
+
+        return F.transform(pairs, one)
+
+    def score(x: Column) -> Column:
+        return F.lit(kind.worth) + F.when(x["near"].rlike(kind.context), F.lit(kind.lift)).otherwise(F.lit(0.0))
+
+    def span(x: Column) -> Column:
         return F.struct(
-            F.coalesce(end, state["at"]).alias("at"), F.when(keep, F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans")
-        )
+            x["start"].alias("start"), F.lit(kind.rank).alias("rank"), F.lit(kind.name).alias("kind"),
+            (x["start"] + F.length(x["match"])).alias("end"), score(x).alias("score"))
 
-    return F.coalesce(F.aggregate(found, blank, step)["spans"], blank["spans"])
+    steps = F.transform(found, lambda x: F.length(x["before"]) + F.coalesce(F.length(x["match"]), F.lit(0)))
+    every = named(_starts(steps), lambda starts: placed(found, starts))
+    fits = F.filter(every, lambda x: x["match"].isNotNull() & _holds(kind.name, x["match"]) & (score(x) >= kind.least))
+    return F.coalesce(F.transform(fits, span), F.array().cast(SPANS))
 
 
 def find(docs: DataFrame) -> DataFrame:

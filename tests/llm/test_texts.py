@@ -2,6 +2,7 @@
 
 import random
 import struct
+import time
 
 import numpy as np
 import public_tokenizers
@@ -159,3 +160,19 @@ def test_toxicity_without_labels(spark, docs):
     got = toxicity.scored(docs([(1, "you idiot moron"), (2, "fine day"), (3, None)]), model).collect()
     assert {r.doc_id: r.predicted for r in got} == {1: 1, 2: 0, 3: 0}
     assert toxicity.scored(docs([]), model).count() == 0
+
+
+def test_many_spans_in_one_text_take_time_in_proportion(spark, docs, monkeypatch):
+    text = "".join(f"user{n}@example{n % 7}.org, é 10.0.{n % 256}.{n % 200};\n" for n in range(50_000))
+    monkeypatch.setattr(pii, "table", lambda *a: docs([(1, text), (2, "none")], 1))
+    started = time.monotonic()
+    got = {r.doc_id: r for r in pii.op9_pii(spark, "").collect()}
+    assert (got[1].n_email, got[1].n_ip) == (50_000, 50_000)
+    assert got[1].base_sha256 == brute.sha(brute.joined(brute.pii(text)))
+    assert time.monotonic() - started < 60
+
+
+def test_context_counts_on_both_sides(docs):
+    rows = [(1, "ssn 123-45-6789"), (2, "123-45-6789 is the ssn"), (3, "123-45-6789" + " " * 60 + "ssn"), (4, "123-45-6789")]
+    got = {r.doc_id: len(r.ssn) for r in pii.find(docs(rows)).collect()}
+    assert got == {1: 1, 2: 1, 3: 0, 4: 0}
