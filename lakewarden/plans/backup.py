@@ -21,7 +21,11 @@ bodies as (
 BLOCK = 4096
 
 
-def text_files(t, value=F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderpriority")):
+def line():
+    return F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderpriority")
+
+
+def text_files(t, value):
     root = fresh_dir(t.spark, "manifest")
     lines = t.orders.select(F.expr("o_orderkey div 4096").alias("key"), "o_orderkey", value.alias("value"))
     lines.repartition("key").sortWithinPartitions("key", "o_orderkey").select("key", "value").write.partitionBy("key").text(root)
@@ -35,7 +39,7 @@ def by_key(found):
 @query("backup_manifest", sql="with " + BODIES + """
 select key, cast(octet_length(encode(body)) as bigint) as size, sha256(body) as checksum, 'data' as type from bodies""")
 def backup_manifest(t):
-    return by_key(b.file_manifest(t.spark, text_files(t))).select("key", "size", "checksum", "type")
+    return by_key(b.file_manifest(t.spark, text_files(t, line()))).select("key", "size", "checksum", "type")
 
 
 BLOCKS = BODIES + f""",
@@ -47,18 +51,17 @@ blocks as (
 
 @query("backup_blocks", sql="with " + BLOCKS + " select key, size, blocks, block, start, sha256(part) as checksum from blocks")
 def backup_blocks(t):
-    return by_key(b.block_manifest(t.spark, text_files(t), block_bytes=BLOCK)).select("key", "size", "blocks", "block", "start", "checksum")
+    return by_key(b.block_manifest(t.spark, text_files(t, line()), block_bytes=BLOCK)).select("key", "size", "blocks", "block", "start", "checksum")
 
 
 @query("backup_changed_blocks", sql="with " + BLOCKS + """
 select distinct key, block, start, 'block_changed' as issue from blocks where part <> other""")
 def backup_changed_blocks(t):
     """Blocks that differ after each "0," of the lines has become "O,", which shifts nothing."""
-    line = F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderpriority")
     folder = F.substring_index("path", "part-", 1)  # holds one file, whose name is new in each write
     recorded, stored = (
         b.relative_to(b.block_manifest(t.spark, root, block_bytes=BLOCK), root)
-        for root in (text_files(t, line), text_files(t, F.replace(line, F.lit("0,"), F.lit("O,")))))
+        for root in (text_files(t, line()), text_files(t, F.replace(line(), F.lit("0,"), F.lit("O,")))))
     changed = b.changed_blocks(recorded.withColumn("path", folder), stored.withColumn("path", folder))
     return by_key(changed).select("key", "block", "start", "issue")
 
