@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakewarden.functions.columns import clamp, ladder_at_least
+from lakewarden.functions.literals import candidates, required_literals
 
 # Penalties by severity and CVSS cut-offs.
 FINDING_PENALTY = {"low": 0.5, "medium": 2.0, "high": 5.0, "critical": 10.0}
@@ -23,7 +24,7 @@ class ScanRule:
     pattern: str
     severity: str
     name: str = ""
-    # Text that every match contains, if there is one: a plain search spares the regex on texts without it.
+    # Text that every match contains, where the pattern does not show it.
     literal: str | None = None
 
 
@@ -43,13 +44,13 @@ def _sum(parts: Column) -> Column:
     return F.aggregate(parts, F.lit(0), lambda acc, x: acc + x)
 
 
-def _starts(line: Column, pattern: str) -> Column:
+def _starts(line: Column, pattern: Column) -> Column:
     """1-based column of every match: the text between matches and the matches add up to it.
 
     Lengths are summed in blocks of about the square root of their number, so a
     line with very many matches is not summed anew for each.
     """
-    found = F.regexp_extract_all(line, F.lit(pattern), F.lit(0))
+    found = F.regexp_extract_all(line, pattern, F.lit(0))
     pairs = F.arrays_zip(found.alias("match"), F.split(line, pattern, -1).alias("before"))
 
     def placed(pairs: Column, steps: Column, size: Column, offsets: Column) -> Column:
@@ -83,32 +84,28 @@ POSITIONAL = re.compile(r"[\^$]|\\[AZzGB]|\(\?[=!<]")
 def scan_rules(df: DataFrame, keys: Sequence[str], text: str, rules: Sequence[ScanRule]) -> DataFrame:
     """Every match of every rule, line by line: rule, severity, line, column and the trimmed line.
 
-    Documents are tested whole first: a rule that matches nowhere in a text
-    matches in none of its lines, unless its pattern looks at line ends. Only
-    texts with a hit are cut into lines, where they lie; nothing is shuffled.
+    One pass over a text names the rules whose literals it holds; only these are
+    tried, as rows of (text, rule) with the pattern as a value, so neither the
+    plan nor the time of a text without hits grows with the rules. A rule that
+    matches nowhere in a text matches in none of its lines, unless its pattern
+    looks at line ends. Texts are cut into lines where they lie; nothing is
+    shuffled.
     """
-    line = F.col("__line")
-
-    def may_hit(r: ScanRule) -> Column:
-        whole = F.lit(True) if POSITIONAL.search(r.pattern) else F.col(text).rlike(r.pattern)
-        return F.col(text).contains(r.literal) & whole if r.literal else whole
-
-    flags = {f"__hit{i}": may_hit(r) for i, r in enumerate(rules)}
-    any_flag = F.lit(False)
-    for name in flags:
-        any_flag = any_flag | F.col(name)
-    lines = df.select(*keys, text, *[c.alias(n) for n, c in flags.items()]).where(any_flag).select(
-        *keys, *flags, F.posexplode(F.split(text, "\n")).alias("__no", "__line"))
-
-    def hits_of(r: ScanRule, flag: str) -> Column:
-        return F.when(F.col(flag) & line.rlike(r.pattern), F.transform(_starts(line, r.pattern), lambda at: F.struct(
-            F.lit(r.id).alias("rule_id"), F.lit(r.severity.lower()).alias("severity"),
-            at["column"].alias("column"), at["match"].alias("match"))))
-
-    hits = F.array(*[hits_of(r, flag) for r, flag in zip(rules, flags)])
-    found = lines.select(
-        *keys, (F.col("__no") + 1).alias("line"), line, F.inline(F.flatten(F.array_compact(hits))))
-    return found.select(*keys, "rule_id", "severity", "line", "column", "match", F.trim(line).alias("evidence"))
+    names = ["__rule_id", "__severity", "__pattern", "__positional"]
+    if not rules:
+        rules = [ScanRule("none", "(?!)", "low")]
+    wanted = [frozenset([r.literal.lower()]) if r.literal and r.literal.isascii() else required_literals(r.pattern) for r in rules]
+    known = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, (
+        r.id, r.severity.lower(), r.pattern, bool(POSITIONAL.search(r.pattern))))]) for r in rules])
+    line, pattern = F.col("__line"), F.col("__pattern")
+    tried = df.select(*keys, text, F.explode(candidates(F.col(text), wanted)).alias("__number")).select(
+        *keys, text, F.get(known, "__number").alias("__rule")).select(*keys, text, "__rule.*")
+    lines = tried.where(F.col("__positional") | F.rlike(F.col(text), pattern)).select(
+        *keys, *names[:3], F.posexplode(F.split(text, "\n")).alias("__no", "__line")).where(F.rlike(line, pattern))
+    found = lines.select(*keys, *names[:2], F.col("__no"), line, F.inline(_starts(line, pattern)))
+    return found.select(
+        *keys, F.col("__rule_id").alias("rule_id"), F.col("__severity").alias("severity"), (F.col("__no") + 1).alias("line"),
+        "column", "match", F.trim(line).alias("evidence"))
 
 
 def drop_rules(findings: DataFrame, excluded: Sequence[str]) -> DataFrame:
