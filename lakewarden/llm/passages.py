@@ -151,6 +151,8 @@ RUNS = "seed long, run long, doc_id long, variant long, at long"
 KEY = ("doc_id", "variant")
 #: ``at`` is first window * SIZES + windows, one number to shuffle in place of two.
 SIZES = 1 << 12
+HOT_SEEDS = 1000
+SPREAD = 64
 
 
 def runs(docs: DataFrame, units: Units) -> DataFrame:
@@ -198,10 +200,20 @@ def with_parts(docs: DataFrame, named: DataFrame, found: DataFrame) -> DataFrame
 
 
 def repeated_runs(docs: DataFrame, units: Units) -> DataFrame:
-    """Runs whose seed occurs more than once: (seed, run, doc_id, variant, first, size), settled."""
+    """Runs whose seed occurs more than once: (seed, run, doc_id, variant, first, size), settled.
+
+    Seeds with more than one in ``HOT_SEEDS`` of these runs, of which there are
+    fewer than that, go to ``SPREAD`` tasks each; their list is all that is broadcast.
+    """
     found = runs(docs, units)
-    repeated = found.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1").select("seed")
-    kept = found.join(repeated, "seed", "left_semi")
+    repeated = settle(found.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1"), "seeds")
+    total = repeated.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    is_hot = F.col("n") > total / HOT_SEEDS
+    hot = repeated.where(is_hot).select("seed", F.lit(True).alias("hot"))
+    part = F.when(F.col("hot"), F.pmod(F.xxhash64(*KEY, "at"), F.lit(SPREAD)).cast("int")).otherwise(0)
+    dealt = found.join(F.broadcast(hot), "seed", "left").withColumn("part", part)
+    parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
+    kept = dealt.join(repeated.select("seed", F.explode(parts).alias("part")), ["seed", "part"], "left_semi")
     return settle(
         kept.select("seed", "run", *KEY, F.floor(F.col("at") / SIZES).alias("first"), (F.col("at") % SIZES).alias("size")), "runs"
     )
