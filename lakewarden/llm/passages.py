@@ -178,7 +178,9 @@ def readable(docs: DataFrame) -> DataFrame:
     where a doc_id has one text only, which costs the shuffles nothing. The doc_ids with
     several texts are written first, so Spark broadcasts them only if they are few.
     """
-    rows = texts(docs).where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.encode("text", "UTF-8").alias("raw"))
+    # A cast that does nothing would leave a new name in one use of the rows and none in another, and the texts shuffled for each.
+    doc_id = F.col("doc_id") if docs.schema["doc_id"].dataType == T.LongType() else F.col("doc_id").cast("long")
+    rows = texts(docs).where(F.col("doc_id").isNotNull()).select(doc_id, F.encode("text", "UTF-8").alias("raw"))
     text_hash = F.xxhash64("raw")
     several = rows.groupBy("doc_id").agg(F.min(text_hash).alias("low"), F.max(text_hash).alias("high")).where("low <> high")
     told = settle(several.select("doc_id", F.lit(True).alias("several")), "variants")

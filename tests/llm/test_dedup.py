@@ -52,6 +52,22 @@ def test_exact_rows_that_stay(docs, clashing, bits):
     assert exact_dedup.keep_first(docs([]), bits).count() == exact_dedup.verdicts(docs([]), bits).count() == 0
 
 
+def test_texts_are_shuffled_once(spark, docs, tmp_path):
+    """The windows and the removal read one shuffle of the texts; the other scan is of the rows without doc_id, which do not shuffle."""
+    docs(passages_table(rows=20)).write.parquet(str(tmp_path / "documents.parquet"))
+    held = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = substring_dedup.op4_substring_dedup(spark, str(tmp_path))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plan.count("ReadSchema: struct<doc_id:bigint,text:string>") == 2
+
+
 def test_rows_that_occur_once_do_not_shuffle(docs):
     rows = [(i, f"text {i}") for i in range(200)] + [(900, "text 7")]
     hashes = docs(rows).selectExpr("xxhash64(text) as h")
