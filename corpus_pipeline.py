@@ -24,7 +24,10 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that similarity 0.8 or more of five-word shingles links the one with the smallest doc_id."""
+    """Of documents that similarity 0.8 or more of five-word shingles links the one with the smallest doc_id.
+
+    SimHash links first, verified on the shingles; the shingles themselves find what is farther apart.
+    """
     return near_copies.keep_one(docs)
 
 

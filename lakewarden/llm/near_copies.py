@@ -1,4 +1,11 @@
-"""Near copies by exact similarity: five-word shingle sets with Jaccard 0.8 or more.
+"""Near copies: SimHash, then exact similarity; five-word shingle sets with Jaccard 0.8 or more.
+
+SimHash comes first, by the generalised pigeonhole of ``simhash`` as in
+op6_simhash: a document's fingerprint over its five-word shingles is partitioned,
+probed and verified on its bits, and every pair that this links is verified on
+the whole sets. A similarity of 0.8 lies near ten of 64 bits, too far to probe
+for, so what the prints do not link is left to the sets themselves, and only
+between documents that are still in different components.
 
 Pigeonhole on sets: if two sets are similar enough, then in one order of all
 shingles their first n - ceil(0.8 n) + 1 shingles have one in common. These
@@ -44,7 +51,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from lakewarden.llm.common import settle, spare, texts
-from lakewarden.llm.simhash import LOWER, components
+from lakewarden.llm.simhash import DISTANCE, LOWER, components, fingerprints, links
 
 WORDS = 5
 OF, PART = 5, 4        # similarity: PART / OF
@@ -290,6 +297,21 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return settle(both.select("a", "b", "one", "two").mapInArrow(run, pairs.schema), "near-links").distinct()
 
 
+def print_pairs(docs: DataFrame) -> DataFrame:
+    """Pairs (a, b) that SimHash links: those of one print each with the first, and the first ones of prints within ``DISTANCE`` bits."""
+    marked = settle(fingerprints(docs.where("doc_id is not null"), WORDS), "near-prints")
+    nodes = settle(marked.groupBy("fp").agg(F.min("doc_id").alias("node")), "near-nodes")
+    equal = marked.join(nodes, "fp").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
+    return in_order(equal.unionByName(links(nodes, DISTANCE)))
+
+
+def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose documents are in different components."""
+    for side in ("a", "b"):
+        pairs = pairs.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"{side}_root")), side, "left")
+    return pairs.where(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b")
+
+
 def edges(docs: DataFrame, seen: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b, whose components are those of all near copies."""
     named = seen.where("set is not null and doc_id is not null").select("doc_id", "set")
@@ -306,7 +328,8 @@ def edges(docs: DataFrame, seen: DataFrame) -> DataFrame:
     beside = lists.join(bits, "mark").select("shingle", "deal", "block", "node", "n", "left", "bits", "mark")
     order = F.xxhash64("mark", "shingle")
     near = beside.repartition("shingle", "deal", "block").sortWithinPartitions("shingle", "deal", "block", order, "node").mapInArrow(first_pairs, pair)
-    found = equal.unionByName(verified(settle(in_order(near), "near-pairs"), docs))
+    found = equal.unionByName(verified(settle(print_pairs(docs), "near-pairs"), docs))
+    found = found.unionByName(verified(settle(apart(in_order(near), components(found)), "near-pairs"), docs))
     for nearest in (NEAREST, None):
         placed = lists.join(components(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
         span = placed.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("rows"), F.min("at").alias("p"), F.max("at").alias("q"))

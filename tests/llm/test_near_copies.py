@@ -8,7 +8,7 @@ import pytest
 
 import brute
 import corpus_pipeline
-from lakewarden.llm import near_copies
+from lakewarden.llm import near_copies, simhash
 from odd import ODD, clashing, docs  # noqa: F401
 
 
@@ -52,6 +52,37 @@ def test_stage_keeps_one_of_each_component(spark, docs, monkeypatch, repeated, n
     assert {r.doc_id for r in corpus_pipeline.without_near_copies(spark, docs(rows), "").collect()} == want
 
 
+def test_simhash_links_what_is_near_in_bits(spark, docs, monkeypatch):
+    """Prints within 2 bits are in one component of the candidates, and the stage takes the similar ones from there."""
+    draw = random.Random(4)
+    rows = []
+    for base in range(12):
+        own = ["".join(draw.choice("abcdefghij") for _ in range(6)) for _ in range(draw.randint(500, 1500))]
+        for changed in (0, 1, 1, 2, 150):
+            at = draw.sample(range(500), changed)
+            copy = [w + "x" if i in at else w for i, w in enumerate(own)] if changed < 9 else own[changed:]
+            rows.append((7 * len(rows) + 3, " ".join(copy)))
+    prints = {i: simhash.fingerprint(t, 5) for i, t in rows}
+    own = {i: sets(t) for i, t in rows}
+    close = {(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 2}
+    assert len([p for p in close if own[p[0]] != own[p[1]]]) > 5
+    pairs = near_copies.settle(near_copies.print_pairs(docs(rows)), "pairs")
+    found = {(r.a, r.b) for r in pairs.collect()}
+    reached = brute.classes({i: i for i in prints}, lambda x, y: (min(x, y), max(x, y)) in found)
+    assert all(reached[a] == reached[b] for a, b in close)
+    similar = {(r.a, r.b) for r in near_copies.verified(pairs, docs(rows)).collect()}
+    assert similar == {(a, b) for a, b in found if near(own[a], own[b])}
+    kept = set(brute.classes({i: i for i in prints}, lambda x, y: (min(x, y), max(x, y)) in similar or own[x] == own[y]).values())
+
+    def nothing(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(3)[:0]] * 2, ["a", "b"])
+
+    monkeypatch.setattr(near_copies, "first_pairs", nothing)
+    monkeypatch.setattr(near_copies, "other_pairs", lambda nearest: nothing)
+    assert {r.doc_id for r in near_copies.keep_one(docs(rows)).collect()} == kept and len(kept) < len(rows)
+
+
 def test_odd_tables(docs, clashing):
     kept = near_copies.keep_one(clashing)
     assert kept.columns == clashing.columns
